@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from nearfield.operators.axis import check_closed, shared_axis
 from nearfield.operators.range_join import POSITION, flag_matches, neighbour_summary, place
 from nearfield.operators.skew import HOT_ROWS
+from nearfield.schema import GROUPS
 
 GROUP, ORDER = "observationgroup", "observationorder"
 
@@ -146,22 +147,27 @@ def detection_funnel(hits: DataFrame, rule: Rule = BATCH_RULE) -> DataFrame:
     return totals.unpivot([GROUP], stages, "stage", "n_hits")
 
 
-def group_results(hits: DataFrame, rule: Rule = BATCH_RULE, metadata: DataFrame | None = None) -> DataFrame:
-    """One row per group of the hits: the number of anomalous hits and the group's metadata.
+def group_results(
+    hits: DataFrame,
+    rule: Rule = BATCH_RULE,
+    metadata: DataFrame | None = None,
+    groups: DataFrame | None = None,
+) -> DataFrame:
+    """One row per group: the number of anomalous hits and the group's metadata.
 
-    ``metadata`` has an ``observationgroup`` and any of the other group columns; what it lacks
-    is null. Groups without anomalous hits have a count of zero.
+    The groups are those of the hits, or of ``groups``, which may repeat them. ``metadata`` has an
+    ``observationgroup`` and any of the other group columns; what it lacks is null. Groups without
+    anomalous hits have a count of zero.
     """
     found = detect_anomalies(hits, rule).select(GROUP, F.lit(1).alias("__one"))
-    counted = found.unionByName(hits.select(GROUP, F.lit(0).alias("__one")))
+    everything = hits if groups is None else groups
+    counted = found.unionByName(everything.select(GROUP, F.lit(0).alias("__one")))
     results = counted.groupBy(GROUP).agg(F.sum("__one").cast("int").alias("grouphit"))
     return with_metadata(results, metadata)
 
 
 def with_metadata(results: DataFrame, metadata: DataFrame | None) -> DataFrame:
     """Group results as full rows of the group table."""
-    from nearfield.schema import GROUPS
-
     rest = [f for f in GROUPS.fields if f.name not in (GROUP, "grouphit")]
     known = [] if metadata is None else [f.name for f in rest if f.name in metadata.columns]
     if known:

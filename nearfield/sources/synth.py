@@ -1,0 +1,61 @@
+"""Synthetic hits for measurements."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Ranges of the generated columns, and the family of group sizes.
+FREQUENCY_RANGE, SNR_RANGE = 10000, 100
+FIRST_GROUP, FIRST_SIZE, SIZES, ORDERS = 100, 100, 15, 6
+_CHUNK = 100_000
+
+
+def _hit_columns(group: Column, order: Column, uniform) -> list[Column]:
+    """Hit columns from ``uniform(k)``, the uniform numbers of the observation's k-th seed."""
+    frequency = FREQUENCY_RANGE * uniform(1)
+    return [
+        group.cast("int").alias("observationgroup"),
+        order.cast("int").alias("observationorder"),
+        frequency.alias("frequency"),
+        (SNR_RANGE * uniform(2)).alias("snr"),
+        uniform(3).alias("driftrate"),
+        (frequency + uniform(4) - uniform(5)).alias("uncorrectedfrequency"),
+    ]
+
+
+def synthetic_observation(spark: SparkSession, rows: int, group: int, order: int) -> DataFrame:
+    """``rows`` hits of one observation, drawn with Spark's seeded ``rand``."""
+    return spark.range(rows).select(*_hit_columns(F.lit(group), F.lit(order), lambda k: F.rand(k * order)))
+
+
+def synthetic_hits(sizes: DataFrame) -> DataFrame:
+    """Hits for every row of ``sizes`` (observationgroup, observationorder, rows), in one job.
+
+    Large observations are generated in chunks spread over tasks. The numbers are hashes of row
+    number and seed, so they do not depend on partitioning; groups share their seeds.
+    """
+    zero = F.lit(0).cast("bigint")
+    last_chunk = F.floor((F.col("rows") - 1) / F.lit(_CHUNK))
+    chunks = sizes.where(F.col("rows") > 0).withColumn("__chunk", F.explode(F.sequence(zero, last_chunk)))
+    chunks = chunks.repartition("observationgroup", "observationorder", "__chunk")
+    first = F.col("__chunk") * _CHUNK
+    last = F.least(first + _CHUNK, F.col("rows").cast("bigint")) - 1
+    rows = chunks.withColumn("__row", F.explode(F.sequence(first, last)))
+    group, order = F.col("observationgroup"), F.col("observationorder")
+
+    def uniform(k: int) -> Column:
+        bits = F.shiftrightunsigned(F.xxhash64(F.col("__row"), (order * k).cast("bigint")), 11)
+        return bits.cast("double") * F.lit(2.0**-53)
+
+    return rows.select(*_hit_columns(group, order, uniform))
+
+
+def doubling_sizes(spark: SparkSession, sizes: int = SIZES, orders: int = ORDERS) -> DataFrame:
+    """Group ``100 + b`` with ``100 * 2^b`` rows in each observation."""
+    step = F.col("id")
+    return spark.range(sizes).select(
+        (FIRST_GROUP + step).cast("int").alias("observationgroup"),
+        F.explode(F.sequence(F.lit(1), F.lit(orders))).alias("observationorder"),
+        (FIRST_SIZE * F.pow(F.lit(2), step)).cast("bigint").alias("rows"),
+    )
