@@ -88,8 +88,10 @@ def _flag(anchors: DataFrame, others: DataFrame, rule: Rule, radius, slots: Mapp
 def _matched_anchors(hits: DataFrame, rule: Rule, on_slots: Mapping[str, Column], off_slots: Mapping[str, Column]):
     """Distinct anchor hits with a boolean per slot. Anchors near nothing in their ON
     observations may be missing."""
-    rows = strong(hits, rule).where(F.col(GROUP).isNotNull() & F.col("frequency").isNotNull())
+    rows = strong(hits, rule).where(F.col(GROUP).isNotNull())
     order = F.col(ORDER)
+    if on_slots:
+        rows = rows.where(F.col("frequency").isNotNull())
     others = rows.where(order != rule.on_orders[0])
     anchors = rows.where(order == rule.on_orders[0]).distinct()
     if on_slots and off_slots and rule.r_on == rule.r_off:
