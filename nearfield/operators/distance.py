@@ -2,7 +2,7 @@
 
 Points within distance ``t`` differ by at most ``t`` on every axis, so a grid over up to three
 axes turns the join into an equality on the grid cell with the distance as a residual test. A left
-point lies in one cell; a right point is copied to the cells it can reach, 1.6 per axis on average.
+point lies in one cell; a right point is copied to the cells it can reach, 1.4 per axis on average.
 """
 
 from __future__ import annotations
@@ -17,12 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.operators.axis import double_cell
-from nearfield.operators.range_join import expand_copies, pair_sides
-from nearfield.operators.skew import HOT_ROWS, PAIR_SIDE, spread_both
+from nearfield.operators.range_join import pair_sides
+from nearfield.operators.skew import HOT_ROWS, PAIR_SIDE, join_close
 
 # Weights that bring frequency, snr and drift rate to about [0, 1].
 HIT_WEIGHTS = {"frequency": 0.0001, "snr": 0.01, "driftrate": 1.0}
 MAX_GRID_AXES = 3
+# In radii: the width of a cell, and how far a right point reaches. The reach is a little more
+# than one, which covers rounding in the cell numbers.
+CELL_WIDTH, REACH = 6, 1.1
 
 
 def squared_distance(left: Sequence[Column], right: Sequence[Column], weights: Sequence[float]) -> Column:
@@ -60,6 +63,17 @@ def check_radius(within) -> float:
     return float(within)
 
 
+def own_cell(position: Column, radius: float) -> Column:
+    """The cell of a left point on one axis."""
+    return double_cell(position, CELL_WIDTH * radius)
+
+
+def reached_cells(position: Column, radius: float) -> Column:
+    """The cells in which a right point can have near left points, an array."""
+    reach, width = F.lit(REACH * radius), CELL_WIDTH * radius
+    return F.sequence(double_cell(position - reach, width), double_cell(position + reach, width))
+
+
 def distance_pairs(
     left: DataFrame,
     right: DataFrame,
@@ -68,7 +82,6 @@ def distance_pairs(
     by: Sequence[str] = (),
     suffixes: tuple[str, str] = ("_left", "_right"),
     grid_axes: int = MAX_GRID_AXES,
-    copies: bool = True,
     hot_rows: int = HOT_ROWS,
     pair_side: int = PAIR_SIDE,
 ) -> DataFrame:
@@ -76,14 +89,14 @@ def distance_pairs(
 
     ``features`` maps columns to weights, or names one array column with the coordinates. The grid
     uses the first ``grid_axes`` of them. Points with a null, NaN or infinite coordinate match
-    nothing. ``copies=False`` skips the packing of equal rows, for sides known to have none.
+    nothing.
     """
     radius = check_radius(within)
     if not 1 <= grid_axes <= MAX_GRID_AXES:
         raise ValueError(f"grid_axes must be between 1 and {MAX_GRID_AXES}")
     if not isinstance(features, str) and not features:
         raise ValueError("at least one feature is needed")
-    lhs, rhs, output, keys, counts = pair_sides(left, right, by, suffixes, copies)
+    lhs, rhs, output, keys = pair_sides(left, right, by, suffixes)
 
     def coordinates(df: DataFrame, suffix: str) -> tuple[DataFrame, list[Column]]:
         if isinstance(features, str):
@@ -98,25 +111,10 @@ def distance_pairs(
     lhs, left_axes = coordinates(lhs, suffixes[0])
     rhs, right_axes = coordinates(rhs, suffixes[1])
     cells = [f"__cell{i}" for i in range(len(left_axes))]
-    width, reach = 4 * radius, 1.25 * radius
     # Arrays shorter than the grid lie at zero on the missing axes.
-    zero = F.lit(0.0)
-    for cell, axis in zip(cells, left_axes):
-        lhs = lhs.withColumn(cell, double_cell(F.coalesce(axis, zero), width))
+    lhs = lhs.withColumns({c: own_cell(F.coalesce(x, F.lit(0.0)), radius) for c, x in zip(cells, left_axes)})
     for cell, axis in zip(cells, right_axes):
-        at = F.coalesce(axis, zero)
-        span = F.sequence(double_cell(at - F.lit(reach), width), double_cell(at + F.lit(reach), width))
-        rhs = rhs.withColumn(cell, F.explode(span))
-    weights = [F.col(c) for c in counts] or [None, None]
-    lhs, rhs, keys = spread_both(
-        lhs,
-        rhs,
-        [*keys, *cells],
-        left_weight=weights[0],
-        right_weight=weights[1],
-        hot_rows=hot_rows,
-        pair_side=pair_side,
-    )
+        rhs = rhs.withColumn(cell, F.explode(reached_cells(F.coalesce(axis, F.lit(0.0)), radius)))
     if isinstance(features, str):
         squared = squared_distance_arrays(F.col(features + suffixes[0]), F.col(features + suffixes[1]))
     else:
@@ -125,5 +123,5 @@ def distance_pairs(
             [F.col(name + suffixes[1]).cast("double") for name in features],
             list(features.values()),
         )
-    pairs = lhs.join(rhs, keys, "inner").where(squared <= F.lit(radius * radius))
-    return expand_copies(pairs, counts).select(*output)
+    near = squared <= F.lit(radius * radius)
+    return join_close(lhs, rhs, [*keys, *cells], near, hot_rows=hot_rows, pair_side=pair_side).select(*output)

@@ -14,8 +14,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.operators.distance import HIT_WEIGHTS, check_radius, finite, with_vector
-from nearfield.operators.skew import HOT_ROWS, PAIR_SIDE, spread_both
+from nearfield.operators.distance import HIT_WEIGHTS, check_radius, finite, own_cell, reached_cells, with_vector
+from nearfield.operators.skew import HOT_ROWS, PAIR_SIDE, join_close
 
 FEATURES, HASHES = "features", "hashes"
 
@@ -55,29 +55,31 @@ def lsh_semi_join(
     """Distinct left rows with a right row of equal ``by`` closer than ``within``, approximately.
 
     The left rows are joined to the right points with a semi-join on the bucket, so no pairs are
-    produced, and equal points of the right side are tested once.
+    produced, and equal points of the right side are tested once. Near points are also near on the
+    first axis; cells on it thin out the buckets without losing a match.
     """
     radius = check_radius(within)
     names, by = list(weights), list(by)
     axes = [f"__x{i}" for i in range(len(names))]
     scaled = [F.col(n).cast("double") * F.lit(float(w)) for n, w in weights.items()]
-    lhs = left.where(finite(scaled)).distinct().withColumns(dict(zip(axes, scaled)))
+    lhs = left.where(finite(scaled)).withColumns(dict(zip(axes, scaled)))
     rhs = right.where(finite(scaled)).select(*by, *[c.alias(a) for a, c in zip(axes, scaled)]).distinct()
+    if by:
+        lhs, rhs = lhs.dropna(subset=by), rhs.dropna(subset=by)
     lhs, rhs = with_vector(lhs, axes, "__features"), with_vector(rhs, axes, "__features")
     model = fit_lsh(lhs, bucket_length, tables, seed, "__features", "__hashes")
 
     def bucketed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        hashed = with_hashes(model, df).select(*columns, F.posexplode("__hashes").alias("__table", "__hash"))
-        return hashed.withColumn("__bucket", vector_to_array("__hash")[0]).drop("__hash")
+        # Each hash is a vector of length one.
+        buckets = F.array(*[vector_to_array(F.col("__hashes")[i])[0] for i in range(tables)])
+        return with_hashes(model, df).select(*columns, F.posexplode(buckets).alias("__table", "__bucket"))
 
-    keys = [*by, "__table", "__bucket"]
-    lhs, rhs, keys = spread_both(
-        bucketed(lhs, [*left.columns, *axes]), bucketed(rhs, [*by, *axes]), keys, hot_rows=hot_rows, pair_side=pair_side
-    )
-    rhs = rhs.withColumnsRenamed({c: f"__r{c}" for c in rhs.columns})
+    keys = [*by, "__table", "__bucket", "__cell"]
+    first = F.col(axes[0])
+    lhs = bucketed(lhs, [*left.columns, *axes]).withColumn("__cell", own_cell(first, radius))
+    rhs = bucketed(rhs, [*by, *axes]).withColumn("__cell", F.explode(reached_cells(first, radius)))
+    rhs = rhs.withColumnsRenamed({a: f"__r{a}" for a in axes})
     squared = sum(((F.col(a) - F.col(f"__r{a}")) * (F.col(a) - F.col(f"__r{a}")) for a in axes), F.lit(0.0))
-    condition = F.sqrt(squared) < F.lit(radius)
-    for k in keys:
-        condition = (F.col(k) == F.col(f"__r{k}")) & condition
-    found = lhs.join(rhs, condition, "left_semi")
+    close = F.sqrt(squared) < F.lit(radius)
+    found = join_close(lhs, rhs, keys, close, "left_semi", hot_rows, pair_side)
     return found.select(*left.columns).distinct()

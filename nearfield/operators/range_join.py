@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.operators.axis import Axis, check_closed, shared_axis
-from nearfield.operators.skew import COPIES, HOT_ROWS, PAIR_SIDE, join_summary, pack_copies, spread_both
+from nearfield.operators.skew import HOT_ROWS, PAIR_SIDE, join_close, join_summary
 
 CELL = "__cell"
 POSITION = "__position"
@@ -53,8 +53,8 @@ def neighbour_summary(right: DataFrame, keys: Sequence[str], axis: Axis, slots:
 def place(left: DataFrame, axis: Axis, position: Column) -> DataFrame:
     """The left side with its ``__position`` and ``__cell``.
 
-    The cell is never null, also where the position is: a null cell would make the optimizer add
-    filters to the join branch alone, and the branch that counts keys could not share its scan.
+    The cell is never null, also where the position is: such rows match nothing, but an anti-join
+    has to keep them.
     """
     placed = left.withColumn(POSITION, position)
     return placed.withColumn(CELL, F.coalesce(axis.cell(F.col(POSITION), SEMI_CELL), F.lit(0).cast("bigint")))
@@ -66,36 +66,48 @@ def near(slot: str, axis: Axis, centre: Column, closed: str) -> Column:
     return F.coalesce(tests[0] | tests[1] | tests[2] | tests[3], F.lit(False))
 
 
-def _names(on) -> tuple[str, str]:
-    left, right = (on, on) if isinstance(on, str) else on
-    return left, right
-
-
 def flag_matches(
     left: DataFrame,
     summary: DataFrame,
-    keys: Sequence[str],
+    by: Sequence[str],
     axis: Axis,
     slots: Sequence[str],
     closed: str,
     how: str,
+    keep: Column | None,
     hot_rows: int,
 ) -> DataFrame:
-    """The placed left rows with one boolean per slot: whether it holds a match."""
-    joined = join_summary(left, summary, [*keys, CELL], how, hot_rows)
-    kept = [c for c in left.columns if c not in (POSITION, CELL)]
-    return joined.select(*kept, *[near(s, axis, F.col(POSITION), closed).alias(s) for s in slots])
+    """Distinct rows of the placed left side with one boolean per slot: whether it holds a match.
+
+    ``keep`` is a condition on the booleans. The distinct has the cell among its columns, and the
+    rows are already hashed by it, so it needs no shuffle of its own.
+    """
+    columns = [c for c in left.columns if c not in (POSITION, CELL)]
+
+    def finish(joined: DataFrame) -> DataFrame:
+        flags = [near(s, axis, F.col(POSITION), closed).alias(s) for s in slots]
+        flagged = joined.select(*columns, CELL, *flags)
+        return (flagged if keep is None else flagged.where(keep)).distinct().drop(CELL)
+
+    return join_summary(left, summary, [*by, CELL], how, finish, hot_rows)
 
 
-def _matched(left: DataFrame, right: DataFrame, on, within, by: Sequence[str], closed: str, hot_rows: int, how: str):
-    """Distinct left rows that could match, flagged; and a condition for those that could not."""
+def _names(on) -> tuple[str, str]:
+    left, right = (on, on) if isinstance(on, str) else on
+    return left, right
+
+
+def _matched(
+    left: DataFrame, right: DataFrame, on, within, by: Sequence[str], closed: str, hot_rows: int, how: str, keep: Column
+) -> tuple[DataFrame, Column]:
+    """Distinct left rows that pass ``keep``; and a condition for left rows not looked at, because
+    they can match nothing."""
     check_closed(closed)
     left_name, right_name = _names(on)
     left_type, right_type = left.schema[left_name].dataType, right.schema[right_name].dataType
     axis = shared_axis(left_type, right_type, within)
     position = axis.position(F.col(left_name), left_type)
     loose = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in by], position.isNull())
-    placed = place(left.where(~loose).distinct(), axis, position)
     # The right side's keys get names of their own, so both sides may come from one DataFrame.
     own = {k: f"__by{i}" for i, k in enumerate(by)}
     right_keys = right.select(
@@ -104,7 +116,9 @@ def _matched(left: DataFrame, right: DataFrame, on, within, by: Sequence[str], c
     )
     summary = neighbour_summary(right_keys, list(own.values()), axis, {MATCHED: F.lit(True)})
     summary = summary.withColumnsRenamed({name: k for k, name in own.items()})
-    return flag_matches(placed, summary, by, axis, [MATCHED], closed, how, hot_rows), loose
+    placed = place(left.where(~loose), axis, position)
+    found = flag_matches(placed, summary, by, axis, [MATCHED], closed, how, keep, hot_rows)
+    return found.select(*left.columns), loose
 
 
 def range_semi_join(
@@ -120,10 +134,9 @@ def range_semi_join(
 
     ``on`` names the key (a pair if the names differ), ``by`` further columns that must be equal.
     ``within`` is a number, or interval text such as ``"10 minutes"`` for timestamps. Null, NaN
-    and infinite keys match nothing.
+    and infinite keys match nothing. Cells with more than ``hot_rows`` left rows are not shuffled.
     """
-    flagged, _ = _matched(left, right, on, within, by, closed, hot_rows, "inner")
-    return flagged.where(F.col(MATCHED)).select(*left.columns)
+    return _matched(left, right, on, within, by, closed, hot_rows, "inner", F.col(MATCHED))[0]
 
 
 def range_anti_join(
@@ -136,34 +149,23 @@ def range_anti_join(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Distinct left rows that have no right key within the radius; arguments as in the semi-join."""
-    flagged, loose = _matched(left, right, on, within, by, closed, hot_rows, "left")
-    unmatched = flagged.where(~F.col(MATCHED)).select(*left.columns)
+    unmatched, loose = _matched(left, right, on, within, by, closed, hot_rows, "left", ~F.col(MATCHED))
     return unmatched.union(left.where(loose).distinct())
 
 
-def expand_copies(joined: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Repeat each row by the product of the named counts, and drop the counts."""
-    for name in names:
-        joined = joined.withColumn("__each", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(name))))
-        joined = joined.drop("__each", name)
-    return joined
-
-
 def pair_sides(
-    left: DataFrame, right: DataFrame, by: Sequence[str], suffixes: tuple[str, str], copies: bool
-) -> tuple[DataFrame, DataFrame, list[str], list[str], list[str]]:
-    """Both sides with suffixed columns and the equal keys as ``__by0 …``; then the output
-    columns, the equal keys and the copy counts."""
-    sides, counts = [], []
+    left: DataFrame, right: DataFrame, by: Sequence[str], suffixes: tuple[str, str]
+) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """Both sides with suffixed columns and the equal keys as ``__by0 …``; then the output columns
+    and the names of the equal keys."""
+    keys = [f"__by{i}" for i in range(len(by))]
+    sides = []
     for df, suffix in ((left, suffixes[0]), (right, suffixes[1])):
-        if copies:
-            df = pack_copies(df)
-            df = df.withColumnRenamed(COPIES, f"{COPIES}{suffix}").withColumnRenamed("__entry", f"__entry{suffix}")
-            counts.append(f"{COPIES}{suffix}")
-        df = df.withColumns({f"__by{i}": F.col(k) for i, k in enumerate(by)})
-        sides.append(df.withColumnsRenamed({c: c + suffix for c in df.columns if not c.startswith("__")}))
+        renamed = df.withColumnsRenamed({c: c + suffix for c in df.columns})
+        equal = {name: F.col(k + suffix) for name, k in zip(keys, by)}
+        sides.append(renamed.withColumns(equal).dropna(subset=keys) if keys else renamed)
     output = [c + s for df, s in ((left, suffixes[0]), (right, suffixes[1])) for c in df.columns]
-    return sides[0], sides[1], output, [f"__by{i}" for i in range(len(by))], counts
+    return sides[0], sides[1], output, keys
 
 
 def range_pairs(
@@ -174,37 +176,24 @@ def range_pairs(
     by: Sequence[str] = (),
     closed: str = "right",
     suffixes: tuple[str, str] = ("_left", "_right"),
-    copies: bool = True,
     hot_rows: int = HOT_ROWS,
     pair_side: int = PAIR_SIDE,
 ) -> DataFrame:
-    """All pairs whose right key is within the radius of the left key, columns suffixed.
-
-    ``copies=False`` skips the packing of equal rows, for sides known to have none.
-    """
+    """All pairs whose right key is within the radius of the left key, columns suffixed."""
     check_closed(closed)
     left_name, right_name = _names(on)
     left_type, right_type = left.schema[left_name].dataType, right.schema[right_name].dataType
     axis = shared_axis(left_type, right_type, within)
-    lhs, rhs, output, keys, counts = pair_sides(left, right, by, suffixes, copies)
-    c1 = axis.position(F.col(left_name + suffixes[0]), left_type)
-    c2 = axis.position(F.col(right_name + suffixes[1]), right_type)
-    lhs = lhs.withColumn("__c1", c1).where(F.col("__c1").isNotNull())
-    rhs = rhs.withColumn("__c2", c2).where(F.col("__c2").isNotNull())
-    lhs = lhs.withColumn(CELL, axis.cell(F.col("__c1"), PAIR_CELL))
+    lhs, rhs, output, keys = pair_sides(left, right, by, suffixes)
+    lhs = lhs.withColumn("__c1", axis.position(F.col(left_name + suffixes[0]), left_type))
+    rhs = rhs.withColumn("__c2", axis.position(F.col(right_name + suffixes[1]), right_type))
+    c1, c2 = F.col("__c1"), F.col("__c2")
+    lhs = lhs.where(c1.isNotNull()).withColumn(CELL, axis.cell(c1, PAIR_CELL))
     # A quarter radius more than needed: covers rounding in the cell numbers, costs few copies.
     reach = axis.lit(1.25) + (F.lit(1) if isinstance(axis.radius, int) else axis.lit(0))
-    low, high = (axis.cell(F.col("__c2") + s * reach, PAIR_CELL) for s in (-1, 1))
-    rhs = rhs.withColumn(CELL, F.explode(F.sequence(low, high)))
-    weights = [F.col(c) for c in counts] or [None, None]
-    lhs, rhs, keys = spread_both(
-        lhs,
-        rhs,
-        [*keys, CELL],
-        left_weight=weights[0],
-        right_weight=weights[1],
-        hot_rows=hot_rows,
-        pair_side=pair_side,
+    low, high = axis.cell(c2 - reach, PAIR_CELL), axis.cell(c2 + reach, PAIR_CELL)
+    rhs = rhs.where(c2.isNotNull()).withColumn(CELL, F.explode(F.sequence(low, high)))
+    pairs = join_close(
+        lhs, rhs, [*keys, CELL], axis.within(c2, c1, closed), hot_rows=hot_rows, pair_side=pair_side
     )
-    pairs = lhs.join(rhs, keys, "inner").where(axis.within(F.col("__c2"), F.col("__c1"), closed))
-    return expand_copies(pairs, counts).select(*output)
+    return pairs.select(*output)

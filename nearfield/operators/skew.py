@@ -1,15 +1,16 @@
-"""Splitting of hot join keys.
-
-Key counts are partial aggregates, so finding the hot keys costs one small shuffle. The list of
-hot keys is cut at ``HOT_KEYS`` rows, heaviest first, which bounds the broadcast: a key left off a
-full list holds less than one part in ``HOT_KEYS`` of the rows. No row is dropped; the list only
-decides which keys are spread over more tasks. The salt is a hash of the row's content, so a task
-that is run again gives its rows the same salts.
+"""Joins that stay balanced when a key holds a large part of the rows.
+
+Both joins count rows per key (a partial aggregate over the key columns alone) and list the hot
+keys, heaviest first, at most ``HOT_KEYS`` of them. The cut bounds the broadcast of the list and
+drops no row: the list only decides which keys get the treatment for hot ones, and a key left off
+a full list holds less than one part in ``HOT_KEYS`` of the rows. Where the list is empty, Spark
+removes the branch for hot keys while the query runs. Salts are hashes of the rows' content, so a
+task that is run again gives its rows the same salts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,101 +20,123 @@ HOT_ROWS = 1_000_000
 PAIR_SIDE = 10_000
 COPIES_PER_ENTRY = 100_000
 
-SALT = "__salt"
-SALT_OTHER = "__salt_other"
-COPIES = "__copies"
+_HOT = "__hot"
+
 
+def _count_rows(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
-def _row_hash(columns: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(c) for c in columns])
+
+def _without(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of other keys. An outer join and a filter: an anti-join would be pushed below
+    aggregates of ``df``, and branches of the query could no longer share them."""
+    marked = df.join(hot.select(*keys, F.lit(True).alias(_HOT)), list(keys), "left")
+    return marked.where(F.col(_HOT).isNull()).select(*df.columns)
 
 
 def join_summary(
-    left: DataFrame, summary: DataFrame, keys: Sequence[str], how: str, hot_rows: int = HOT_ROWS
+    left: DataFrame,
+    summary: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    finish: Callable[[DataFrame], DataFrame],
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join (inner or left) with a right side that has one row per key; hot keys stay in place.
+    """Join (inner or left) with a right side that has one row per key, then ``finish``.
 
-    The summary rows of the hot keys, at most ``HOT_KEYS`` of them, are broadcast, so the left rows
-    of hot keys are not shuffled. The others meet the summary where its own aggregate left it.
-    The keys of ``left`` must not be null.
+    The summary rows of hot keys, at most ``HOT_KEYS``, are broadcast, so left rows of hot keys are
+    not shuffled for the join. The others meet the summary where its own aggregate left it, hashed
+    by the keys. ``finish`` runs on each part; all rows of a key are in one part. The keys of
+    ``left`` must not be null.
     """
     keys = list(keys)
     hot = F.broadcast(
-        left.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
+        _count_rows(left, keys, "__n")
         .where(F.col("__n") > hot_rows)
         .orderBy(F.col("__n").desc(), *keys)
         .limit(HOT_KEYS)
-        .select(*keys, F.lit(True).alias("__hot"))
+        .select(*keys)
     )
-    marked = left.join(hot, keys, "left")
-    cold = marked.where(F.col("__hot").isNull()).select(*left.columns).join(summary, keys, how)
+    cold = _without(left, hot, keys).join(summary, keys, how)
+    in_place = left.join(hot, keys).select(*left.columns)
     hot_summary = F.broadcast(summary.join(hot, keys).select(*summary.columns))
-    warm = marked.where(F.col("__hot")).select(*left.columns).join(hot_summary, keys, how)
-    return cold.unionByName(warm)
+    return finish(cold).unionByName(finish(in_place.join(hot_summary, keys, how)))
 
 
-def pack_copies(df: DataFrame, per_entry: int = COPIES_PER_ENTRY) -> DataFrame:
-    """Equal rows become one entry with a count, or several entries of a bounded count.
+def pack_copies(df: DataFrame, copies: str, per_entry: int = COPIES_PER_ENTRY) -> DataFrame:
+    """Equal rows become one entry with their number, or several entries of a bounded number.
 
-    The columns ``__entry`` and ``__copies`` are added.
+    The columns ``__entry`` and ``copies`` are added.
     """
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__total"))
     entries = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__total") - 1) / F.lit(per_entry)))
     return (
         counted.withColumn("__entry", F.explode(entries))
-        .withColumn(COPIES, F.least(F.lit(per_entry), F.col("__total") - F.col("__entry") * per_entry))
+        .withColumn(copies, F.least(F.lit(per_entry), F.col("__total") - F.col("__entry") * per_entry))
         .drop("__total")
     )
 
 
-def spread_both(
+def _expand(df: DataFrame, copies: str) -> DataFrame:
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies))).alias("__each")
+    return df.select("*", each).drop("__each", copies)
+
+
+def join_close(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    *,
-    left_weight: Column | None = None,
-    right_weight: Column | None = None,
+    condition: Column,
+    how: str = "inner",
     hot_rows: int = HOT_ROWS,
     pair_side: int = PAIR_SIDE,
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Split hot keys on both sides of a join that tests pairs.
+) -> DataFrame:
+    """Join (inner or left_semi) on the keys and a condition that is tested on the pairs of a key.
 
-    A key's left rows are split into ``a`` parts and its right rows into ``b``; part ``i`` meets
-    part ``j`` under the key (key, i, j). One task then tests at most about ``pair_side`` squared
-    pairs of a hot key. Returns both sides and the extended keys.
+    Apart from the keys the sides must share no column names; the output is the left columns, and
+    for an inner join the right columns without the keys. A hot key's left rows are split into
+    ``a`` parts and its right rows into ``b``; part ``i`` meets part ``j`` under (key, i, j), so one
+    task tests about ``pair_side`` squared pairs of that key. Equal rows of hot keys travel as one
+    entry with a count. A semi-join may repeat a left row that occurs once per part; distinct it.
     """
     keys = list(keys)
-    one = F.lit(1)
-    n_left = left.groupBy(*keys).agg(F.sum(one if left_weight is None else left_weight).alias("__nl"))
-    n_right = right.groupBy(*keys).agg(F.sum(one if right_weight is None else right_weight).alias("__nr"))
     nl, nr = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("__nl", "__nr"))
     load = F.greatest(nl * nr / F.lit(float(pair_side) ** 2), nl / F.lit(hot_rows), nr / F.lit(hot_rows))
+    parts = [F.greatest(F.ceil(n / F.lit(pair_side)), F.lit(1)) for n in (nl, nr)]
     hot = F.broadcast(
-        n_left.join(n_right, keys, "full")
+        _count_rows(left, keys, "__nl")
+        .join(_count_rows(right, keys, "__nr"), keys, "full")
         .withColumn("__load", load)
         .where(F.col("__load") > 1)
         .orderBy(F.col("__load").desc(), *keys)
         .limit(HOT_KEYS)
-        .select(
-            *keys,
-            F.greatest(F.ceil(nl / F.lit(pair_side)), F.lit(1)).alias("__a"),
-            F.greatest(F.ceil(nr / F.lit(pair_side)), F.lit(1)).alias("__b"),
-        )
-    )
-    a, b = (F.coalesce(F.col(c), F.lit(1)) for c in ("__a", "__b"))
-    zero = F.lit(0).cast("bigint")
-
-    def side(df: DataFrame, own: Column, other: Column, own_salt: str, other_salt: str) -> DataFrame:
-        return (
-            df.join(hot, keys, "left")
-            .withColumn(own_salt, F.pmod(_row_hash(df.columns), own))
-            .withColumn(other_salt, F.explode(F.sequence(zero, other - 1)))
-            .select(*df.columns, own_salt, other_salt)
-        )
-
-    return (
-        side(left, a, b, SALT, SALT_OTHER),
-        side(right, b, a, SALT_OTHER, SALT),
-        [*keys, SALT, SALT_OTHER],
+        .select(*keys, parts[0].alias("__a"), parts[1].alias("__b"))
     )
+    output = [*left.columns] + ([c for c in right.columns if c not in keys] if how == "inner" else [])
+
+    def joined(lhs: DataFrame, rhs: DataFrame, on: Sequence[str]) -> DataFrame:
+        rhs = rhs.withColumnsRenamed({k: f"__k_{k}" for k in on})
+        test = condition
+        for k in on:
+            test = (F.col(k) == F.col(f"__k_{k}")) & test
+        return lhs.join(rhs, test, how)
+
+    def salted(df: DataFrame, own: str, other: str, copies: str) -> DataFrame:
+        rows = df.join(hot, keys)
+        if how == "inner":
+            rows = pack_copies(rows, copies)
+            row = F.xxhash64(*df.columns, "__entry")
+        else:
+            rows = rows.distinct()
+            row = F.xxhash64(*df.columns)
+        here, there = f"__salt{own}", f"__salt{other}"
+        rows = rows.withColumn(here, F.pmod(row, F.col(own)))
+        rows = rows.withColumn(there, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)))
+        return rows.drop("__a", "__b", "__entry")
+
+    cold = joined(_without(left, hot, keys), _without(right, hot, keys), keys).select(*output)
+    lhs, rhs = salted(left, "__a", "__b", "__cl"), salted(right, "__b", "__a", "__cr")
+    split = joined(lhs, rhs, [*keys, "__salt__a", "__salt__b"])
+    if how == "inner":
+        split = _expand(_expand(split, "__cl"), "__cr")
+    return cold.unionByName(split.select(*output))

@@ -74,34 +74,51 @@ def strong(hits: DataFrame, rule: Rule) -> DataFrame:
     return above(hits, min(rule.snr_on, rule.snr_off), rule.min_drift, rule.abs_drift).where(on | off)
 
 
-def _flag(anchors: DataFrame, others: DataFrame, rule: Rule, radius, slots: Mapping[str, Column], how: str):
-    """Anchors with one boolean per slot: whether the slot's hits hold a match."""
+def _all(conditions) -> Column:
+    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+
+
+def _flag(
+    anchors: DataFrame,
+    others: DataFrame,
+    rule: Rule,
+    radius: float,
+    slots: Mapping[str, Column],
+    how: str,
+    keep: Column | None = None,
+) -> DataFrame:
+    """Distinct anchors with one boolean per slot: whether the slot's hits hold a match."""
     key_type = anchors.schema["frequency"].dataType
     axis = shared_axis(key_type, key_type, radius)
     centre = axis.position(F.col("frequency"), key_type)
-    placed = place(anchors, axis, centre)
     chosen = others.where(reduce(lambda a, b: a | b, slots.values()))
     summary = neighbour_summary(chosen.withColumn(POSITION, centre), [GROUP], axis, slots)
-    return flag_matches(placed, summary, [GROUP], axis, list(slots), rule.closed, how, rule.hot_rows)
+    placed = place(anchors, axis, centre)
+    return flag_matches(placed, summary, [GROUP], axis, list(slots), rule.closed, how, keep, rule.hot_rows)
 
 
-def _matched_anchors(hits: DataFrame, rule: Rule, on_slots: Mapping[str, Column], off_slots: Mapping[str, Column]):
-    """Distinct anchor hits with a boolean per slot. Anchors near nothing in their ON
-    observations may be missing."""
+def _matched_anchors(
+    hits: DataFrame, rule: Rule, on: Mapping[str, Column], off: Mapping[str, Column], only_anomalous: bool
+) -> DataFrame:
+    """Distinct anchor hits with a boolean per slot. Anchors that fail every stage may be missing."""
     rows = strong(hits, rule).where(F.col(GROUP).isNotNull())
-    order = F.col(ORDER)
-    if on_slots:
+    if on:
         rows = rows.where(F.col("frequency").isNotNull())
-    others = rows.where(order != rule.on_orders[0])
-    anchors = rows.where(order == rule.on_orders[0]).distinct()
-    if on_slots and off_slots and rule.r_on == rule.r_off:
-        return _flag(anchors, others, rule, rule.r_on, {**on_slots, **off_slots}, "inner")
-    if on_slots:
-        anchors = _flag(anchors, others, rule, rule.r_on, on_slots, "inner")
-        anchors = anchors.where(reduce(lambda a, b: a & b, [F.col(s) for s in on_slots])) if off_slots else anchors
-    if off_slots:
-        anchors = _flag(anchors, others, rule, rule.r_off, off_slots, "left")
-    return anchors
+    anchors, others = (rows.where(test) for test in _split(rule))
+    keep_on, keep_off = _all(F.col(s) for s in on), _all(~F.col(s) for s in off)
+    if on and off and rule.r_on == rule.r_off:
+        keep = keep_on & keep_off if only_anomalous else None
+        return _flag(anchors, others, rule, rule.r_on, {**on, **off}, "inner", keep)
+    if on:
+        anchors = _flag(anchors, others, rule, rule.r_on, on, "inner", keep_on if only_anomalous else None)
+    if off:
+        anchors = _flag(anchors, others, rule, rule.r_off, off, "left", keep_off if only_anomalous else None)
+    return anchors if on or off else anchors.distinct()
+
+
+def _split(rule: Rule) -> tuple[Column, Column]:
+    anchor = F.col(ORDER) == rule.on_orders[0]
+    return anchor, ~anchor
 
 
 def detect_anomalies(hits: DataFrame, rule: Rule = BATCH_RULE) -> DataFrame:
@@ -111,9 +128,7 @@ def detect_anomalies(hits: DataFrame, rule: Rule = BATCH_RULE) -> DataFrame:
     on = {f"__on{o}": order == o for o in rule.on_orders[1:]}
     # No match in any OFF observation is no match in all of them taken together.
     off = {"__off": order.isin(*rule.off_orders)} if rule.off_orders else {}
-    found = _matched_anchors(hits, rule, on, off)
-    keep = reduce(lambda a, b: a & b, [F.col(s) for s in on] + [~F.col(s) for s in off], F.lit(True))
-    return found.where(keep).select(*hits.columns)
+    return _matched_anchors(hits, rule, on, off, only_anomalous=True).select(*hits.columns)
 
 
 def observation_counts(hits: DataFrame, rule: Rule = BATCH_RULE) -> DataFrame:
@@ -131,13 +146,7 @@ def detection_funnel(hits: DataFrame, rule: Rule = BATCH_RULE) -> DataFrame:
     order = F.col(ORDER)
     on = {f"__on{o}": order == o for o in rule.on_orders[1:]}
     off = {f"__off{o}": order == o for o in rule.off_orders}
-    if rule.r_on == rule.r_off or not (on and off):
-        found = _matched_anchors(hits, rule, on, off)
-    else:
-        # Two radii: anchors that fail an ON stage are still counted in the stages before it.
-        anchors = strong(hits, rule).where(order == rule.on_orders[0]).distinct()
-        others = strong(hits, rule).where(order != rule.on_orders[0])
-        found = _flag(_flag(anchors, others, rule, rule.r_on, on, "inner"), others, rule, rule.r_off, off, "left")
+    found = _matched_anchors(hits, rule, on, off, only_anomalous=False)
     alive, counts = F.lit(True), []
     for stage, test in zip(funnel_stages(rule), [F.col(s) for s in on] + [~F.col(s) for s in off]):
         alive = alive & test

@@ -217,8 +217,8 @@ def test_both_sides_from_one_table(spark):
 def test_pairs_keep_copies(spark):
     left = spark.createDataFrame([("a", 1.0)] * 5 + [("b", 2.0)], "id string, c double")
     right = spark.createDataFrame([(1.2,)] * 3, "c double")
-    for copies in (True, False):
-        pairs = range_pairs(left, right, "c", 0.5, copies=copies, hot_rows=1, pair_side=2)
+    for hot in ({}, {"hot_rows": 1, "pair_side": 2}):
+        pairs = range_pairs(left, right, "c", 0.5, **hot)
         assert pairs.count() == 15
         assert {r["id_left"] for r in pairs.collect()} == {"a"}
 
