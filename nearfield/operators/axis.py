@@ -61,12 +61,17 @@ class Axis:
             return F.floor(ratio).cast("bigint")
         return _double_cell(ratio)
 
-    def within(self, value: Column, centre: Column, closed: str) -> Column:
-        """``value`` in the interval of one radius on both sides of ``centre``."""
-        low, high = centre - self.lit(), centre + self.lit()
-        above = value >= low if closed in ("left", "both") else value > low
-        below = value <= high if closed in ("right", "both") else value < high
-        return above & below
+    def around(self, centre: Column) -> tuple[Column, Column]:
+        """The ends of the interval of one radius on both sides of ``centre``."""
+        return centre - self.lit(), centre + self.lit()
+
+
+def inside(value: Column, ends: tuple[Column, Column], closed: str) -> Column:
+    """``value`` between the ends, of which ``closed`` belong to the interval."""
+    low, high = ends
+    above = value >= low if closed in ("left", "both") else value > low
+    below = value <= high if closed in ("right", "both") else value < high
+    return above & below
 
 
 def _double_cell(ratio: Column) -> Column:

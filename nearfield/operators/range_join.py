@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.operators.axis import Axis, check_closed, shared_axis
+from nearfield.operators.axis import Axis, check_closed, inside, shared_axis
 from nearfield.operators.skew import HOT_ROWS, PAIR_SIDE, join_close, join_summary
 
 CELL = "__cell"
@@ -60,9 +60,9 @@ def place(left: DataFrame, axis: Axis, position: Column) -> DataFrame:
     return placed.withColumn(CELL, F.coalesce(axis.cell(F.col(POSITION), SEMI_CELL), F.lit(0).cast("bigint")))
 
 
-def near(slot: str, axis: Axis, centre: Column, closed: str) -> Column:
-    """True where a summary row of ``slot`` holds a match for ``centre``."""
-    tests = [axis.within(F.col(f"{slot}_{e}"), centre, closed) for e in _EXTREMES]
+def near(slot: str, ends: tuple[Column, Column], closed: str) -> Column:
+    """True where a summary row of ``slot`` holds a value between the ends."""
+    tests = [inside(F.col(f"{slot}_{e}"), ends, closed) for e in _EXTREMES]
     return F.coalesce(tests[0] | tests[1] | tests[2] | tests[3], F.lit(False))
 
 
@@ -83,9 +83,10 @@ def flag_matches(
     rows are already hashed by it, so it needs no shuffle of its own.
     """
     columns = [c for c in left.columns if c not in (POSITION, CELL)]
+    ends = axis.around(F.col(POSITION))
+    flags = [near(s, ends, closed).alias(s) for s in slots]
 
     def finish(joined: DataFrame) -> DataFrame:
-        flags = [near(s, axis, F.col(POSITION), closed).alias(s) for s in slots]
         flagged = joined.select(*columns, CELL, *flags)
         return (flagged if keep is None else flagged.where(keep)).distinct().drop(CELL)
 
@@ -193,7 +194,5 @@ def range_pairs(
     reach = axis.lit(1.25) + (F.lit(1) if isinstance(axis.radius, int) else axis.lit(0))
     low, high = axis.cell(c2 - reach, PAIR_CELL), axis.cell(c2 + reach, PAIR_CELL)
     rhs = rhs.where(c2.isNotNull()).withColumn(CELL, F.explode(F.sequence(low, high)))
-    pairs = join_close(
-        lhs, rhs, [*keys, CELL], axis.within(c2, c1, closed), hot_rows=hot_rows, pair_side=pair_side
-    )
-    return pairs.select(*output)
+    close = inside(c2, axis.around(c1), closed)
+    return join_close(lhs, rhs, [*keys, CELL], close, hot_rows=hot_rows, pair_side=pair_side).select(*output)

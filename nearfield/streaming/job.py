@@ -97,34 +97,37 @@ def stream_feed(spark: SparkSession, root: str) -> DataFrame:
     return anomaly_feed(spark.readStream.schema(STORED_GROUPS).parquet(Tables(root).groups))
 
 
-def _report(
-    spark: SparkSession, tables: Tables, closed: DataFrame, rule: Rule, metadata: DataFrame | None
-) -> DataFrame | None:
-    """Result rows of the closed groups, from all their stored hits; None if there are none."""
-    named = [r[0] for r in closed.limit(MAX_NAMED_GROUPS + 1).collect()]
-    if not named:
-        return None
-    if len(named) <= MAX_NAMED_GROUPS:
-        raw = _raw_hits(spark, tables, sorted(named))
-    else:
-        raw = _raw_hits(spark, tables, None).join(closed, GROUP, "left_semi")
-    return group_results(latest(raw, HIT_KEY, VERSION), rule, metadata, groups=raw)
+def _group_rows(spark: SparkSession, groups: list[int]) -> DataFrame:
+    return spark.createDataFrame([(g,) for g in groups], T.StructType([HITS[GROUP]]))
 
 
-def _closed_groups(ids: DataFrame, low, high, count: int, last: int | None, compat: bool) -> DataFrame:
-    """Groups to report after a batch with these distinct ids; ``last`` is the highest before it."""
-    group = F.col(GROUP)
+def _closed_groups(hits: DataFrame, low, high, last: int | None, compat: bool) -> list[int] | DataFrame:
+    """Groups to report after a batch whose ids run from ``low`` to ``high`` (None if it has no
+    hits); ``last`` is the highest id before it. A list, or a DataFrame if there are many."""
     if compat:
-        return ids.where(group == low) if count > 1 else ids.limit(0)
-    if high is None or (last is not None and high <= last):
-        top = last
+        return [low] if low is not None and low < high else []
+    top = max((g for g in (last, high) if g is not None), default=None)
+    open_before = [last] if last is not None and last < top else []
+    if low is None or low == top:
+        return open_before
+    if low == high:
+        return sorted({low, *open_before})
+    late = hits.where(F.col(GROUP) < top).select(GROUP).distinct()
+    few = [r[0] for r in late.limit(MAX_NAMED_GROUPS + 1).collect()]
+    if len(few) <= MAX_NAMED_GROUPS:
+        return sorted({*few, *open_before})
+    return late.unionByName(_group_rows(hits.sparkSession, open_before)).distinct()
+
+
+def _report(
+    spark: SparkSession, tables: Tables, closed: list[int] | DataFrame, rule: Rule, metadata: DataFrame | None
+) -> DataFrame:
+    """Result rows of the closed groups, from all their stored hits."""
+    if isinstance(closed, list):
+        raw, groups = _raw_hits(spark, tables, closed), _group_rows(spark, closed)
     else:
-        top = high
-    closed = ids.where(group < top) if top is not None else ids.limit(0)
-    if last is not None and last < top:
-        open_before = ids.sparkSession.createDataFrame([(last,)], T.StructType([HITS[GROUP]]))
-        closed = closed.unionByName(open_before).distinct()
-    return closed
+        raw, groups = _raw_hits(spark, tables, None).join(closed, GROUP, "left_semi"), closed
+    return group_results(latest(raw, HIT_KEY, VERSION), rule, metadata, groups)
 
 
 def process_batch(
@@ -143,18 +146,18 @@ def process_batch(
     try:
         hits = good_hits(parsed, "partition", "offset")
         write_batch(hits, tables.hits, batch_id, ["observationgroup"])
-        write_batch(bad_messages(parsed), tables.rejects, batch_id)
-        ids = hits.select(GROUP).distinct()
-        low, high, count = ids.agg(F.min(GROUP), F.max(GROUP), F.count(F.lit(1))).first()
+        group = F.when(F.col("reason").isNull(), F.col(GROUP))
+        low, high, bad = parsed.agg(F.min(group), F.max(group), F.count("reason")).first()
+        if bad:
+            write_batch(bad_messages(parsed), tables.rejects, batch_id)
         last = None
         if batch_id > 0:
-            last = spark.read.parquet(f"{tables.progress}/batch_id={batch_id - 1}").first()["max_group"]
-        top = max((g for g in (last, high) if g is not None), default=None)
-        closed = _closed_groups(ids, low, high, count, last, compat)
-        results = _report(spark, tables, closed, rule, metadata)
-        if results is not None:
-            write_batch(results, tables.groups, batch_id)
+            last = spark.read.schema(PROGRESS).parquet(f"{tables.progress}/batch_id={batch_id - 1}").first()[0]
+        closed = _closed_groups(hits, low, high, last, compat)
+        if isinstance(closed, DataFrame) or closed:
+            write_batch(_report(spark, tables, closed, rule, metadata), tables.groups, batch_id)
         # Written last: the next batch can rely on this one being complete.
+        top = max((g for g in (last, high) if g is not None), default=None)
         progress = spark.createDataFrame([(top,)], T.StructType(PROGRESS.fields[:1]))
         write_batch(progress, tables.progress, batch_id)
     finally:
@@ -168,8 +171,7 @@ def flush(spark: SparkSession, root: str, rule: Rule = STREAM_RULE, metadata: Da
     newest = progress.agg(F.max(F.struct("batch_id", "max_group")).alias("newest")).first()["newest"]
     if newest is None or newest["max_group"] is None:
         return
-    open_group = spark.createDataFrame([(newest["max_group"],)], T.StructType([HITS[GROUP]]))
-    results = _report(spark, tables, open_group, rule, metadata)
+    results = _report(spark, tables, [newest["max_group"]], rule, metadata)
     rows = results.withColumn("batch_id", F.lit(newest["batch_id"]).cast("bigint"))
     rows.write.mode("append").partitionBy("batch_id").parquet(tables.groups)
 

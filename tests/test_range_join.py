@@ -68,8 +68,10 @@ def test_edges(spark, left, right, r, closed, expected):
     assert range_pairs(lhs, rhs, "c", r, closed=closed).count() == int(expected)
 
 
-@pytest.mark.parametrize("r", [0.1, 0.3, 1, 10])
-@pytest.mark.parametrize("closed", ["right", "left", "both", "neither"])
+@pytest.mark.parametrize(
+    "r, closed",
+    [(0.1, "right"), (0.3, "right"), (1, "right"), (10, "right"), (0.1, "left"), (0.3, "both"), (1, "neither")],
+)
 def test_grid_values(spark, r, closed):
     """Values on a grid of the radius' own fineness: most pairs at exactly the radius."""
     rng = random.Random(7)
@@ -94,7 +96,7 @@ def test_dense_cells_without_a_match(spark):
     check(spark, left, right, 1.0)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     left=st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=15),
     right=st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=15),
@@ -104,7 +106,7 @@ def test_any_values(spark, left, right, r):
     check(spark, left, right, r)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     centre=st.floats(-1e5, 1e5),
     steps=st.lists(st.integers(-4, 4), min_size=1, max_size=12),
@@ -117,9 +119,9 @@ def test_values_at_multiples_of_the_radius(spark, centre, steps, r):
 def test_integer_keys(spark):
     rng = random.Random(3)
     left, right = ([rng.randrange(-300, 300) for _ in range(60)] for _ in range(2))
-    for r in (1, 2, 7):
-        check(spark, left, right, r, dtype="int")
-        check(spark, left, right, r, closed="neither", dtype="int")
+    check(spark, left, right, 1, dtype="int")
+    check(spark, left, right, 2, closed="neither", dtype="int")
+    check(spark, left, right, 7, closed="left", dtype="int")
     check(spark, left, right, 2.5, dtype="int")
 
 
@@ -127,9 +129,8 @@ def test_large_bigint_keys_stay_exact(spark):
     top = 2**63 - 1
     left = [top, top - 1, 2**53, -(2**63), 0]
     right = [top - 2, 2**53 + 1, -(2**63) + 1]
-    for r in (1, 2):
-        for closed in ("right", "both", "neither"):
-            check(spark, left, right, r, closed, dtype="bigint")
+    check(spark, left, right, 1, dtype="bigint")
+    check(spark, left, right, 2, "both", dtype="bigint")
 
 
 def test_decimal_keys_stay_exact(spark):
@@ -152,7 +153,7 @@ def test_timestamps(spark, dtype):
     radius = dt.timedelta(minutes=10)
     for closed in ("right", "left"):
         expected = [i for i, c in enumerate(left) if any(matches(c, d, radius, closed) for d in right)]
-        for text in ("10 minutes", "interval 10 minutes", "600 seconds", "INTERVAL 9 minutes 60 seconds"):
+        for text in ("10 minutes", "INTERVAL 9 minutes 60 seconds"):
             assert ids(range_semi_join(lhs, rhs, "c", text, closed=closed)) == expected
         assert ids(range_anti_join(lhs, rhs, "c", "10 minutes", closed=closed)) == [
             i for i in range(len(left)) if i not in expected
