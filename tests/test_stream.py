@@ -9,7 +9,7 @@ from nearfield.schema import HITS
 from nearfield.sources.messages import message_values, text_messages
 from nearfield.streaming import job
 
-RULE = Rule(r_on=0.7, r_off=0.7)
+RULE = Rule(r_on=0.7, r_off=0.7, snr_off=70)
 
 
 def random_rows(groups, n, seed=1):
@@ -48,7 +48,7 @@ def batches_in_order():
     rng = random.Random(4)
     out = []
     for i, groups in enumerate(ORDER):
-        rows = random_rows(groups, 60, seed=i)
+        rows = random_rows(groups, 300, seed=i)
         rows += [(g, 1, rng.uniform(0, 20), 90.0, 0.5, 0.0) for g in groups]
         out.append(rows)
     return out
