@@ -260,11 +260,15 @@ def first_group(spark, sf_dir):
 
 
 def stream_detect(spark, sf_dir):
-    """The messages sorted into files by group, played as a stream of several batches."""
+    """The messages sorted into files by group, played as a stream of four batches or so.
+
+    There are as many files as shuffle partitions; a large group lies in several.
+    """
     root = scratch_dir(spark, "stream")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = messages(spark, sf_dir).withColumn("group", F.split("value", SEPARATOR)[1].cast("int"))
-    sent.repartitionByRange(4, "group").select("value").write.text(f"{root}/in")
-    arriving = text_messages(spark, f"{root}/in", maxFilesPerTrigger=1)
+    sent.repartitionByRange(files, "group", F.xxhash64("value")).select("value").write.text(f"{root}/in")
+    arriving = text_messages(spark, f"{root}/in", maxFilesPerTrigger=max(1, files // 4))
     job.run_available(arriving, f"{root}/tables", RULE, metadata(spark, sf_dir))
     return job.read_results(spark, f"{root}/tables")
 

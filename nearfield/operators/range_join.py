@@ -12,7 +12,6 @@ side shrinks, before its shuffle, to one row per cell, however dense the data.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,11 +52,11 @@ def neighbour_summary(right: DataFrame, keys: Sequence[str], axis: Axis, slots:
 def place(left: DataFrame, axis: Axis, position: Column) -> DataFrame:
     """The left side with its ``__position`` and ``__cell``.
 
-    The cell is never null, also where the position is: such rows match nothing, but an anti-join
-    has to keep them.
+    Rows without a position match nothing, but an anti-join has to keep them; a hash of the row as
+    their cell spreads them over the tasks.
     """
     placed = left.withColumn(POSITION, position)
-    return placed.withColumn(CELL, F.coalesce(axis.cell(F.col(POSITION), SEMI_CELL), F.lit(0).cast("bigint")))
+    return placed.withColumn(CELL, F.coalesce(axis.cell(F.col(POSITION), SEMI_CELL), F.xxhash64(*left.columns)))
 
 
 def near(slot: str, ends: tuple[Column, Column], closed: str) -> Column:
@@ -100,15 +99,16 @@ def _names(on) -> tuple[str, str]:
 
 def _matched(
     left: DataFrame, right: DataFrame, on, within, by: Sequence[str], closed: str, hot_rows: int, how: str, keep: Column
-) -> tuple[DataFrame, Column]:
-    """Distinct left rows that pass ``keep``; and a condition for left rows not looked at, because
-    they can match nothing."""
+) -> DataFrame:
+    """Distinct left rows that pass ``keep``."""
     check_closed(closed)
     left_name, right_name = _names(on)
     left_type, right_type = left.schema[left_name].dataType, right.schema[right_name].dataType
     axis = shared_axis(left_type, right_type, within)
     position = axis.position(F.col(left_name), left_type)
-    loose = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in by], position.isNull())
+    if how == "inner":
+        left = left.where(position.isNotNull())
+        left = left.dropna(subset=list(by)) if by else left
     # The right side's keys get names of their own, so both sides may come from one DataFrame.
     own = {k: f"__by{i}" for i, k in enumerate(by)}
     right_keys = right.select(
@@ -117,9 +117,8 @@ def _matched(
     )
     summary = neighbour_summary(right_keys, list(own.values()), axis, {MATCHED: F.lit(True)})
     summary = summary.withColumnsRenamed({name: k for k, name in own.items()})
-    placed = place(left.where(~loose), axis, position)
-    found = flag_matches(placed, summary, by, axis, [MATCHED], closed, how, keep, hot_rows)
-    return found.select(*left.columns), loose
+    placed = place(left, axis, position)
+    return flag_matches(placed, summary, by, axis, [MATCHED], closed, how, keep, hot_rows).select(*left.columns)
 
 
 def range_semi_join(
@@ -137,7 +136,7 @@ def range_semi_join(
     ``within`` is a number, or interval text such as ``"10 minutes"`` for timestamps. Null, NaN
     and infinite keys match nothing. Cells with more than ``hot_rows`` left rows are not shuffled.
     """
-    return _matched(left, right, on, within, by, closed, hot_rows, "inner", F.col(MATCHED))[0]
+    return _matched(left, right, on, within, by, closed, hot_rows, "inner", F.col(MATCHED))
 
 
 def range_anti_join(
@@ -150,8 +149,7 @@ def range_anti_join(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Distinct left rows that have no right key within the radius; arguments as in the semi-join."""
-    unmatched, loose = _matched(left, right, on, within, by, closed, hot_rows, "left", ~F.col(MATCHED))
-    return unmatched.union(left.where(loose).distinct())
+    return _matched(left, right, on, within, by, closed, hot_rows, "left", ~F.col(MATCHED))
 
 
 def pair_sides(

@@ -11,6 +11,7 @@ task that is run again gives its rows the same salts.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +28,17 @@ def _count_rows(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def _on_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join with the list of hot keys, in which null is a key like any other."""
+    named = hot.withColumnsRenamed({k: f"__hot_{k}" for k in keys}).withColumn(_HOT, F.lit(True))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
+    return df.join(F.broadcast(named), same, how).drop(*[f"__hot_{k}" for k in keys])
+
+
 def _without(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows of other keys. An outer join and a filter: an anti-join would be pushed below
     aggregates of ``df``, and branches of the query could no longer share them."""
-    marked = df.join(hot.select(*keys, F.lit(True).alias(_HOT)), list(keys), "left")
-    return marked.where(F.col(_HOT).isNull()).select(*df.columns)
+    return _on_hot(df, hot, keys, "left").where(F.col(_HOT).isNull()).select(*df.columns)
 
 
 def join_summary(
@@ -46,11 +53,10 @@ def join_summary(
 
     The summary rows of hot keys, at most ``HOT_KEYS``, are broadcast, so left rows of hot keys are
     not shuffled for the join. The others meet the summary where its own aggregate left it, hashed
-    by the keys. ``finish`` runs on each part; all rows of a key are in one part. The keys of
-    ``left`` must not be null.
+    by the keys. ``finish`` runs on each part; all rows of a key are in one part.
     """
     keys = list(keys)
-    hot = F.broadcast(
+    hot = (
         _count_rows(left, keys, "__n")
         .where(F.col("__n") > hot_rows)
         .orderBy(F.col("__n").desc(), *keys)
@@ -58,8 +64,8 @@ def join_summary(
         .select(*keys)
     )
     cold = _without(left, hot, keys).join(summary, keys, how)
-    in_place = left.join(hot, keys).select(*left.columns)
-    hot_summary = F.broadcast(summary.join(hot, keys).select(*summary.columns))
+    in_place = _on_hot(left, hot, keys, "inner").select(*left.columns)
+    hot_summary = F.broadcast(_on_hot(summary, hot, keys, "inner").select(*summary.columns))
     return finish(cold).unionByName(finish(in_place.join(hot_summary, keys, how)))
 
 
@@ -103,7 +109,7 @@ def join_close(
     nl, nr = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("__nl", "__nr"))
     load = F.greatest(nl * nr / F.lit(float(pair_side) ** 2), nl / F.lit(hot_rows), nr / F.lit(hot_rows))
     parts = [F.greatest(F.ceil(n / F.lit(pair_side)), F.lit(1)) for n in (nl, nr)]
-    hot = F.broadcast(
+    hot = (
         _count_rows(left, keys, "__nl")
         .join(_count_rows(right, keys, "__nr"), keys, "full")
         .withColumn("__load", load)
@@ -122,7 +128,7 @@ def join_close(
         return lhs.join(rhs, test, how)
 
     def salted(df: DataFrame, own: str, other: str, copies: str) -> DataFrame:
-        rows = df.join(hot, keys)
+        rows = _on_hot(df, hot, keys, "inner").drop(_HOT)
         if how == "inner":
             rows = pack_copies(rows, copies)
             row = F.xxhash64(*df.columns, "__entry")

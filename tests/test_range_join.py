@@ -206,6 +206,17 @@ def test_equal_keys_names_and_extra_columns(spark):
     assert pairs.count() == 2
 
 
+def test_hot_rows_without_keys(spark):
+    """Many left rows without a key or group: they spread, and the anti-join keeps them."""
+    rows = [(None, 1.0, i % 50) for i in range(200)] + [("a", None, i % 40) for i in range(200)]
+    rows += [("a", math.nan, i) for i in range(20)] + [("a", 1.0, 0), ("a", 5.0, 1)]
+    left = spark.createDataFrame(rows, "grp string, c double, tag int")
+    right = spark.createDataFrame([("a", 1.0), (None, 1.0), ("a", None)], "grp string, c double")
+    for hot_rows in (2, 1_000_000):
+        assert range_anti_join(left, right, "c", 1, by=["grp"], hot_rows=hot_rows).count() == 50 + 40 + 20 + 1
+        assert range_semi_join(left, right, "c", 1, by=["grp"], hot_rows=hot_rows).count() == 1
+
+
 def test_both_sides_from_one_table(spark):
     table = spark.createDataFrame([(1, 1.0), (2, 1.4), (1, 9.0), (2, 7.0)], "side int, c double")
     one, two = table.where("side = 1"), table.where("side = 2")
