@@ -1,7 +1,8 @@
 """Joins that stay balanced when a key holds a large part of the rows.
 
-Both joins count rows per key (a partial aggregate over the key columns alone) and list the hot
-keys, heaviest first, at most ``HOT_KEYS`` of them. The cut bounds the broadcast of the list and
+Both joins count rows per key and list the hot keys, heaviest first, at most ``HOT_KEYS`` of them.
+Keys are counted and listed by a 64-bit hash, one small number instead of the key columns; two keys
+with one hash are at worst treated as hot together. The cut bounds the broadcast of the list and
 drops no row: the list only decides which keys get the treatment for hot ones, and a key left off
 a full list holds less than one part in ``HOT_KEYS`` of the rows. Where the list is empty, Spark
 removes the branch for hot keys while the query runs. Salts are hashes of the rows' content, so a
@@ -11,7 +12,6 @@ task that is run again gives its rows the same salts.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,24 +21,35 @@ HOT_ROWS = 1_000_000
 PAIR_SIDE = 10_000
 COPIES_PER_ENTRY = 100_000
 
-_HOT = "__hot"
+_HASH, _HOT = "__hash", "__hot"
+
+
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*keys).alias(_HASH)
+
+
+def _check_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+    """Equal keys must have equal hashes, which holds within one type only."""
+    for k in keys:
+        ours, theirs = left.schema[k].dataType, right.schema[k].dataType
+        if ours != theirs:
+            raise TypeError(f"equal keys must have one type, not {ours.simpleString()} and {theirs.simpleString()}")
 
 
 def _count_rows(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return df.groupBy(_key_hash(keys)).agg(F.count(F.lit(1)).alias(name))
 
 
 def _on_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join with the list of hot keys, in which null is a key like any other."""
-    named = hot.withColumnsRenamed({k: f"__hot_{k}" for k in keys}).withColumn(_HOT, F.lit(True))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
-    return df.join(F.broadcast(named), same, how).drop(*[f"__hot_{k}" for k in keys])
+    """Join with the list of hot keys."""
+    return df.select("*", _key_hash(keys)).join(F.broadcast(hot), _HASH, how).drop(_HASH)
 
 
 def _without(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows of other keys. An outer join and a filter: an anti-join would be pushed below
     aggregates of ``df``, and branches of the query could no longer share them."""
-    return _on_hot(df, hot, keys, "left").where(F.col(_HOT).isNull()).select(*df.columns)
+    marked = _on_hot(df, hot.select(_HASH, F.lit(True).alias(_HOT)), keys, "left")
+    return marked.where(F.col(_HOT).isNull()).select(*df.columns)
 
 
 def join_summary(
@@ -56,12 +67,13 @@ def join_summary(
     by the keys. ``finish`` runs on each part; all rows of a key are in one part.
     """
     keys = list(keys)
+    _check_types(left, summary, keys)
     hot = (
         _count_rows(left, keys, "__n")
         .where(F.col("__n") > hot_rows)
-        .orderBy(F.col("__n").desc(), *keys)
+        .orderBy(F.col("__n").desc(), _HASH)
         .limit(HOT_KEYS)
-        .select(*keys)
+        .select(_HASH)
     )
     cold = _without(left, hot, keys).join(summary, keys, how)
     in_place = _on_hot(left, hot, keys, "inner").select(*left.columns)
@@ -103,20 +115,21 @@ def join_close(
     for an inner join the right columns without the keys. A hot key's left rows are split into
     ``a`` parts and its right rows into ``b``; part ``i`` meets part ``j`` under (key, i, j), so one
     task tests about ``pair_side`` squared pairs of that key. Equal rows of hot keys travel as one
-    entry with a count. A semi-join may repeat a left row that occurs once per part; distinct it.
+    entry with a count. A semi-join may give a left row of a hot key several times.
     """
     keys = list(keys)
+    _check_types(left, right, keys)
     nl, nr = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("__nl", "__nr"))
     load = F.greatest(nl * nr / F.lit(float(pair_side) ** 2), nl / F.lit(hot_rows), nr / F.lit(hot_rows))
     parts = [F.greatest(F.ceil(n / F.lit(pair_side)), F.lit(1)) for n in (nl, nr)]
     hot = (
         _count_rows(left, keys, "__nl")
-        .join(_count_rows(right, keys, "__nr"), keys, "full")
+        .join(_count_rows(right, keys, "__nr"), _HASH, "full")
         .withColumn("__load", load)
         .where(F.col("__load") > 1)
-        .orderBy(F.col("__load").desc(), *keys)
+        .orderBy(F.col("__load").desc(), _HASH)
         .limit(HOT_KEYS)
-        .select(*keys, parts[0].alias("__a"), parts[1].alias("__b"))
+        .select(_HASH, parts[0].alias("__a"), parts[1].alias("__b"))
     )
     output = [*left.columns] + ([c for c in right.columns if c not in keys] if how == "inner" else [])
 
@@ -128,7 +141,7 @@ def join_close(
         return lhs.join(rhs, test, how)
 
     def salted(df: DataFrame, own: str, other: str, copies: str) -> DataFrame:
-        rows = _on_hot(df, hot, keys, "inner").drop(_HOT)
+        rows = _on_hot(df, hot, keys, "inner")
         if how == "inner":
             rows = pack_copies(rows, copies)
             row = F.xxhash64(*df.columns, "__entry")

@@ -267,6 +267,14 @@ def test_refused_arguments(spark):
             join(numbers, numbers, "c", 1, closed="sometimes")
 
 
+def test_equal_keys_of_two_types_are_refused(spark):
+    left = spark.createDataFrame([(1, 1.0)], "grp int, c double")
+    right = spark.createDataFrame([(1, 1.0)], "grp bigint, c double")
+    for join in (range_semi_join, range_anti_join, range_pairs):
+        with pytest.raises(TypeError, match="one type"):
+            join(left, right, "c", 1, by=["grp"])
+
+
 def test_radius_below_precision_is_refused(spark):
     far = frame(spark, [1e15])
     with pytest.raises(Exception, match="precision"):
