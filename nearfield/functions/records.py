@@ -24,7 +24,10 @@ def parse_hits(messages: DataFrame, value: str = "value") -> DataFrame:
     The first field, the symbol, is not read, and fields after the last column are ignored.
     """
     text = F.col(value).cast("string")
-    tokens = F.split(text, SEPARATOR)
+    # Exploding an array of one keeps the optimizer from copying the split, and all that the value
+    # is made from, into each use of the tokens and into the filter on the reason.
+    messages = messages.withColumn("__tokens", F.explode(F.array(F.split(text, SEPARATOR))))
+    tokens = F.col("__tokens")
     parsed = {f.name: F.get(tokens, i).try_cast(f.dataType) for i, f in enumerate(HITS.fields, start=1)}
     bad_number = F.lit(False)
     for column in parsed.values():
@@ -35,7 +38,7 @@ def parse_hits(messages: DataFrame, value: str = "value") -> DataFrame:
         .when(F.size(tokens) < FIELDS, "too few fields")
         .when(bad_number, "not a number")
     )
-    return messages.withColumns({**parsed, "reason": reason})
+    return messages.withColumns({**parsed, "reason": reason}).drop("__tokens")
 
 
 def good_hits(parsed: DataFrame, *extra: str) -> DataFrame:

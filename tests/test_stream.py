@@ -148,6 +148,6 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_origin_columns_are_kept(spark):
-    raw = spark.createDataFrame([(b"k", b"1;2;3", "gbt", 1, 7)], "key binary, value binary, topic string, partition int, offset long")
+    raw = spark.createDataFrame([(b"k", b"1;2;3", "hits", 1, 7)], "key binary, value binary, topic string, partition int, offset long")
     assert message_values(raw).columns == ["value", "topic", "partition", "offset"]
     assert message_values(raw).first()["value"] == "1;2;3"
