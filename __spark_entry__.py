@@ -35,6 +35,12 @@ from nearfield.sources.synth import synthetic_hits  # noqa: E402
 from nearfield.sources.tables import append_hits, read_hits  # noqa: E402
 from nearfield.streaming import job  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from nearfield.llm import queries as llm  # noqa: E402
+except ImportError:  # the corpus operators are an addition that can be left out
+    llm = corpus_pipeline = None
+
 RADIUS = 10
 DISTANCE = 0.01
 LOOKUP_GROUP, LOOKUP_ORDER, LOOKUP_SOURCE = 3, 2, "NATION_3"
@@ -292,7 +298,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    corpus = {**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}
+    return corpus | {
         "detect_anomalies": detect_anomalies,
         "detect_two_radii": detect_two_radii,
         "range_semi_numeric": range_semi_numeric,
@@ -413,7 +420,10 @@ def oracle_sql() -> dict[str, str]:
     hits_v = f"WITH {HITS_SQL} "
     one_observation = f"WHERE observationgroup = {LOOKUP_GROUP} AND observationorder = {LOOKUP_ORDER}"
     groups_all = f"{_GROUPS_SQL} SELECT {_GROUP_COLUMNS} FROM groups_v"
-    return {
+    corpus = dict(llm.ORACLE_SQL) if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        corpus["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return corpus | {
         "detect_anomalies": hits_v + _detect_sql(RADIUS, RADIUS),
         "detect_two_radii": hits_v + _detect_sql(RADIUS, RADIUS / 2, "abs(driftrate)"),
         "range_semi_numeric": f"{hits_v} SELECT DISTINCT a.* FROM hits_v a WHERE a.observationorder = 1 AND {_numeric(3)}",
