@@ -11,6 +11,7 @@ The result is that of sequential best-fit decreasing over all pieces.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -25,67 +26,78 @@ from pyspark.sql import types as T
 from nearfield.llm.common import blocks, texts_of
 from nearfield.scratch import stored
 
-#: Words and word parts that a Python worker remembers; then it forgets them all and starts anew.
-MEMO = 300_000
+#: Words that a Python worker remembers; then it forgets them all and starts anew.
+MEMO = 250_000
+#: Stands for the end of a word. Texts that contain it are not split into words.
+END = b"\0"
 #: Rows of one length are ranked in at most so many independent parts.
 MAX_PARTS, PART_ROWS = 1024, 1_000_000
 
-_PLAIN = re.compile("[^\x00-\x1b\x20-ɏ]")
+_UNUSUAL = re.compile("[^\x01-\x1b\x20-ɏ]")
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\s\w]|_)+")
 
 
 class WordTokenizer:
-    """Ids of whole texts by a word-end BPE tokenizer, remembering the words it has met.
+    """Ids of whole texts by a word-end byte-level BPE tokenizer, remembering the words it has met.
 
-    Such a tokenizer never merges across white space, so a text's ids are its words' ids in a row.
-    Texts with characters outside Latin letters and punctuation go through the tokenizer itself.
+    Such a tokenizer never merges across white space, so a text's ids are its words' ids in a row. New
+    words are merged by tiktoken's faster code: the word's end is written as a byte of its own that
+    merges first, then the vocabulary's merges follow by rank. Texts with characters outside Latin
+    letters and punctuation go through the tokenizer itself.
     """
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        import tiktoken
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_str(spec)
-        self.parts = Tokenizer.from_str(spec)
-        self.parts.normalizer = normalizers.Sequence([])
-        self.parts.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
-        vocabulary = self.whole.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, at in vocabulary.items():
-            self.ends[at] = token.endswith("</w>")
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # every byte that UTF-8 has occurs in these; the vocabulary writes each byte as a letter
+        points = "".join(map(chr, [*range(0x800), *range(0x800, 0xD800, 0x800), *range(0x10000, 0x110000, 0x10000)]))
+        letters = level.pre_tokenize_str(points)[0][0]
+        byte_of = dict(zip(letters, points.encode(), strict=True))
+
+        def plain(token: str) -> bytes | None:
+            stem, end = (token[:-4], END) if token.endswith("</w>") and len(token) > 4 else (token, b"")
+            return bytes(byte_of[c] for c in stem) + end if all(c in byte_of for c in stem) else None
+
+        model = json.loads(spec)["model"]
+        order = [bytes([b]) for b in range(256)] + [bytes([b]) + END for b in range(256)]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        order += [t for a, b in pairs if (t := plain(a + b)) is not None]
+        ranks = {t: rank for rank, t in enumerate(dict.fromkeys(order))}
+        self.merge = tiktoken.Encoding("words", pat_str="[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.ids, self.ends = np.zeros(len(ranks), "<u4"), np.zeros(len(ranks), bool)
+        for token, at in model["vocab"].items():
+            if (t := plain(token)) in ranks:
+                self.ids[ranks[t]], self.ends[ranks[t]] = at, token.endswith("</w>")
+        self.special = [t["content"] for t in json.loads(spec)["added_tokens"]]
         self.words: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
 
     def _learn(self, missing: list[str]) -> None:
-        for at in range(0, len(missing), 2000):
-            some = missing[at : at + 2000]
-            split = _PIECES.findall
-            parts = [split(w) for w in " ".join(some).lower().split(" ")]
-            new = list({p for ps in parts for p in ps if p not in self.known})
-            ids = np.array(self.parts.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
-            raw, start = ids.tobytes(), 0
-            for part, stop in zip(new, (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist(), strict=True):
-                self.known[part] = raw[start:stop]
+        for at in range(0, len(missing), 4000):
+            some = missing[at : at + 4000]
+            parts = [_PIECES.findall(w) for w in " ".join(some).lower().split(" ")]
+            ranks = np.array(self.merge("\0".join([p for ps in parts for p in ps]) + "\0"), np.int64)
+            after = np.concatenate([[0], np.flatnonzero(self.ends[ranks]) + 1])  # where each piece begins
+            stops = (4 * after[np.cumsum([len(ps) for ps in parts])]).tolist()
+            raw, start = self.ids[ranks].tobytes(), 0
+            for word, stop in zip(some, stops, strict=True):
+                self.words[word] = raw[start:stop]
                 start = stop
-            known = self.known
-            for word, ps in zip(some, parts, strict=True):
-                self.words[word] = b"".join([known[p] for p in ps])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         out: list = []
         for text in texts:
-            if _PLAIN.search(text):
+            if _UNUSUAL.search(text) or any(t in text for t in self.special):
                 ids = self.whole.encode(text, add_special_tokens=False).ids
                 out.append(np.array(ids, dtype="<u4").tobytes())
             else:
                 out.append(text.split())
         if len(self.words) > MEMO:
             self.words.clear()
-        if len(self.known) > MEMO:
-            self.known.clear()
         missing: set[str] = set()
         for words in out:
             if type(words) is list:
