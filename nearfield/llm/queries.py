@@ -6,16 +6,54 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nearfield.llm import packing
+from nearfield.llm import fingerprint, langid, packing, pii, quality, warc
 from nearfield.llm.common import table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.private_spans(table(spark, sf_dir, "documents"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op3_language_id": op3_language_id,
+    "op6_pii": op6_pii,
+    "op7_fingerprints": op7_fingerprints,
+    "op9_quality": op9_quality,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Base 32 of a SHA-1: five hexadecimal digits make four letters.
+_BASE32 = """array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(digest, 1 + 5 * (k // 4)::INT, 5))::INT >> (15 - 5 * (k % 4))::INT) & 31), 1)), '')"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": f"""WITH p AS (
+          SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS digest,
+                 max(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder
+          FROM pages)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN page_id IS NOT DISTINCT FROM holder THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM holder THEN holder END AS refers_to
+        FROM p""",
+}
