@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearfield.scratch import stored
+
 #: Characters that an operator handles at once inside a task (a longer text is handled alone).
 BLOCK_CHARS = 1 << 20
 
@@ -81,3 +83,113 @@ def skewed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     extra = "_join_hash"
     with_hash = lambda df: df.withColumn(extra, F.xxhash64(*keys))
     return with_hash(left).join(with_hash(right), [*keys, extra], how).drop(extra)
+
+
+def groups_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Tables of the rows with equal values in the first ``keys`` columns, which must lie together."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        new = np.zeros(n, bool)
+        for k in range(keys):
+            column = batch.column(k)
+            new[1:] |= pc.fill_null(pc.not_equal(column[1:], column[:-1]), True).to_numpy(zero_copy_only=False)
+        starts = [0, *np.flatnonzero(new).tolist(), n]
+        first = [batch.column(k)[0].as_py() for k in range(keys)]
+        if held and first != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+            if lo and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+        last = [batch.column(k)[n - 1].as_py() for k in range(keys)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def components(links: DataFrame) -> DataFrame:
+    """The connected components of a graph: (node, root) for every node of the links (a, b), where root
+    is the component's smallest node.
+
+    Alternating large-star and small-star steps (Kiveris et al., 2014): each links the neighbours of a
+    node to its smallest neighbour, until every node is linked to its root alone. Links stay distributed;
+    a node of very many links is aggregated before it is shuffled.
+    """
+    links = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    links = stored(links, "links")
+    while True:
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = skewed_join(both, least, ["u"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = skewed_join(large, least, ["u"]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        after = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        # stars that nothing changes any more: each node has one link, to a node that has none further
+        before, now = _summary(links), _summary(after)
+        links = after
+        if before == now:
+            break
+    roots = links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return stored(links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots), "components")
+
+
+def _summary(links: DataFrame) -> tuple:
+    parts = F.xxhash64("u", "v")
+    low, high = F.sum(parts.bitwiseAND(0xFFFFFFFF)), F.sum(F.shiftrightunsigned(parts, 32))
+    return tuple(links.agg(F.count("*"), low, high).first())
+
+
+#: Bits of a map of row hashes (8 MB).
+MAP_BITS = 26
+
+
+def map_place(keys: list[str]) -> Column:
+    """A row's bit in a map of 2 ** MAP_BITS bits."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1 << MAP_BITS))
+
+
+def _bitmaps(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(_part, _bits): the map's non-empty parts of 4 KB, at most 2048."""
+    place = map_place(keys) + 1
+    return rows.groupBy(F.bitmap_bucket_number(place).alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")
+    )
+
+
+def bitmap(rows: DataFrame, keys: list[str]) -> bytes:
+    """The map that has the bits of ``rows``; its size is fixed."""
+    out = bytearray(1 << (MAP_BITS - 3))
+    for r in _bitmaps(rows, keys).collect():
+        out[(r["_part"] - 1) * 4096 : r["_part"] * 4096] = r["_bits"]
+    return bytes(out)
+
+
+def without(df: DataFrame, dropped: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """The rows of ``df`` whose keys (its column: that of ``dropped``) are not among ``dropped``; nulls are equal.
+
+    A map of the dropped rows' bits lets most rows pass without a shuffle; only those whose bit is set,
+    the dropped and a few others, are joined. ``dropped`` should be a stored table.
+    """
+    own, theirs = list(keys), list(keys.values())
+    # at most 2048 parts of 4 KB
+    maps = F.broadcast(_bitmaps(dropped, theirs).withColumnRenamed("_part", "_at"))
+    place = F.col("_place")
+    rows = df.withColumn("_place", map_place(own))
+    joined = rows.join(maps, F.bitmap_bucket_number(place + 1) == F.col("_at"), "left")
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(place, 3) % 4096 + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.coalesce(F.expr("shiftright({}, cast(_place % 8 as int))".format("_byte")).bitwiseAND(1), F.lit(0))
+    marked = joined.withColumn("_byte", byte).withColumn("_set", bit == 1)
+    sure = marked.where(~F.col("_set")).select(*df.columns)
+    named = dropped.select(*[F.col(t).alias(f"_drop{k}") for k, t in enumerate(theirs)]).distinct()
+    same = None
+    for k, name in enumerate(own):
+        test = F.col(name).eqNullSafe(F.col(f"_drop{k}"))
+        same = test if same is None else same & test
+    rest = marked.where("_set").select(*df.columns).join(named, same, "left_anti")
+    return sure.unionByName(rest)

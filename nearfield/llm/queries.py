@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nearfield.llm import fingerprint, langid, packing, pii, quality, warc
+from nearfield.llm import fingerprint, langid, minhash, packing, pii, quality, warc, wrapper
 from nearfield.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified_documents(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,9 +44,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_language_id": op3_language_id,
     "op6_pii": op6_pii,
     "op7_fingerprints": op7_fingerprints,
+    "op8_main_text": op8_main_text,
     "op9_quality": op9_quality,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
