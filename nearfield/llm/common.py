@@ -170,26 +170,29 @@ def bitmap(rows: DataFrame, keys: list[str]) -> bytes:
     return bytes(out)
 
 
+def marked(df: DataFrame, rows: DataFrame, keys: dict[str, str], name: str = "_set") -> DataFrame:
+    """``df`` with a column telling whether its row may be among ``rows``, by equal keys (its column: that
+    of ``rows``); false is sure. Nothing of ``df`` is shuffled. ``rows`` should be a stored table."""
+    # at most 2048 parts of 4 KB
+    maps = F.broadcast(_bitmaps(rows, list(keys.values())))
+    placed = df.withColumn("_place", map_place(list(keys)))
+    joined = placed.join(maps, F.bitmap_bucket_number(F.col("_place") + 1) == F.col("_part"), "left")
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright("_place", 3) % 4096 + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.expr("shiftright(_byte, cast(_place % 8 AS INT)) & 1") == 1
+    return joined.withColumn("_byte", byte).select(*df.columns, F.coalesce(bit, F.lit(False)).alias(name))
+
+
 def without(df: DataFrame, dropped: DataFrame, keys: dict[str, str]) -> DataFrame:
     """The rows of ``df`` whose keys (its column: that of ``dropped``) are not among ``dropped``; nulls are equal.
 
-    A map of the dropped rows' bits lets most rows pass without a shuffle; only those whose bit is set,
-    the dropped and a few others, are joined. ``dropped`` should be a stored table.
+    Most rows pass by a map of hashes, without a shuffle; only the dropped and a few others are joined.
+    ``dropped`` should be a stored table.
     """
-    own, theirs = list(keys), list(keys.values())
-    # at most 2048 parts of 4 KB
-    maps = F.broadcast(_bitmaps(dropped, theirs).withColumnRenamed("_part", "_at"))
-    place = F.col("_place")
-    rows = df.withColumn("_place", map_place(own))
-    joined = rows.join(maps, F.bitmap_bucket_number(place + 1) == F.col("_at"), "left")
-    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(place, 3) % 4096 + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.coalesce(F.expr("shiftright({}, cast(_place % 8 as int))".format("_byte")).bitwiseAND(1), F.lit(0))
-    marked = joined.withColumn("_byte", byte).withColumn("_set", bit == 1)
-    sure = marked.where(~F.col("_set")).select(*df.columns)
-    named = dropped.select(*[F.col(t).alias(f"_drop{k}") for k, t in enumerate(theirs)]).distinct()
+    seen = marked(df, dropped, keys)
+    named = dropped.select(*[F.col(t).alias(f"_drop{k}") for k, t in enumerate(keys.values())]).distinct()
     same = None
-    for k, name in enumerate(own):
+    for k, name in enumerate(keys):
         test = F.col(name).eqNullSafe(F.col(f"_drop{k}"))
         same = test if same is None else same & test
-    rest = marked.where("_set").select(*df.columns).join(named, same, "left_anti")
-    return sure.unionByName(rest)
+    sure, maybe = seen.where("NOT _set").drop("_set"), seen.where("_set").drop("_set")
+    return sure.unionByName(maybe.join(named, same, "left_anti"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nearfield.llm import fingerprint, langid, minhash, packing, pii, quality, warc, wrapper
+from nearfield.llm import fingerprint, langid, linededup, minhash, packing, pii, quality, warc, wrapper
 from nearfield.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_dropped")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.private_spans(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_language_id": op3_language_id,
+    "op5_line_dedup": op5_line_dedup,
     "op6_pii": op6_pii,
     "op7_fingerprints": op7_fingerprints,
     "op8_main_text": op8_main_text,
