@@ -73,6 +73,40 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_ODD = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> np.ndarray:
+    """Powers of an odd number modulo 2 ** 64."""
+    while len(_POWERS[0]) < n:
+        p = _POWERS[0]
+        _POWERS[0] = np.concatenate([p, p * (p[-1:] * np.uint64(_ODD))])
+    return _POWERS[0]
+
+
+def word_hashes(column: pa.Array, of_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a string array without nulls, A-Z as lower case, and where each text's
+    words begin and end. ``of_word``: for each byte whether words consist of it."""
+    raw, offsets = utf8_of(column)
+    word = of_word[raw]
+    new = word.copy()
+    new[1:] &= ~word[:-1]
+    first_of_text = np.zeros(len(raw) + 1, bool)
+    first_of_text[offsets[:-1]] = True
+    new |= word & first_of_text[:-1]
+    inside, starts = np.flatnonzero(word), np.flatnonzero(new)
+    bounds = np.searchsorted(starts, offsets)
+    if not len(starts):
+        return np.zeros(0, np.uint64), bounds
+    first = np.searchsorted(inside, starts)
+    place = inside - np.repeat(starts, np.diff(np.append(first, len(inside))))
+    letters = (_LOWER[raw[inside]].astype(np.uint64) + np.uint64(1)) * _powers(int(place.max()) + 1)[place]
+    return mixed(np.add.reduceat(letters, first)), bounds
+
+
 def skewed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join of a left side with hot keys and a right side that has few rows for each key.
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nearfield.llm import fingerprint, langid, linededup, minhash, packing, pii, quality, warc, wrapper
+from nearfield.llm import decontam, fingerprint, langid, linededup, minhash, packing, pii, quality, warc, wrapper
 from nearfield.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.without_repeated_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "text", "n_dropped")
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_language_id": op3_language_id,
+    "op4_decontamination": op4_decontamination,
     "op5_line_dedup": op5_line_dedup,
     "op6_pii": op6_pii,
     "op7_fingerprints": op7_fingerprints,
