@@ -31,7 +31,7 @@ class QualityModel:
     bad: bytes
     weights: tuple[float, float, float]
     level: int = 3
-    block: int = 512
+    block: int = 256
 
 
 class _Compressors:
@@ -113,7 +113,7 @@ def fit(
     labels: DataFrame,
     per_class: int = 3000,
     max_bytes: int = 24 << 20,
-    dictionary_bytes: int = 32 << 10,
+    dictionary_bytes: int = 64 << 10,
 ) -> QualityModel:
     """Fits on a bounded sample of labelled documents (see ``labelled_sample``).
 
