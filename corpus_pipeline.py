@@ -1,20 +1,61 @@
-"""From raw documents to packed training sequences, in stages that each write their result."""
+"""From raw documents to packed training sequences, in stages that each write their result.
+
+Every stage but the last takes and returns rows with the columns of documents: documents of low quality go;
+lines that repeat, nearly, keep their first occurrence; of near-duplicate documents the one of the smallest
+doc_id stays; documents with benchmark items go; and what is left is packed into sequences.
+"""
 
 from __future__ import annotations
 
-from nearfield.llm import packing
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from nearfield.llm import decontam, linededup, minhash, packing, quality
+from nearfield.llm.common import table
+from nearfield.scratch import stored
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which no text is left go; n_chars follows the text."""
+    out = linededup.documents_without_repeats(docs)
+    if "n_chars" in out.columns:
+        kind = out.schema["n_chars"].dataType
+        length = F.coalesce(F.length("text").cast(kind), F.col("n_chars"))
+        out = out.withColumn("n_chars", length)
+    return out
 
 
-def pack(spark, docs, sf_dir):
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.deduplicated(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("quality classifier", good_quality),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", best_fit_packing),
+]
+
+#: SQL has no compression, signatures, latent space or tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents: the pieces with their places in the sequences (see packing.pack)."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
