@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
 
 from nearfield.functions.display import JSON_NAMES, hits_json  # noqa: E402
 from nearfield.functions.records import FIELDS, SEPARATOR, bad_messages, encode_hits, good_hits, parse_hits  # noqa: E402
@@ -297,8 +298,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return detect.detect_anomalies(hits(spark, "/root/testdata/sf0.001"), detect.Rule(r_on=30, r_off=30))
 
 
+def on_workers(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, with this folder on the path of the session's Python workers."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        settings = spark.sparkContext.environment
+        path = settings.get("PYTHONPATH", "").split(os.pathsep)
+        if HERE not in path:
+            settings["PYTHONPATH"] = os.pathsep.join([HERE, *filter(None, path)])
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     corpus = {**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}
+    corpus = {name: on_workers(query) for name, query in corpus.items()}
     return corpus | {
         "detect_anomalies": detect_anomalies,
         "detect_two_radii": detect_two_radii,

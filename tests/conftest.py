@@ -9,7 +9,8 @@ from nearfield.session import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    scratch = tmp_path_factory.mktemp("spark")
     s = session(
         "tests",
         "local[4]",
@@ -17,6 +18,9 @@ def spark():
         spark__ui__enabled="false",
         spark__driver__memory="4g",
         spark__sql__maxMetadataStringLength="100000",
+        spark__checkpoint__dir=str(scratch / "checkpoint"),
+        spark__sql__warehouse__dir=str(scratch / "warehouse"),
+        spark__executorEnv__PYTHONPATH=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
