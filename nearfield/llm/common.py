@@ -76,35 +76,48 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _ODD = 0x9E3779B97F4A7C15
-_POWERS = [np.ones(1, np.uint64)]
+_INVERSE = pow(_ODD, -1, 2**64)
+#: Bytes of text that are hashed at once.
+_PART = 1 << 18
 
 
-def _powers(n: int) -> np.ndarray:
-    """Powers of an odd number modulo 2 ** 64."""
-    while len(_POWERS[0]) < n:
-        p = _POWERS[0]
-        _POWERS[0] = np.concatenate([p, p * (p[-1:] * np.uint64(_ODD))])
-    return _POWERS[0]
+def _powers(base: int, n: int, known: dict[int, np.ndarray] = {}) -> np.ndarray:  # noqa: B006
+    """The first ``n`` powers of an odd number modulo 2 ** 64, kept for the next call."""
+    have = known.get(base, np.ones(1, np.uint64))
+    while len(have) < n:
+        have = np.concatenate([have, have * (have[-1:] * np.uint64(base))])
+    known[base] = have if len(have) <= 8 * _PART else have[: 8 * _PART]
+    return have[:n]
 
 
 def word_hashes(column: pa.Array, of_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of a string array without nulls, A-Z as lower case, and where each text's
-    words begin and end. ``of_word``: for each byte whether words consist of it."""
+    words begin and end. ``of_word``: for each byte whether words consist of it.
+
+    A word's hash is a polynomial in its bytes, taken as a difference of running sums.
+    """
     raw, offsets = utf8_of(column)
     word = of_word[raw]
-    new = word.copy()
-    new[1:] &= ~word[:-1]
-    first_of_text = np.zeros(len(raw) + 1, bool)
-    first_of_text[offsets[:-1]] = True
-    new |= word & first_of_text[:-1]
-    inside, starts = np.flatnonzero(word), np.flatnonzero(new)
-    bounds = np.searchsorted(starts, offsets)
-    if not len(starts):
-        return np.zeros(0, np.uint64), bounds
-    first = np.searchsorted(inside, starts)
-    place = inside - np.repeat(starts, np.diff(np.append(first, len(inside))))
-    letters = (_LOWER[raw[inside]].astype(np.uint64) + np.uint64(1)) * _powers(int(place.max()) + 1)[place]
-    return mixed(np.add.reduceat(letters, first)), bounds
+    # a text's first byte begins a word even if the text before ends with one
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[offsets] = True
+    new, last = word.copy(), word.copy()
+    new[1:] &= ~word[:-1] | cut[1:-1]
+    last[:-1] &= ~word[1:] | cut[1:-1]
+    starts, ends = np.flatnonzero(new), np.flatnonzero(last) + 1
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):  # in parts that end with a word
+        lo = starts[at]
+        stop = max(at + 1, int(np.searchsorted(ends, lo + _PART, side="right")))
+        n = int(ends[stop - 1] - lo)
+        sums = np.empty(n + 1, np.uint64)
+        sums[0] = 0
+        np.cumsum((_LOWER[raw[lo : lo + n]].astype(np.uint64) + np.uint64(1)) * _powers(_ODD, n), out=sums[1:])
+        some = slice(at, stop)
+        out[some] = (sums[ends[some] - lo] - sums[starts[some] - lo]) * _powers(_INVERSE, n)[starts[some] - lo]
+        at = stop
+    return mixed(out), np.searchsorted(starts, offsets)
 
 
 def skewed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -207,13 +220,15 @@ def bitmap(rows: DataFrame, keys: list[str]) -> bytes:
 def marked(df: DataFrame, rows: DataFrame, keys: dict[str, str], name: str = "_set") -> DataFrame:
     """``df`` with a column telling whether its row may be among ``rows``, by equal keys (its column: that
     of ``rows``); false is sure. Nothing of ``df`` is shuffled. ``rows`` should be a stored table."""
+    place, part, bits, byte = (fresh(df, n) for n in ("_place", "_part", "_bits", "_byte"))
     # at most 2048 parts of 4 KB
-    maps = F.broadcast(_bitmaps(rows, list(keys.values())))
-    placed = df.withColumn("_place", map_place(list(keys)))
-    joined = placed.join(maps, F.bitmap_bucket_number(F.col("_place") + 1) == F.col("_part"), "left")
-    byte = F.conv(F.hex(F.substring("_bits", F.shiftright("_place", 3) % 4096 + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.expr("shiftright(_byte, cast(_place % 8 AS INT)) & 1") == 1
-    return joined.withColumn("_byte", byte).select(*df.columns, F.coalesce(bit, F.lit(False)).alias(name))
+    maps = F.broadcast(_bitmaps(rows, list(keys.values())).toDF(part, bits))
+    placed = df.withColumn(place, map_place(list(keys)))
+    joined = placed.join(maps, F.bitmap_bucket_number(F.col(place) + 1) == F.col(part), "left")
+    wanted = F.substring(bits, F.shiftright(place, 3) % 4096 + 1, F.lit(1))
+    read = joined.withColumn(byte, F.conv(F.hex(wanted), 16, 10).cast("int"))
+    bit = F.expr(f"shiftright({byte}, cast({place} % 8 AS INT)) & 1") == 1
+    return read.select(*df.columns, F.coalesce(bit, F.lit(False)).alias(name))
 
 
 def without(df: DataFrame, dropped: DataFrame, keys: dict[str, str]) -> DataFrame:
@@ -222,11 +237,12 @@ def without(df: DataFrame, dropped: DataFrame, keys: dict[str, str]) -> DataFram
     Most rows pass by a map of hashes, without a shuffle; only the dropped and a few others are joined.
     ``dropped`` should be a stored table.
     """
-    seen = marked(df, dropped, keys)
-    named = dropped.select(*[F.col(t).alias(f"_drop{k}") for k, t in enumerate(keys.values())]).distinct()
+    seen = marked(df, dropped, keys, mark := fresh(df, "_set"))
+    names = [fresh(df, f"_drop{k}") for k in range(len(keys))]
+    named = dropped.select(*keys.values()).toDF(*names).distinct()
     same = None
-    for k, name in enumerate(keys):
-        test = F.col(name).eqNullSafe(F.col(f"_drop{k}"))
+    for own, theirs in zip(keys, names, strict=True):
+        test = F.col(own).eqNullSafe(F.col(theirs))
         same = test if same is None else same & test
-    sure, maybe = seen.where("NOT _set").drop("_set"), seen.where("_set").drop("_set")
+    sure, maybe = seen.where(~F.col(mark)).drop(mark), seen.where(F.col(mark)).drop(mark)
     return sure.unionByName(maybe.join(named, same, "left_anti"))
