@@ -272,9 +272,9 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
     language by name.
     """
     kept = [c for c in docs.columns if c != text]
-    found = entropies(docs, model, text)
     if not model.languages:
-        return found.select(*kept, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("accepted"))
+        return docs.select(*kept, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("accepted"))
+    found = entropies(docs, model, text)
     best = F.array_min("entropies")
     winner = F.array_position("entropies", best).cast("int")
     name = F.element_at(F.array(*[F.lit(x) for x in model.languages]), winner)

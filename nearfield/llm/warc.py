@@ -305,7 +305,7 @@ class WarcReader(DataSourceReader):
             if not found:
                 found = [filesystem.get_file_info(folder)]
             sizes = [(f.path, f.size) for f in found if f.is_file and f.path.endswith((".warc", ".warc.gz"))]
-        return [_Files(group) for group in plan_files(sizes)]
+        return [_Files(group) for group in plan_files(sizes) or [[]]]
 
     def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
         filesystem, _ = _filesystem(self.path)
