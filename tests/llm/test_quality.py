@@ -1,0 +1,58 @@
+import numpy as np
+
+from llm.conftest import DOCUMENTS, clashing, prose
+from nearfield.llm import quality
+from nearfield.llm.common import fold
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    found = quality.scored_documents(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert len(found) > 500
+    assert np.mean([r.predicted == r.quality for r in found]) >= 0.98
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in found)
+    scores = {q: [r.score for r in found if r.quality == q] for q in (0, 1)}
+    assert np.mean([a < b for a in scores[0] for b in scores[1]]) >= 0.98
+
+
+def labelled(spark):
+    good = [(k, prose(k, 60), "en", "s", 1) for k in range(0, 120, 2)]
+    bad = [(k, "!!! ".join(prose(k, 60).upper().split()), "en", "s", 1) for k in range(1, 120, 2)]
+    return spark.createDataFrame(good + bad, DOCUMENTS), spark.createDataFrame([(k, (k + 1) % 2, 0) for k in range(120)], "doc_id long, quality int, toxic int")
+
+
+def test_labels_of_held_out_rows_are_not_learned(spark):
+    docs, labels = labelled(spark)
+    flipped = labels.where(fold("doc_id", 5) == 0).selectExpr("doc_id", "1 - quality AS quality", "toxic")
+    wrong = labels.where(fold("doc_id", 5) != 0).unionByName(flipped)
+    right = {r.doc_id: r.score for r in quality.scored_documents(docs, labels).collect()}
+    assert {r.doc_id: r.score for r in quality.scored_documents(docs, wrong).collect()} == right
+    assert all((s >= 0.3) == (k % 2 == 0) for k, s in right.items())
+
+
+def test_odd_labels_and_rows(spark, odd, none):
+    docs, labels = labelled(spark)
+    messy = labels.unionByName(spark.createDataFrame([(None, 1, 0), (0, 0, 0), (2, None, None), (3, 7, 0), (999, 1, 0)], labels.schema)).unionByName(labels)
+    model = quality.fit(docs, messy)
+    found = quality.score(clashing(odd), model).collect()
+    assert len(found) == odd.count() and all(0 <= r.score <= 1 for r in found)
+    empty = {r.score for r in found if r.doc_id in (1, 2)}
+    assert len(empty) == 1
+    assert quality.score(none, model).count() == 0
+    kept = quality.good_documents(clashing(docs), labels)
+    assert kept.columns == clashing(docs).columns and {r.doc_id % 2 for r in kept.collect()} == {0}
+
+
+def test_nothing_to_learn(odd, labels):
+    found = quality.scored_documents(odd, labels.limit(0)).collect()
+    assert {(r.score, r.predicted) for r in found} == {(0.5, 1)}
+    one = quality.scored_documents(odd, labels.where("quality = 1")).collect()
+    assert {r.score for r in one} == {0.5}
+
+
+def test_the_sample_is_bounded(spark):
+    docs, labels = labelled(spark)
+    sample = quality.labelled_sample(docs, labels, per_class=7, max_bytes=10**9)
+    assert [sum(q == c for q, _ in sample) for c in (0, 1)] == [7, 7]
+    sample = quality.labelled_sample(docs, labels, per_class=50, max_bytes=2000)
+    assert all(0 < sum(len(t) for q, t in sample if q == c) <= 2000 for c in (0, 1))
