@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearfield.llm.common import fold, fresh, texts_of
+from nearfield.llm.common import fold, fresh, texts_of, without
+from nearfield.scratch import stored
 
 #: A text counts as good from this score on.
 ACCEPT = 0.3
@@ -133,7 +134,7 @@ def fit(
 
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with a column ``name``, 0 to 1, of the quality of each whole text (null: empty).
+    """The columns of ``docs`` but ``text``, and ``name``: the quality of each whole text (null: empty), 0 to 1.
 
     Each row is scored by itself; the empty text gets the score of no evidence.
     """
@@ -141,6 +142,7 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", name: str =
         raise ValueError(f"there is a column {name} already")
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of fixed size
     at = docs.columns.index(text)
+    kept = [f for f in docs.schema.fields if f.name != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
@@ -151,9 +153,10 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", name: str =
             found = np.array([evidence(t.as_py()) for t in raw]).reshape(-1, 2)
             logit = bias + by_difference * found[:, 0] + by_share * found[:, 1]
             scores = pa.array(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, name])
+            columns = [c for k, c in enumerate(batch.columns) if k != at]
+            yield pa.RecordBatch.from_arrays([*columns, scores], [*(f.name for f in kept), name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*kept, T.StructField(name, T.DoubleType())]))
 
 
 def training_labels(labels: DataFrame) -> DataFrame:
@@ -174,5 +177,9 @@ def scored_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score reaches ``ACCEPT``."""
-    model, name = fit(docs, training_labels(labels)), fresh(docs, "score")
-    return score(docs, model, name=name).where(F.col(name) >= ACCEPT).drop(name)
+    model, name = fit(docs, training_labels(labels)), fresh(docs, "text_hash")
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    scored = score(docs.select("doc_id", "text", text_hash.alias("text_hash")), model)
+    # texts don't come back from Python: only the few rejected rows are joined with their documents
+    rejected = stored(scored.where(F.col("score") < ACCEPT).select("doc_id", "text_hash"), "rejected")
+    return without(docs.withColumn(name, text_hash), rejected, {"doc_id": "doc_id", name: "text_hash"}).drop(name)
