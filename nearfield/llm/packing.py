@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from nearfield.llm.common import blocks, texts_of
 from nearfield.scratch import stored
 
-#: Words that a Python worker remembers; then it forgets them all and starts anew.
-MEMO = 250_000
+#: Words that a task remembers; then it forgets them all and starts anew.
+MEMO = 150_000
 #: Stands for the end of a word. Texts that contain it are not split into words.
 END = b"\0"
 #: Rows of one length are ranked in at most so many independent parts.
@@ -48,10 +48,9 @@ class WordTokenizer:
 
     def __init__(self, spec: str):
         import tiktoken
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import pre_tokenizers
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.whole = Tokenizer.from_str(spec)
+        self.spec, self.tokenizer = spec, None
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         # every byte that UTF-8 has occurs in these; the vocabulary writes each byte as a letter
         points = "".join(map(chr, [*range(0x800), *range(0x800, 0xD800, 0x800), *range(0x10000, 0x110000, 0x10000)]))
@@ -75,6 +74,15 @@ class WordTokenizer:
         self.special = [t["content"] for t in json.loads(spec)["added_tokens"]]
         self.words: dict[str, bytes] = {}
 
+    def whole(self, text: str) -> bytes:
+        """The ids by the tokenizer itself, which is loaded when a text needs it."""
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            self.tokenizer = Tokenizer.from_str(self.spec)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def _learn(self, missing: list[str]) -> None:
         for at in range(0, len(missing), 4000):
             some = missing[at : at + 4000]
@@ -92,8 +100,7 @@ class WordTokenizer:
         out: list = []
         for text in texts:
             if _UNUSUAL.search(text) or any(t in text for t in self.special):
-                ids = self.whole.encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids, dtype="<u4").tobytes())
+                out.append(self.whole(text))
             else:
                 out.append(text.split())
         if len(self.words) > MEMO:
@@ -111,7 +118,7 @@ _TOKENIZERS: dict[int, WordTokenizer] = {}
 
 
 def _tokenizer(spec: str) -> WordTokenizer:
-    """One per Python worker, so that it keeps what it has learned from task to task."""
+    """One per Python worker, as its tables take a while to build."""
     key = hash(spec)
     if key not in _TOKENIZERS:
         _TOKENIZERS.clear()
@@ -155,7 +162,8 @@ def token_pieces(
         fields.append(T.StructField("token_ids", T.ArrayType(T.IntegerType())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _tokenizer(sent.value).encode
+        tokenizer = _tokenizer(sent.value)
+        encode = tokenizer.encode
         for batch in batches:
             texts = texts_of(batch.column(1))
             for lo, hi in blocks(texts):
@@ -181,6 +189,7 @@ def token_pieces(
                 if with_ids:
                     out.append(pa.array(ids, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(out, [f.name for f in fields])
+        tokenizer.words.clear()  # the worker may go on with other work
 
     return docs.select(F.col(id), F.col(text)).mapInArrow(run, T.StructType(fields))
 
