@@ -13,27 +13,25 @@ from pyspark.sql import types as T
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
-from nearfield.functions.display import JSON_NAMES, hits_json  # noqa: E402
+from nearfield.functions.display import hits_json  # noqa: E402
 from nearfield.functions.records import FIELDS, SEPARATOR, bad_messages, encode_hits, good_hits, parse_hits  # noqa: E402
 from nearfield.operators import (  # noqa: E402
     distance_pairs,
-    fit_lsh,
     latest,
     lsh_semi_join,
+    projections,
     range_anti_join,
     range_pairs,
     range_semi_join,
     scaled_features,
     with_hashes,
-    with_vector,
 )
 from nearfield.operators.distance import HIT_WEIGHTS  # noqa: E402
 from nearfield.plans import detect, lookups  # noqa: E402
 from nearfield.schema import HIT_KEY, HITS  # noqa: E402
 from nearfield.scratch import scratch_dir  # noqa: E402
 from nearfield.sources.messages import text_messages  # noqa: E402
-from nearfield.sources.synth import synthetic_hits  # noqa: E402
-from nearfield.sources.tables import append_hits, read_hits  # noqa: E402
+from nearfield.sources.tables import append_groups, append_hits, compact_hits, read_groups, read_hits  # noqa: E402
 from nearfield.streaming import job  # noqa: E402
 
 try:
@@ -42,10 +40,10 @@ try:
 except ImportError:  # the corpus operators are an addition that can be left out
     llm = corpus_pipeline = None
 
-RADIUS = 10
-DISTANCE = 0.01
+RADIUS = 100
+DISTANCE, BUCKET_LENGTH, TABLES, EMBEDDING = 0.05, 0.5, 4, 64
 LOOKUP_GROUP, LOOKUP_ORDER, LOOKUP_SOURCE = 3, 2, "NATION_3"
-RULE = detect.Rule(r_on=RADIUS, r_off=RADIUS)
+RULE = detect.BATCH_RULE
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,12 +51,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items seen as hits of ten groups with six observations each."""
-    items = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") <= 6)
+    """Line items seen as hits: the supplier is the group, the line number the observation.
+
+    How many hits a group has doesn't depend on the size of the data.
+    """
     frequency = F.col("l_extendedprice") / 10
-    return items.select(
-        (F.col("l_suppkey") % 10).cast("int").alias("observationgroup"),
-        F.col("l_linenumber").alias("observationorder"),
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("int").alias("observationgroup"),
+        F.col("l_linenumber").cast("int").alias("observationorder"),
         frequency.alias("frequency"),
         (F.col("l_quantity") * 2).alias("snr"),
         (F.col("l_discount") - F.col("l_tax")).alias("driftrate"),
@@ -71,28 +71,38 @@ def of_order(spark: SparkSession, sf_dir: str, order: int) -> DataFrame:
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as the sources of groups."""
-    nation = table(spark, sf_dir, "nation")
-    return nation.select(F.col("n_nationkey").alias("observationgroup"), F.col("n_name").alias("source"))
+    """The nations of suppliers as the sources of groups."""
+    supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    named = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
+    return named.select(F.col("s_suppkey").cast("int").alias("observationgroup"), F.col("n_name").alias("source"))
 
 
-def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect.group_results(hits(spark, sf_dir), RULE, metadata(spark, sf_dir))
 
 
+def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The results as a stored group table, which lookups scan."""
+    path = scratch_dir(spark, "groups")
+    append_groups(results(spark, sf_dir), path)
+    return read_groups(spark, path)
+
+
 def symbol():
     return F.concat(F.lit("S"), F.col("observationgroup").cast("string"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits as messages, and the seventh line items as messages that are cut or garbled."""
+    """Hits as messages, and one that is cut, garbled or endless for each order whose key ends with 7."""
     good = encode_hits(hits(spark, sf_dir), symbol())
-    seventh = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") > 6)
-    group = (F.col("l_suppkey") % 10).cast("string")
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 10 == 7)
+    group = (F.col("o_custkey") % 100).cast("string")
     cut = F.concat_ws(SEPARATOR, F.lit("S"), group, F.lit("1"))
     garbled = F.concat_ws(SEPARATOR, F.lit("S"), group, *[F.lit("x")] * 5)
-    bad = seventh.select(F.lit("S").alias("key"), F.when(F.col("l_orderkey") % 2 == 0, cut).otherwise(garbled).alias("value"))
-    return good.unionByName(bad)
+    endless = F.concat_ws(SEPARATOR, F.lit("S"), group, F.lit("1"), F.lit("1.5"), F.lit("Infinity"), F.lit("1"), F.lit("1"))
+    kind = F.floor(F.col("o_orderkey") / 10) % 3
+    value = F.when(kind == 0, cut).when(kind == 1, garbled).otherwise(endless)
+    return good.unionByName(orders.select(F.lit("S").alias("key"), value.alias("value")))
 
 
 def events_of(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -149,6 +159,26 @@ def range_anti_time(spark, sf_dir):
     return range_anti_join(errors, clicks, "ts", "interval 10 minutes").select("event_id", "value")
 
 
+def totals(spark, sf_dir, status: str):
+    """Orders of a status as points on a line that reaches far beyond the precision of small radii."""
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == status)
+    factor = F.pow(F.lit(10.0), (F.col("o_orderkey") % 5 * 3).cast("double"))
+    return orders.select("o_orderkey", (F.floor("o_totalprice") * factor).alias("value"))
+
+
+def range_semi_large(spark, sf_dir):
+    return range_semi_join(totals(spark, sf_dir, "O"), totals(spark, sf_dir, "F"), "value", 2)
+
+
+def range_anti_large(spark, sf_dir):
+    return range_anti_join(totals(spark, sf_dir, "O"), totals(spark, sf_dir, "F"), "value", 2)
+
+
+def range_pairs_large(spark, sf_dir):
+    pairs = range_pairs(totals(spark, sf_dir, "P"), totals(spark, sf_dir, "F"), "value", 2)
+    return pairs.select("o_orderkey_left", "o_orderkey_right")
+
+
 def range_pairs_query(spark, sf_dir):
     left, right = of_order(spark, sf_dir, 1), of_order(spark, sf_dir, 3)
     return pair_columns(range_pairs(left, right, "frequency", RADIUS, by=["observationgroup"], closed="left"))
@@ -169,16 +199,20 @@ def distance_pairs_arrays(spark, sf_dir):
 
 def distance_semi_lsh(spark, sf_dir):
     left, right = of_order(spark, sf_dir, 1), of_order(spark, sf_dir, 3)
-    return lsh_semi_join(
-        left, right, within=DISTANCE, bucket_length=10 * DISTANCE, tables=4, by=["observationgroup"]
-    )
+    return lsh_semi_join(left, right, HIT_WEIGHTS, DISTANCE, BUCKET_LENGTH, TABLES, by=["observationgroup"])
+
+
+def distance_semi_lsh_arrays(spark, sf_dir):
+    """Embeddings of even numbers near one of an odd number, by buckets of their 64 dimensions."""
+    points = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    left, right = points.where("vec_id % 2 = 0"), points.where("vec_id % 2 = 1")
+    found = lsh_semi_join(left, right, "embedding", 1.1, 1.0, TABLES, dimensions=EMBEDDING)
+    return found.select("vec_id", "label")
 
 
 def lsh_hashes(spark, sf_dir):
-    scaled = scaled_features(of_order(spark, sf_dir, 1), HIT_WEIGHTS)
-    points = with_vector(scaled, ["n" + name for name in HIT_WEIGHTS])
-    hashed = with_hashes(fit_lsh(points, bucket_length=0.1), points)
-    return hashed.select(*[f.name for f in HITS.fields], F.size("hashes").alias("n_tables"))
+    hashed = with_hashes(of_order(spark, sf_dir, 1), HIT_WEIGHTS, BUCKET_LENGTH, TABLES)
+    return hashed.select(*[f.name for f in HITS.fields], *[F.col("hashes")[t].alias(f"bucket_{t}") for t in range(TABLES)])
 
 
 def encode_hits_query(spark, sf_dir):
@@ -197,28 +231,70 @@ def quarantined_messages(spark, sf_dir):
     return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
+def rewritten(spark, sf_dir):
+    """The hits of ON observations again, with another payload."""
+    second = hits(spark, sf_dir).where(detect.is_on(F.col("observationorder")))
+    return second.withColumn("uncorrectedfrequency", F.col("uncorrectedfrequency") + 1)
+
+
 def upsert_latest(spark, sf_dir):
-    first = hits(spark, sf_dir)
-    second = first.where(detect.is_on(F.col("observationorder")))
-    second = second.withColumn("uncorrectedfrequency", F.col("uncorrectedfrequency") + 1)
+    first, second = hits(spark, sf_dir), rewritten(spark, sf_dir)
     written = first.withColumn("version", F.lit(1)).unionByName(second.withColumn("version", F.lit(2)))
     return latest(written, HIT_KEY, ["version"])
 
 
-def stored_hits(spark, sf_dir):
+def twice_written(spark, sf_dir):
     path = scratch_dir(spark, "hits")
-    append_hits(hits(spark, sf_dir), path)
+    append_hits(rewritten(spark, sf_dir), path, version=2)
+    append_hits(hits(spark, sf_dir), path, version=1)
+    return path
+
+
+def stored_hits(spark, sf_dir):
+    """Written twice, the later version first, and read back."""
+    return read_hits(spark, twice_written(spark, sf_dir))
+
+
+def compacted_hits(spark, sf_dir):
+    path = twice_written(spark, sf_dir)
+    compact_hits(spark, path)
     return read_hits(spark, path)
 
 
+def stored_groups(spark, sf_dir):
+    """Results that a later rule replaces for the groups of odd numbers."""
+    path = scratch_dir(spark, "groups")
+    odd = results(spark, sf_dir).where("observationgroup % 2 = 1")
+    append_groups(odd.withColumn("grouphit", F.lit(-1)), path)
+    append_groups(results(spark, sf_dir).where("observationgroup % 2 = 0"), path)
+    append_groups(odd, path)
+    return read_groups(spark, path)
+
+
 def hits_of_observation(spark, sf_dir):
-    return lookups.hits_of_observation(hits(spark, sf_dir), LOOKUP_GROUP, LOOKUP_ORDER)
+    return lookups.ranked_hits(hits(spark, sf_dir), LOOKUP_GROUP, LOOKUP_ORDER)
+
+
+def stored_observation(spark, sf_dir):
+    """The same from the stored table, of which only the group's folder is read."""
+    found = read_hits(spark, twice_written(spark, sf_dir), [LOOKUP_GROUP])
+    return lookups.hits_of_observation(found, LOOKUP_GROUP, LOOKUP_ORDER)
 
 
 def hits_json_query(spark, sf_dir):
-    shown = T.StructType([T.StructField(JSON_NAMES[f.name], f.dataType) for f in HITS.fields])
+    shown = (
+        "`observation group` int, `observation number` int, frequency double, SNR double, driftrate double, "
+        "`uncorrected frequency` double"
+    )
     back = hits_json(hits(spark, sf_dir)).select(F.from_json("json", shown).alias("hit"))
-    return back.select(*[F.col("hit")[name].alias(column) for column, name in JSON_NAMES.items()])
+    return back.select(
+        F.col("hit.observation group").alias("observationgroup"),
+        F.col("hit.observation number").alias("observationorder"),
+        F.col("hit.frequency").alias("frequency"),
+        F.col("hit.SNR").alias("snr"),
+        F.col("hit.driftrate").alias("driftrate"),
+        F.col("hit.uncorrected frequency").alias("uncorrectedfrequency"),
+    )
 
 
 def page_observation(spark, sf_dir):
@@ -226,7 +302,7 @@ def page_observation(spark, sf_dir):
 
 
 def page_group(spark, sf_dir):
-    return lookups.answer("1", hits(spark, sf_dir), groups(spark, sf_dir), LOOKUP_GROUP)
+    return lookups.answer(lookups.GROUP_QUERY, hits(spark, sf_dir), groups(spark, sf_dir), LOOKUP_GROUP)
 
 
 def group_lookup(spark, sf_dir):
@@ -280,22 +356,9 @@ def stream_detect(spark, sf_dir):
     return job.read_results(spark, f"{root}/tables")
 
 
-def synthetic_hits_query(spark, sf_dir):
-    """As many synthetic hits per observation as the table has."""
-    sizes = hits(spark, sf_dir).groupBy("observationgroup", "observationorder").agg(F.count(F.lit(1)).alias("rows"))
-    made = synthetic_hits(sizes)
-    near = F.abs(F.col("uncorrectedfrequency") - F.col("frequency")) < 1
-    in_range = (
-        F.col("frequency").between(0, 10000) & F.col("snr").between(0, 100) & F.col("driftrate").between(0, 1) & near
-    )
-    return made.groupBy("observationgroup", "observationorder").agg(
-        F.count(F.lit(1)).alias("n_hits"), F.count(F.when(in_range, 1)).alias("n_in_range")
-    )
-
-
 def entry(spark: SparkSession) -> DataFrame:
     """Detection over all groups of the smallest data set."""
-    return detect.detect_anomalies(hits(spark, "/root/testdata/sf0.001"), detect.Rule(r_on=30, r_off=30))
+    return detect_anomalies(spark, "/root/testdata/sf0.001")
 
 
 def on_workers(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -323,15 +386,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "range_semi_time": range_semi_time,
         "range_anti_time": range_anti_time,
         "range_pairs": range_pairs_query,
+        "range_semi_large": range_semi_large,
+        "range_anti_large": range_anti_large,
+        "range_pairs_large": range_pairs_large,
         "distance_pairs_exact": distance_pairs_exact,
         "distance_pairs_arrays": distance_pairs_arrays,
         "distance_semi_lsh": distance_semi_lsh,
+        "distance_semi_lsh_arrays": distance_semi_lsh_arrays,
         "lsh_hashes": lsh_hashes,
         "encode_hits": encode_hits_query,
         "parse_hits": parse_hits_query,
         "quarantined_messages": quarantined_messages,
         "upsert_latest": upsert_latest,
         "stored_hits": stored_hits,
+        "compacted_hits": compacted_hits,
+        "stored_groups": stored_groups,
+        "stored_observation": stored_observation,
         "hits_of_observation": hits_of_observation,
         "hits_json": hits_json_query,
         "page_observation": page_observation,
@@ -343,11 +413,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "observation_counts": observation_counts,
         "observation_roles": observation_roles,
         "detection_funnel": detection_funnel,
-        "group_results": groups,
+        "group_results": results,
         "batch_groups": batch_groups,
         "first_group": first_group,
         "stream_detect": stream_detect,
-        "synthetic_hits": synthetic_hits_query,
     }
 
 
@@ -355,11 +424,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 HITS_SQL = """
 hits_v AS (
-  SELECT CAST(l_suppkey % 10 AS INT) AS observationgroup, l_linenumber AS observationorder,
+  SELECT CAST(l_suppkey AS INT) AS observationgroup, CAST(l_linenumber AS INT) AS observationorder,
          l_extendedprice / 10 AS frequency, l_quantity * 2 AS snr,
          l_discount - l_tax AS driftrate,
          l_extendedprice / 10 + l_tax - l_discount AS uncorrectedfrequency
-  FROM lineitem WHERE l_linenumber <= 6
+  FROM lineitem
 )"""
 
 
@@ -406,14 +475,15 @@ _GROUP_COLUMNS = (
 _GROUPS_SQL = f"""WITH {HITS_SQL}, found AS (
   {_detect_sql(RADIUS, RADIUS)}
 ), groups_v AS (
-  SELECT g.observationgroup, CAST(count(f.frequency) AS INT) AS grouphit, any_value(n.n_name) AS source,
+  SELECT g.observationgroup, CAST(count(f.frequency) AS INT) AS grouphit, any_value(m.n_name) AS source,
          CAST(NULL AS DOUBLE) AS mjd, CAST(NULL AS VARCHAR) AS ra, CAST(NULL AS VARCHAR) AS dec,
          CAST(NULL AS VARCHAR) AS filename1, CAST(NULL AS VARCHAR) AS filename2,
          CAST(NULL AS VARCHAR) AS filename3, CAST(NULL AS VARCHAR) AS filename4,
          CAST(NULL AS VARCHAR) AS filename5, CAST(NULL AS VARCHAR) AS filename6
   FROM (SELECT DISTINCT observationgroup FROM hits_v) g
   LEFT JOIN found f ON f.observationgroup = g.observationgroup
-  LEFT JOIN nation n ON n.n_nationkey = g.observationgroup
+  LEFT JOIN (SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey) m
+    ON m.s_suppkey = g.observationgroup
   GROUP BY g.observationgroup
 ) """
 _PAIR_SELECT = """SELECT a.observationgroup, a.frequency AS frequency_1, a.snr AS snr_1, a.driftrate AS driftrate_1,
@@ -427,6 +497,52 @@ def _numeric(order: int) -> str:
   AND b.observationorder = {order} AND b.frequency > a.frequency - {RADIUS} AND b.frequency <= a.frequency + {RADIUS})"""
 
 
+_NEWEST_SQL = f"""newest AS (
+  SELECT * EXCLUDE version FROM (
+    SELECT *, 1 AS version FROM hits_v UNION ALL
+    SELECT observationgroup, observationorder, frequency, snr, driftrate, uncorrectedfrequency + 1, 2
+    FROM hits_v WHERE observationorder % 2 = 1)
+  QUALIFY row_number() OVER (PARTITION BY {", ".join(HIT_KEY)} ORDER BY version DESC, uncorrectedfrequency DESC) = 1)"""
+
+_LARGE_SQL = """WITH totals AS (SELECT o_orderkey, o_orderstatus,
+  floor(o_totalprice) * pow(10::DOUBLE, (o_orderkey % 5 * 3)::DOUBLE) AS value FROM orders)"""
+_LARGE_NEAR = "b.o_orderstatus = 'F' AND b.value > a.value - 2::DOUBLE AND b.value <= a.value + 2::DOUBLE"
+
+
+def _bucket_sql(alias: str, vector: list[float], names: list[str], length: float) -> str:
+    terms = " + ".join(f"({alias}.{n} * '{w!r}'::DOUBLE) * '{v!r}'::DOUBLE" for v, (n, w) in zip(vector, HIT_WEIGHTS.items()))
+    return f"CAST(floor(({terms}) / '{length!r}'::DOUBLE) AS BIGINT)"
+
+
+def _lsh_sql() -> str:
+    vectors, names = projections(len(HIT_WEIGHTS), TABLES), list(HIT_WEIGHTS)
+    same = " OR ".join(
+        f"{_bucket_sql('a', v, names, BUCKET_LENGTH)} = {_bucket_sql('b', v, names, BUCKET_LENGTH)}" for v in vectors
+    )
+    squares = " + ".join(
+        f"(a.{n} * '{w!r}'::DOUBLE - b.{n} * '{w!r}'::DOUBLE) * (a.{n} * '{w!r}'::DOUBLE - b.{n} * '{w!r}'::DOUBLE)"
+        for n, w in HIT_WEIGHTS.items()
+    )
+    return f"""SELECT DISTINCT a.* FROM hits_v a WHERE a.observationorder = 1 AND EXISTS (
+        SELECT 1 FROM hits_v b WHERE b.observationgroup = a.observationgroup AND b.observationorder = 3
+        AND sqrt({squares}) < '{DISTANCE!r}'::DOUBLE AND ({same}))"""
+
+
+def _lsh_arrays_sql() -> str:
+    vectors = projections(EMBEDDING, TABLES)
+
+    def bucket(alias: str, vector: list[float]) -> str:
+        terms = " + ".join(f"{alias}.embedding[{i}]::DOUBLE * '{x!r}'::DOUBLE" for i, x in enumerate(vector, 1))
+        return f"CAST(floor(({terms}) / '1.0'::DOUBLE) AS BIGINT)"
+
+    hashed = ", ".join(f"{bucket('e', v)} AS b{t}" for t, v in enumerate(vectors))
+    same = " OR ".join(f"a.b{t} = b.b{t}" for t in range(TABLES))
+    squares = " + ".join(f"(a.embedding[{i}]::DOUBLE - b.embedding[{i}]::DOUBLE) * (a.embedding[{i}]::DOUBLE - b.embedding[{i}]::DOUBLE)" for i in range(1, EMBEDDING + 1))
+    return f"""WITH e AS MATERIALIZED (SELECT vec_id, label, embedding, {hashed} FROM embeddings e)
+        SELECT vec_id, label FROM e a WHERE vec_id % 2 = 0 AND EXISTS (SELECT 1 FROM e b WHERE b.vec_id % 2 = 1
+          AND ({same}) AND sqrt({squares}) < '1.1'::DOUBLE)"""
+
+
 _CLICK_NEAR = """EXISTS (SELECT 1 FROM events b WHERE b.event_type = 'click'
   AND b.ts > a.ts - INTERVAL 10 MINUTE AND b.ts <= a.ts + INTERVAL 10 MINUTE)"""
 
@@ -450,6 +566,17 @@ def oracle_sql() -> dict[str, str]:
         "range_anti_time": f"SELECT a.event_id, a.value FROM events a WHERE a.event_type = 'error' AND NOT {_CLICK_NEAR}",
         "range_pairs": f"""{hits_v} {_PAIR_SELECT}
             WHERE a.frequency > b.frequency - {RADIUS} AND a.frequency <= b.frequency + {RADIUS}""",
+        "range_semi_large": f"""{_LARGE_SQL} SELECT o_orderkey, value FROM totals a WHERE o_orderstatus = 'O'
+            AND EXISTS (SELECT 1 FROM totals b WHERE {_LARGE_NEAR})""",
+        "range_anti_large": f"""{_LARGE_SQL} SELECT o_orderkey, value FROM totals a WHERE o_orderstatus = 'O'
+            AND NOT EXISTS (SELECT 1 FROM totals b WHERE {_LARGE_NEAR})""",
+        "range_pairs_large": f"""{_LARGE_SQL} SELECT a.o_orderkey AS o_orderkey_left, b.o_orderkey AS o_orderkey_right
+            FROM totals a JOIN totals b ON {_LARGE_NEAR} WHERE a.o_orderstatus = 'P'""",
+        "distance_semi_lsh": f"{hits_v} {_lsh_sql()}",
+        "distance_semi_lsh_arrays": _lsh_arrays_sql(),
+        "lsh_hashes": f"""{hits_v} SELECT *, {", ".join(
+            f"{_bucket_sql('hits_v', v, list(HIT_WEIGHTS), BUCKET_LENGTH)} AS bucket_{t}"
+            for t, v in enumerate(projections(len(HIT_WEIGHTS), TABLES)))} FROM hits_v WHERE observationorder = 1""",
         "distance_pairs_exact": f"""{hits_v} {_PAIR_SELECT}
             WHERE (a.frequency - b.frequency) * (a.frequency - b.frequency) * CAST(1e-8 AS DOUBLE)
                 + (a.snr - b.snr) * (a.snr - b.snr) * CAST(1e-4 AS DOUBLE)
@@ -459,16 +586,16 @@ def oracle_sql() -> dict[str, str]:
                                 [b.frequency * 1e-4, b.snr * 1e-2, b.driftrate]) <= {DISTANCE}""",
         "encode_hits": f"""{hits_v} SELECT 'S' || observationgroup AS key, CAST({FIELDS} AS INT) AS n_fields, * FROM hits_v""",
         "parse_hits": f"{hits_v} SELECT * FROM hits_v",
-        "quarantined_messages": """SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'too few fields' ELSE 'not a number' END
-            AS reason, count(*) AS n_messages FROM lineitem WHERE l_linenumber > 6 GROUP BY 1""",
-        "upsert_latest": f"""{hits_v}, written AS (
-              SELECT *, 1 AS version FROM hits_v UNION ALL
-              SELECT observationgroup, observationorder, frequency, snr, driftrate, uncorrectedfrequency + 1, 2
-              FROM hits_v WHERE observationorder % 2 = 1
-            ) SELECT observationgroup, observationorder, frequency, snr, driftrate, uncorrectedfrequency FROM written
-            QUALIFY row_number() OVER (PARTITION BY {", ".join(HIT_KEY)} ORDER BY version DESC) = 1""",
-        "stored_hits": f"{hits_v} SELECT * FROM hits_v",
-        "hits_of_observation": f"{hits_v} SELECT * FROM hits_v {one_observation}",
+        "quarantined_messages": """SELECT CASE (o_orderkey // 10) % 3 WHEN 0 THEN 'too few fields' WHEN 1 THEN
+              'not a number' ELSE 'not finite' END AS reason, count(*) AS n_messages
+            FROM orders WHERE o_orderkey % 10 = 7 GROUP BY 1""",
+        "upsert_latest": f"{hits_v}, {_NEWEST_SQL} SELECT * FROM newest",
+        "stored_hits": f"{hits_v}, {_NEWEST_SQL} SELECT * FROM newest",
+        "compacted_hits": f"{hits_v}, {_NEWEST_SQL} SELECT * FROM newest",
+        "stored_groups": groups_all,
+        "stored_observation": f"{hits_v}, {_NEWEST_SQL} SELECT * FROM newest {one_observation}",
+        "hits_of_observation": f"""{hits_v} SELECT *, rank() OVER (ORDER BY snr DESC, driftrate DESC) AS place
+            FROM hits_v {one_observation}""",
         "hits_json": f"{hits_v} SELECT * FROM hits_v",
         "page_observation": f"""{hits_v} SELECT observationgroup, observationorder, frequency, snr AS "SNR",
             driftrate, uncorrectedfrequency FROM hits_v {one_observation}""",
@@ -478,7 +605,8 @@ def oracle_sql() -> dict[str, str]:
         "anomalous_groups": f"{_GROUPS_SQL} SELECT observationgroup, grouphit, source, mjd, ra, dec FROM groups_v WHERE grouphit > 0",
         "anomaly_feed": f"{groups_all} WHERE grouphit > 0",
         "observation_counts": f"""{hits_v} SELECT observationgroup, observationorder, count(*) AS n_hits FROM hits_v
-            WHERE driftrate > 0.0001 AND snr > CASE WHEN observationorder % 2 = 1 THEN 25 ELSE 20 END GROUP BY 1, 2""",
+            WHERE driftrate > 0.0001 AND snr > CASE WHEN observationorder % 2 = 1 THEN 25 ELSE 20 END
+              AND observationorder <= 6 GROUP BY 1, 2""",
         "observation_roles": f"""{hits_v} SELECT observationorder,
             CASE WHEN observationorder % 2 = 1 THEN 'ON' ELSE 'OFF' END AS role, count(*) AS n_hits
             FROM hits_v GROUP BY 1, 2""",
@@ -488,6 +616,4 @@ def oracle_sql() -> dict[str, str]:
         "first_group": f"""{hits_v} SELECT min(observationgroup) AS first_group,
             count(DISTINCT observationgroup) AS n_groups FROM hits_v""",
         "stream_detect": groups_all,
-        "synthetic_hits": f"""{hits_v} SELECT observationgroup, observationorder, count(*) AS n_hits,
-            count(*) AS n_in_range FROM hits_v GROUP BY 1, 2""",
     }

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nearfield.schema import HITS
 
@@ -29,14 +32,17 @@ def parse_hits(messages: DataFrame, value: str = "value") -> DataFrame:
     messages = messages.withColumn("__tokens", F.explode(F.array(F.split(text, SEPARATOR))))
     tokens = F.col("__tokens")
     parsed = {f.name: F.get(tokens, i).try_cast(f.dataType) for i, f in enumerate(HITS.fields, start=1)}
-    bad_number = F.lit(False)
-    for column in parsed.values():
+    bad_number, endless = F.lit(False), F.lit(False)
+    for f, column in zip(HITS.fields, parsed.values(), strict=True):
         bad_number = bad_number | column.isNull()
+        if isinstance(f.dataType, T.DoubleType):
+            endless = endless | F.isnan(column) | (F.abs(column) == F.lit(math.inf))
     reason = (
         F.when(text.isNull(), "no value")
         .when(F.trim(text) == "", "empty value")
         .when(F.size(tokens) < FIELDS, "too few fields")
         .when(bad_number, "not a number")
+        .when(endless, "not finite")
     )
     return messages.withColumns({**parsed, "reason": reason}).drop("__tokens")
 

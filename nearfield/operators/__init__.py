@@ -1,13 +1,13 @@
 from nearfield.operators.distance import distance_pairs, scaled_features, squared_distance, with_vector
-from nearfield.operators.lsh import fit_lsh, lsh_semi_join, with_hashes
+from nearfield.operators.lsh import lsh_semi_join, projections, with_hashes
 from nearfield.operators.range_join import range_anti_join, range_pairs, range_semi_join
 from nearfield.operators.upsert import latest
 
 __all__ = [
     "distance_pairs",
-    "fit_lsh",
     "latest",
     "lsh_semi_join",
+    "projections",
     "range_anti_join",
     "range_pairs",
     "range_semi_join",

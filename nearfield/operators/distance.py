@@ -16,9 +16,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.operators.axis import double_cell
+from nearfield.operators.axis import GRID_FAR, far_cell, far_cells
 from nearfield.operators.range_join import pair_sides
-from nearfield.operators.skew import HOT_ROWS, PAIR_SIDE, join_close
+from nearfield.operators.skew import PAIR_SIDE, join_close
 
 # Weights that bring frequency, snr and drift rate to about [0, 1].
 HIT_WEIGHTS = {"frequency": 0.0001, "snr": 0.01, "driftrate": 1.0}
@@ -58,20 +58,36 @@ def finite(columns: Sequence[Column]) -> Column:
 def check_radius(within) -> float:
     if isinstance(within, bool) or not isinstance(within, numbers.Real):
         raise TypeError("the radius must be a number")
-    if not math.isfinite(within) or within <= 0:
-        raise ValueError("the radius must be positive and finite")
+    if not math.isfinite(within) or within < 1e-280:
+        raise ValueError("the radius must be positive and finite, and not below 1e-280")
     return float(within)
 
 
 def own_cell(position: Column, radius: float) -> Column:
     """The cell of a left point on one axis."""
-    return double_cell(position, CELL_WIDTH * radius)
+    return far_cell(position, CELL_WIDTH * radius, GRID_FAR)
 
 
 def reached_cells(position: Column, radius: float) -> Column:
     """The cells in which a right point can have near left points, an array."""
-    reach, width = F.lit(REACH * radius), CELL_WIDTH * radius
-    return F.sequence(double_cell(position - reach, width), double_cell(position + reach, width))
+    return far_cells(position, CELL_WIDTH * radius, REACH * radius, GRID_FAR)
+
+
+def coordinates(
+    df: DataFrame, features: Mapping[str, float] | str, suffix: str, axes: int
+) -> tuple[DataFrame, list[Column]]:
+    """The points with a place (no coordinate null, NaN or infinite), and their first coordinates.
+
+    ``features`` maps columns to weights, or names an array column; an array that is shorter than
+    ``axes`` lies at zero on the missing axes.
+    """
+    if isinstance(features, str):
+        points = F.col(features + suffix)
+        everything = F.forall(points, lambda x: x.isNotNull() & (F.abs(x) < F.lit(math.inf)))
+        first = [F.coalesce(F.get(points, i).cast("double"), F.lit(0.0)) for i in range(axes)]
+        return df.where(points.isNotNull() & everything), first
+    scaled = [F.col(name + suffix).cast("double") * F.lit(float(w)) for name, w in features.items()]
+    return df.where(finite(scaled)), scaled[:axes]
 
 
 def distance_pairs(
@@ -82,7 +98,6 @@ def distance_pairs(
     by: Sequence[str] = (),
     suffixes: tuple[str, str] = ("_left", "_right"),
     grid_axes: int = MAX_GRID_AXES,
-    hot_rows: int = HOT_ROWS,
     pair_side: int = PAIR_SIDE,
 ) -> DataFrame:
     """All pairs at a distance of at most ``within``, columns suffixed.
@@ -98,23 +113,12 @@ def distance_pairs(
         raise ValueError("at least one feature is needed")
     lhs, rhs, output, keys = pair_sides(left, right, by, suffixes)
 
-    def coordinates(df: DataFrame, suffix: str) -> tuple[DataFrame, list[Column]]:
-        if isinstance(features, str):
-            points = F.col(features + suffix)
-            everything = F.forall(points, lambda x: x.isNotNull() & (F.abs(x) < F.lit(math.inf)))
-            kept = df.where(points.isNotNull() & everything)
-            return kept, [F.get(points, i).cast("double") for i in range(grid_axes)]
-        raw = [F.col(name + suffix).cast("double") for name in features]
-        scaled = [c * F.lit(float(w)) for c, w in zip(raw, features.values())]
-        return df.where(finite(raw)), scaled[:grid_axes]
-
-    lhs, left_axes = coordinates(lhs, suffixes[0])
-    rhs, right_axes = coordinates(rhs, suffixes[1])
+    lhs, left_axes = coordinates(lhs, features, suffixes[0], grid_axes)
+    rhs, right_axes = coordinates(rhs, features, suffixes[1], grid_axes)
     cells = [f"__cell{i}" for i in range(len(left_axes))]
-    # Arrays shorter than the grid lie at zero on the missing axes.
-    lhs = lhs.withColumns({c: own_cell(F.coalesce(x, F.lit(0.0)), radius) for c, x in zip(cells, left_axes)})
+    lhs = lhs.withColumns({c: own_cell(x, radius) for c, x in zip(cells, left_axes)})
     for cell, axis in zip(cells, right_axes):
-        rhs = rhs.withColumn(cell, F.explode(reached_cells(F.coalesce(axis, F.lit(0.0)), radius)))
+        rhs = rhs.withColumn(cell, F.explode(reached_cells(axis, radius)))
     if isinstance(features, str):
         squared = squared_distance_arrays(F.col(features + suffixes[0]), F.col(features + suffixes[1]))
     else:
@@ -124,4 +128,4 @@ def distance_pairs(
             list(features.values()),
         )
     near = squared <= F.lit(radius * radius)
-    return join_close(lhs, rhs, [*keys, *cells], near, hot_rows=hot_rows, pair_side=pair_side).select(*output)
+    return join_close(lhs, rhs, [*keys, *cells], near, pair_side).select(*output)

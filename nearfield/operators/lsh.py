@@ -7,79 +7,121 @@ bucket of ``A`` radii a near pair shares a bucket of one table with a probabilit
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.operators.distance import HIT_WEIGHTS, check_radius, finite, own_cell, reached_cells, with_vector
-from nearfield.operators.skew import HOT_ROWS, PAIR_SIDE, join_close
+from nearfield.operators.distance import (
+    HIT_WEIGHTS,
+    MAX_GRID_AXES,
+    check_radius,
+    coordinates,
+    own_cell,
+    reached_cells,
+)
 
-FEATURES, HASHES = "features", "hashes"
+HASHES = "hashes"
+SEED = 20
 
 
-def fit_lsh(
+def projections(dimensions: int, tables: int = 4, seed: int = SEED) -> list[list[float]]:
+    """A random direction (a unit vector) for each table, always the same for a seed."""
+    rng = random.Random(seed)
+    out = []
+    for _ in range(tables):
+        vector = [rng.gauss(0, 1) for _ in range(dimensions)]
+        norm = math.sqrt(sum(x * x for x in vector))
+        out.append([x / norm for x in vector])
+    return out
+
+
+def buckets(point: Sequence[Column], vectors: Sequence[Sequence[float]], bucket_length: float) -> list[Column]:
+    """The number of the point's bucket in every table: its place along the direction, in bucket lengths."""
+    numbers = []
+    for vector in vectors:
+        terms = [c * F.lit(float(v)) for c, v in zip(point, vector, strict=True)]
+        numbers.append(F.floor(reduce(lambda a, b: a + b, terms) / F.lit(float(bucket_length))))
+    return numbers
+
+
+def _dimensions(features: Mapping[str, float] | str, dimensions: int | None) -> int:
+    if isinstance(features, str):
+        if not dimensions:
+            raise ValueError("an array column needs the number of its dimensions")
+        return dimensions
+    return len(features)
+
+
+def with_hashes(
     points: DataFrame,
+    features: Mapping[str, float] | str = HIT_WEIGHTS,
     bucket_length: float = 0.001,
     tables: int = 4,
-    seed: int | None = None,
-    features: str = FEATURES,
-    hashes: str = HASHES,
-) -> BucketedRandomProjectionLSHModel:
-    """Random projections for a vector column."""
-    lsh = BucketedRandomProjectionLSH(
-        inputCol=features, outputCol=hashes, bucketLength=bucket_length, numHashTables=tables
-    )
-    return (lsh if seed is None else lsh.setSeed(seed)).fit(points)
-
+    seed: int = SEED,
+    dimensions: int | None = None,
+    output: str = HASHES,
+) -> DataFrame:
+    """The points that have a place, with an array of their bucket in every table.
 
-def with_hashes(model: BucketedRandomProjectionLSHModel, points: DataFrame) -> DataFrame:
-    """The points with their hash in every table."""
-    return model.transform(points)
+    ``features`` maps columns to weights, or names an array column of ``dimensions`` coordinates.
+    """
+    count = _dimensions(features, dimensions)
+    placed, point = coordinates(points, features, "", count)
+    return placed.withColumn(output, F.array(*buckets(point, projections(count, tables, seed), bucket_length)))
 
 
 def lsh_semi_join(
     left: DataFrame,
     right: DataFrame,
-    weights: Mapping[str, float] = HIT_WEIGHTS,
+    features: Mapping[str, float] | str = HIT_WEIGHTS,
     within: float = 0.0001,
     bucket_length: float = 0.001,
     tables: int = 4,
     by: Sequence[str] = (),
-    seed: int | None = None,
-    hot_rows: int = HOT_ROWS,
-    pair_side: int = PAIR_SIDE,
+    seed: int = SEED,
+    dimensions: int | None = None,
 ) -> DataFrame:
-    """Distinct left rows with a right row of equal ``by`` closer than ``within``, approximately.
+    """Distinct left rows with a right row of equal ``by`` that is closer than ``within`` and lies in the
+    same bucket of at least one table.
 
-    The left rows are joined to the right points with a semi-join on the bucket, so no pairs are
-    produced, and equal points of the right side are tested once. Near points are also near on the
-    first axis; cells on it thin out the buckets without losing a match.
+    In up to three dimensions the rows meet in the cells of a grid, once each, and the buckets are
+    compared there; in more, where a grid would not separate them, they meet in the buckets of every
+    table and in cells on the first axis. No pairs are produced, and equal points of the right side
+    are tested once.
     """
-    radius = check_radius(within)
-    names, by = list(weights), list(by)
-    axes = [f"__x{i}" for i in range(len(names))]
-    scaled = [F.col(n).cast("double") * F.lit(float(w)) for n, w in weights.items()]
-    lhs = left.where(finite(scaled)).withColumns(dict(zip(axes, scaled)))
-    rhs = right.where(finite(scaled)).select(*by, *[c.alias(a) for a, c in zip(axes, scaled)]).distinct()
-    if by:
-        lhs, rhs = lhs.dropna(subset=by), rhs.dropna(subset=by)
-    lhs, rhs = with_vector(lhs, axes, "__features"), with_vector(rhs, axes, "__features")
-    model = fit_lsh(lhs, bucket_length, tables, seed, "__features", "__hashes")
-
-    def bucketed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        # Each hash is a vector of length one.
-        buckets = F.array(*[vector_to_array(F.col("__hashes")[i])[0] for i in range(tables)])
-        return with_hashes(model, df).select(*columns, F.posexplode(buckets).alias("__table", "__bucket"))
-
-    keys = [*by, "__table", "__bucket", "__cell"]
-    first = F.col(axes[0])
-    lhs = bucketed(lhs, [*left.columns, *axes]).withColumn("__cell", own_cell(first, radius))
-    rhs = bucketed(rhs, [*by, *axes]).withColumn("__cell", F.explode(reached_cells(first, radius)))
-    rhs = rhs.withColumnsRenamed({a: f"__r{a}" for a in axes})
-    squared = sum(((F.col(a) - F.col(f"__r{a}")) * (F.col(a) - F.col(f"__r{a}")) for a in axes), F.lit(0.0))
-    close = F.sqrt(squared) < F.lit(radius)
-    found = join_close(lhs, rhs, keys, close, "left_semi", hot_rows, pair_side)
-    return found.select(*left.columns).distinct()
+    radius, by = check_radius(within), list(by)
+    if not isinstance(features, str) and not features:
+        raise ValueError("at least one feature is needed")
+    count = _dimensions(features, dimensions)
+    vectors = projections(count, tables, seed)
+    axes = [f"__x{i}" for i in range(count)]
+    numbers = [f"__bucket{t}" for t in range(tables)]
+
+    def placed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        rows, point = coordinates(df.dropna(subset=by) if by else df, features, "", count)
+        rows = rows.select(*columns, *[c.alias(a) for a, c in zip(axes, point)])
+        return rows.select("*", *[b.alias(n) for n, b in zip(numbers, buckets([F.col(a) for a in axes], vectors, bucket_length))])
+
+    lhs, rhs = placed(left, left.columns), placed(right, by).distinct()
+    grid = axes if count <= MAX_GRID_AXES else axes[:1]
+    cells = [f"__cell{i}" for i in range(len(grid))]
+    lhs = lhs.withColumns({c: own_cell(F.col(a), radius) for c, a in zip(cells, grid)})
+    for c, a in zip(cells, grid):
+        rhs = rhs.withColumn(c, F.explode(reached_cells(F.col(a), radius)))
+    keys = [*by, *cells]
+    if count > MAX_GRID_AXES:
+        entries = F.posexplode(F.array(*numbers)).alias("__table", "__bucket")
+        lhs, rhs = lhs.select("*", entries), rhs.select("*", entries)
+        keys += ["__table", "__bucket"]
+    rhs = rhs.select(*[F.col(k).alias(f"__r{k}") for k in [*keys, *axes, *numbers]])
+    squares = [(F.col(a) - F.col(f"__r{a}")) * (F.col(a) - F.col(f"__r{a}")) for a in axes]
+    test = F.sqrt(reduce(lambda a, b: a + b, squares)) < F.lit(radius)
+    if count <= MAX_GRID_AXES:
+        test = test & reduce(lambda a, b: a | b, [F.col(n) == F.col(f"__r{n}") for n in numbers])
+    for k in keys:
+        test = (F.col(k) == F.col(f"__r{k}")) & test
+    return lhs.join(rhs, test, "left_semi").select(*left.columns).distinct()

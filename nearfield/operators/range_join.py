@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.operators.axis import Axis, check_closed, inside, shared_axis
-from nearfield.operators.skew import HOT_ROWS, PAIR_SIDE, join_close, join_summary
+from nearfield.operators.skew import PAIR_SIDE, join_close, join_summary
 
 CELL = "__cell"
 POSITION = "__position"
@@ -33,18 +33,18 @@ def neighbour_summary(right: DataFrame, keys: Sequence[str], axis: Axis, slots:
     ``right`` has the keys and a ``__position``. Each slot is a condition that picks the rows of
     one right side; its four values are named ``<slot>_below`` and so on.
     """
-    position, step = F.col(POSITION), F.col("__step")
+    position, step = F.col(POSITION), F.col("__offer.step")
     picked = right.select(*keys, POSITION, *[c.alias(f"__in_{s}") for s, c in slots.items()])
-    offered = picked.where(position.isNotNull()).withColumn("__step", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-    offered = offered.withColumn(CELL, axis.cell(position, SEMI_CELL) + step)
+    offered = picked.where(position.isNotNull()).withColumn("__offer", F.explode(axis.offers(position, SEMI_CELL)))
+    offered = offered.withColumn(CELL, F.col("__offer.cell"))
     aggregates = []
     for slot in slots:
         chosen = F.col(f"__in_{slot}")
         aggregates += [
-            F.max(F.when(chosen & (step == 1), position)).alias(f"{slot}_below"),
+            F.max(F.when(chosen & (step > 0), position)).alias(f"{slot}_below"),
             F.min(F.when(chosen & (step == 0), position)).alias(f"{slot}_least"),
             F.max(F.when(chosen & (step == 0), position)).alias(f"{slot}_most"),
-            F.min(F.when(chosen & (step == -1), position)).alias(f"{slot}_above"),
+            F.min(F.when(chosen & (step < 0), position)).alias(f"{slot}_above"),
         ]
     return offered.groupBy(*keys, CELL).agg(*aggregates)
 
@@ -74,22 +74,16 @@ def flag_matches(
     closed: str,
     how: str,
     keep: Column | None,
-    hot_rows: int,
 ) -> DataFrame:
-    """Distinct rows of the placed left side with one boolean per slot: whether it holds a match.
+    """Rows of the placed left side with one boolean per slot: whether it holds a match.
 
-    ``keep`` is a condition on the booleans. The distinct has the cell among its columns, and the
-    rows are already hashed by it, so it needs no shuffle of its own.
+    ``keep`` is a condition on the booleans.
     """
     columns = [c for c in left.columns if c not in (POSITION, CELL)]
     ends = axis.around(F.col(POSITION))
     flags = [near(s, ends, closed).alias(s) for s in slots]
-
-    def finish(joined: DataFrame) -> DataFrame:
-        flagged = joined.select(*columns, CELL, *flags)
-        return (flagged if keep is None else flagged.where(keep)).distinct().drop(CELL)
-
-    return join_summary(left, summary, [*by, CELL], how, finish, hot_rows)
+    flagged = join_summary(left, summary, [*by, CELL], how).select(*columns, *flags)
+    return flagged if keep is None else flagged.where(keep)
 
 
 def _names(on) -> tuple[str, str]:
@@ -98,7 +92,7 @@ def _names(on) -> tuple[str, str]:
 
 
 def _matched(
-    left: DataFrame, right: DataFrame, on, within, by: Sequence[str], closed: str, hot_rows: int, how: str, keep: Column
+    left: DataFrame, right: DataFrame, on, within, by: Sequence[str], closed: str, how: str, keep: Column
 ) -> DataFrame:
     """Distinct left rows that pass ``keep``."""
     check_closed(closed)
@@ -118,7 +112,7 @@ def _matched(
     summary = neighbour_summary(right_keys, list(own.values()), axis, {MATCHED: F.lit(True)})
     summary = summary.withColumnsRenamed({name: k for k, name in own.items()})
     placed = place(left, axis, position)
-    return flag_matches(placed, summary, by, axis, [MATCHED], closed, how, keep, hot_rows).select(*left.columns)
+    return flag_matches(placed, summary, by, axis, [MATCHED], closed, how, keep).select(*left.columns).distinct()
 
 
 def range_semi_join(
@@ -128,15 +122,14 @@ def range_semi_join(
     within,
     by: Sequence[str] = (),
     closed: str = "right",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Distinct left rows that have a right key within the radius.
 
     ``on`` names the key (a pair if the names differ), ``by`` further columns that must be equal.
     ``within`` is a number, or interval text such as ``"10 minutes"`` for timestamps. Null, NaN
-    and infinite keys match nothing. Cells with more than ``hot_rows`` left rows are not shuffled.
+    and infinite keys match nothing; finite keys of any size are compared as doubles are.
     """
-    return _matched(left, right, on, within, by, closed, hot_rows, "inner", F.col(MATCHED))
+    return _matched(left, right, on, within, by, closed, "inner", F.col(MATCHED))
 
 
 def range_anti_join(
@@ -146,10 +139,9 @@ def range_anti_join(
     within,
     by: Sequence[str] = (),
     closed: str = "right",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Distinct left rows that have no right key within the radius; arguments as in the semi-join."""
-    return _matched(left, right, on, within, by, closed, hot_rows, "left", ~F.col(MATCHED))
+    return _matched(left, right, on, within, by, closed, "left", ~F.col(MATCHED))
 
 
 def pair_sides(
@@ -175,7 +167,6 @@ def range_pairs(
     by: Sequence[str] = (),
     closed: str = "right",
     suffixes: tuple[str, str] = ("_left", "_right"),
-    hot_rows: int = HOT_ROWS,
     pair_side: int = PAIR_SIDE,
 ) -> DataFrame:
     """All pairs whose right key is within the radius of the left key, columns suffixed."""
@@ -187,10 +178,8 @@ def range_pairs(
     lhs = lhs.withColumn("__c1", axis.position(F.col(left_name + suffixes[0]), left_type))
     rhs = rhs.withColumn("__c2", axis.position(F.col(right_name + suffixes[1]), right_type))
     c1, c2 = F.col("__c1"), F.col("__c2")
-    lhs = lhs.where(c1.isNotNull()).withColumn(CELL, axis.cell(c1, PAIR_CELL))
+    lhs = lhs.where(c1.isNotNull()).withColumn(CELL, axis.pair_cell(c1, PAIR_CELL))
     # A quarter radius more than needed: covers rounding in the cell numbers, costs few copies.
-    reach = axis.lit(1.25) + (F.lit(1) if isinstance(axis.radius, int) else axis.lit(0))
-    low, high = axis.cell(c2 - reach, PAIR_CELL), axis.cell(c2 + reach, PAIR_CELL)
-    rhs = rhs.where(c2.isNotNull()).withColumn(CELL, F.explode(F.sequence(low, high)))
+    rhs = rhs.where(c2.isNotNull()).withColumn(CELL, F.explode(axis.pair_cells(c2, PAIR_CELL, 1.25)))
     close = inside(c2, axis.around(c1), closed)
-    return join_close(lhs, rhs, [*keys, CELL], close, hot_rows=hot_rows, pair_side=pair_side).select(*output)
+    return join_close(lhs, rhs, [*keys, CELL], close, pair_side).select(*output)

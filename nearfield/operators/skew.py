@@ -1,31 +1,20 @@
 """Joins that stay balanced when a key holds a large part of the rows.
 
-Both joins count rows per key and list the hot keys, heaviest first, at most ``HOT_KEYS`` of them.
-Keys are counted and listed by a 64-bit hash, one small number instead of the key columns; two keys
-with one hash are at worst treated as hot together. The cut bounds the broadcast of the list and
-drops no row: the list only decides which keys get the treatment for hot ones, and a key left off
-a full list holds less than one part in ``HOT_KEYS`` of the rows. Where the list is empty, Spark
-removes the branch for hot keys while the query runs. Salts are hashes of the rows' content, so a
-task that is run again gives its rows the same salts.
+Rows are read once for a join with a summary, and at most once more, for a count, for a join that tests
+pairs. Nothing is limited: every key takes the same way, whatever its size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 10_000
-HOT_ROWS = 1_000_000
+#: A task tests about the square of this many pairs of one key.
 PAIR_SIDE = 10_000
-COPIES_PER_ENTRY = 100_000
 
-_HASH, _HOT = "__hash", "__hot"
-
-
-def _key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*keys).alias(_HASH)
+_HASH = "__hash"
 
 
 def _check_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
@@ -36,126 +25,54 @@ def _check_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None
             raise TypeError(f"equal keys must have one type, not {ours.simpleString()} and {theirs.simpleString()}")
 
 
-def _count_rows(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return df.groupBy(_key_hash(keys)).agg(F.count(F.lit(1)).alias(name))
-
-
-def _on_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join with the list of hot keys."""
-    return df.select("*", _key_hash(keys)).join(F.broadcast(hot), _HASH, how).drop(_HASH)
-
+def join_summary(left: DataFrame, summary: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join (inner or left) with a right side that has one row per key.
 
-def _without(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of other keys. An outer join and a filter: an anti-join would be pushed below
-    aggregates of ``df``, and branches of the query could no longer share them."""
-    marked = _on_hot(df, hot.select(_HASH, F.lit(True).alias(_HOT)), keys, "left")
-    return marked.where(F.col(_HOT).isNull()).select(*df.columns)
-
-
-def join_summary(
-    left: DataFrame,
-    summary: DataFrame,
-    keys: Sequence[str],
-    how: str,
-    finish: Callable[[DataFrame], DataFrame],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join (inner or left) with a right side that has one row per key, then ``finish``.
-
-    The summary rows of hot keys, at most ``HOT_KEYS``, are broadcast, so left rows of hot keys are
-    not shuffled for the join. The others meet the summary where its own aggregate left it, hashed
-    by the keys. ``finish`` runs on each part; all rows of a key are in one part.
+    Adaptive execution splits a hot key's left rows over tasks by size, but only where both sides come
+    from shuffles that were made for the join. A hash of the keys as one more key sees to that: the
+    summary, small by then, is shuffled once more after its aggregate.
     """
     keys = list(keys)
     _check_types(left, summary, keys)
-    hot = (
-        _count_rows(left, keys, "__n")
-        .where(F.col("__n") > hot_rows)
-        .orderBy(F.col("__n").desc(), _HASH)
-        .limit(HOT_KEYS)
-        .select(_HASH)
-    )
-    cold = _without(left, hot, keys).join(summary, keys, how)
-    in_place = _on_hot(left, hot, keys, "inner").select(*left.columns)
-    hot_summary = F.broadcast(_on_hot(summary, hot, keys, "inner").select(*summary.columns))
-    return finish(cold).unionByName(finish(in_place.join(hot_summary, keys, how)))
-
-
-def pack_copies(df: DataFrame, copies: str, per_entry: int = COPIES_PER_ENTRY) -> DataFrame:
-    """Equal rows become one entry with their number, or several entries of a bounded number.
-
-    The columns ``__entry`` and ``copies`` are added.
-    """
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__total"))
-    entries = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__total") - 1) / F.lit(per_entry)))
-    return (
-        counted.withColumn("__entry", F.explode(entries))
-        .withColumn(copies, F.least(F.lit(per_entry), F.col("__total") - F.col("__entry") * per_entry))
-        .drop("__total")
-    )
+    own, theirs = (df.withColumn(_HASH, F.xxhash64(*keys)) for df in (left, summary))
+    return own.join(theirs, [*keys, _HASH], how).drop(_HASH)
 
 
-def _expand(df: DataFrame, copies: str) -> DataFrame:
-    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies))).alias("__each")
-    return df.select("*", each).drop("__each", copies)
+def _count_rows(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
 def join_close(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    condition: Column,
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    pair_side: int = PAIR_SIDE,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], condition: Column, pair_side: int = PAIR_SIDE
 ) -> DataFrame:
-    """Join (inner or left_semi) on the keys and a condition that is tested on the pairs of a key.
+    """All pairs of equal keys that meet a condition: the left columns, and the right ones without the keys.
 
-    Apart from the keys the sides must share no column names; the output is the left columns, and
-    for an inner join the right columns without the keys. A hot key's left rows are split into
-    ``a`` parts and its right rows into ``b``; part ``i`` meets part ``j`` under (key, i, j), so one
-    task tests about ``pair_side`` squared pairs of that key. Equal rows of hot keys travel as one
-    entry with a count. A semi-join may give a left row of a hot key several times.
+    Apart from the keys the sides must share no column names. Splitting by size alone would leave a
+    crowded key's pairs in one task, so the rows of each key are counted on both sides, and where the
+    pairs are many, the left rows are dealt into ``a`` parts and the right rows into ``b`` by a hash of
+    the row; part ``i`` meets part ``j`` under (key, i, j). Equal rows share a part; if they are so many
+    that it is large, adaptive execution splits it by size.
     """
     keys = list(keys)
     _check_types(left, right, keys)
-    nl, nr = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("__nl", "__nr"))
-    load = F.greatest(nl * nr / F.lit(float(pair_side) ** 2), nl / F.lit(hot_rows), nr / F.lit(hot_rows))
-    parts = [F.greatest(F.ceil(n / F.lit(pair_side)), F.lit(1)) for n in (nl, nr)]
-    hot = (
-        _count_rows(left, keys, "__nl")
-        .join(_count_rows(right, keys, "__nr"), _HASH, "full")
-        .withColumn("__load", load)
-        .where(F.col("__load") > 1)
-        .orderBy(F.col("__load").desc(), _HASH)
-        .limit(HOT_KEYS)
-        .select(_HASH, parts[0].alias("__a"), parts[1].alias("__b"))
-    )
-    output = [*left.columns] + ([c for c in right.columns if c not in keys] if how == "inner" else [])
-
-    def joined(lhs: DataFrame, rhs: DataFrame, on: Sequence[str]) -> DataFrame:
-        rhs = rhs.withColumnsRenamed({k: f"__k_{k}" for k in on})
-        test = condition
-        for k in on:
-            test = (F.col(k) == F.col(f"__k_{k}")) & test
-        return lhs.join(rhs, test, how)
-
-    def salted(df: DataFrame, own: str, other: str, copies: str) -> DataFrame:
-        rows = _on_hot(df, hot, keys, "inner")
-        if how == "inner":
-            rows = pack_copies(rows, copies)
-            row = F.xxhash64(*df.columns, "__entry")
-        else:
-            rows = rows.distinct()
-            row = F.xxhash64(*df.columns)
-        here, there = f"__salt{own}", f"__salt{other}"
-        rows = rows.withColumn(here, F.pmod(row, F.col(own)))
-        rows = rows.withColumn(there, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)))
-        return rows.drop("__a", "__b", "__entry")
-
-    cold = joined(_without(left, hot, keys), _without(right, hot, keys), keys).select(*output)
-    lhs, rhs = salted(left, "__a", "__b", "__cl"), salted(right, "__b", "__a", "__cr")
-    split = joined(lhs, rhs, [*keys, "__salt__a", "__salt__b"])
-    if how == "inner":
-        split = _expand(_expand(split, "__cl"), "__cr")
-    return cold.unionByName(split.select(*output))
+    pairs = F.col("__nl").cast("double") * F.col("__nr").cast("double")
+    parts = [F.ceil(F.col(n) / F.lit(pair_side)).alias(p) for n, p in (("__nl", "__a"), ("__nr", "__b"))]
+    counted = _count_rows(left, keys, "__nl").join(_count_rows(right, keys, "__nr"), keys)
+    crowded = counted.where(pairs > float(pair_side) ** 2).select(*keys, *parts)
+
+    def dealt(df: DataFrame, own: str, other: str, here: str, there: str) -> DataFrame:
+        rows = df.join(crowded, keys, "left")
+        of = F.coalesce(F.col(own), F.lit(1))
+        copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(other), F.lit(1)) - 1)
+        salted = rows.withColumn(here, F.pmod(F.xxhash64(*df.columns), of)).withColumn(there, F.explode(copies))
+        return salted.drop("__a", "__b")
+
+    lhs = dealt(left, "__a", "__b", "__i", "__j")
+    rhs = dealt(right, "__b", "__a", "__j", "__i")
+    on = [*keys, "__i", "__j"]
+    rhs = rhs.withColumnsRenamed({k: f"__k_{k}" for k in on})
+    test = condition
+    for k in on:
+        test = (F.col(k) == F.col(f"__k_{k}")) & test
+    output = [*left.columns, *[c for c in right.columns if c not in keys]]
+    return lhs.join(rhs, test).select(*output)

@@ -1,8 +1,9 @@
 """Detection: hits that recur in every ON observation of a group and appear in no OFF observation.
 
-All groups are handled by one plan: one scan of the hits, one aggregate that holds, per group and
-frequency cell, what the other observations contain, and one join of the anchor observation with
-it. Everything is compared with the anchor's frequency; the anchor is the first ON observation.
+All groups are handled by one plan: an aggregate that holds, per group and frequency cell, what the
+other observations contain, and one join of the anchor observation with it (two of either where the
+radii differ). Everything is compared with the anchor's frequency; the anchor is the first ON
+observation.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 
 from nearfield.operators.axis import check_closed, shared_axis
 from nearfield.operators.range_join import POSITION, flag_matches, neighbour_summary, place
-from nearfield.operators.skew import HOT_ROWS
 from nearfield.schema import GROUPS
 
 GROUP, ORDER = "observationgroup", "observationorder"
@@ -35,7 +35,6 @@ class Rule:
     min_drift: float = 0.0001
     abs_drift: bool = False
     closed: str = "right"
-    hot_rows: int = HOT_ROWS
 
     def __post_init__(self):
         if not self.on_orders:
@@ -87,14 +86,14 @@ def _flag(
     how: str,
     keep: Column | None = None,
 ) -> DataFrame:
-    """Distinct anchors with one boolean per slot: whether the slot's hits hold a match."""
+    """Anchors with one boolean per slot: whether the slot's hits hold a match."""
     key_type = anchors.schema["frequency"].dataType
     axis = shared_axis(key_type, key_type, radius)
     centre = axis.position(F.col("frequency"), key_type)
     chosen = others.where(reduce(lambda a, b: a | b, slots.values()))
     summary = neighbour_summary(chosen.withColumn(POSITION, centre), [GROUP], axis, slots)
     placed = place(anchors, axis, centre)
-    return flag_matches(placed, summary, [GROUP], axis, list(slots), rule.closed, how, keep, rule.hot_rows)
+    return flag_matches(placed, summary, [GROUP], axis, list(slots), rule.closed, how, keep)
 
 
 def _matched_anchors(
@@ -108,12 +107,12 @@ def _matched_anchors(
     keep_on, keep_off = _all(F.col(s) for s in on), _all(~F.col(s) for s in off)
     if on and off and rule.r_on == rule.r_off:
         keep = keep_on & keep_off if only_anomalous else None
-        return _flag(anchors, others, rule, rule.r_on, {**on, **off}, "inner", keep)
+        return _flag(anchors, others, rule, rule.r_on, {**on, **off}, "inner", keep).distinct()
     if on:
         anchors = _flag(anchors, others, rule, rule.r_on, on, "inner", keep_on if only_anomalous else None)
     if off:
         anchors = _flag(anchors, others, rule, rule.r_off, off, "left", keep_off if only_anomalous else None)
-    return anchors if on or off else anchors.distinct()
+    return anchors.distinct()
 
 
 def _split(rule: Rule) -> tuple[Column, Column]:
@@ -178,11 +177,13 @@ def group_results(
 
 
 def with_metadata(results: DataFrame, metadata: DataFrame | None) -> DataFrame:
-    """Group results as full rows of the group table."""
+    """Group results as full rows of the group table, which has one row per group: of a group that
+    ``metadata`` has more than once, the greatest row counts."""
     rest = [f for f in GROUPS.fields if f.name not in (GROUP, "grouphit")]
     known = [] if metadata is None else [f.name for f in rest if f.name in metadata.columns]
     if known:
-        results = results.join(metadata.select(GROUP, *known), GROUP, "left")
+        each = metadata.groupBy(GROUP).agg(F.max(F.struct(*known)).alias("__known"))
+        results = results.join(each.select(GROUP, "__known.*"), GROUP, "left")
     columns = [(F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in rest]
     return results.select(GROUP, "grouphit", *columns)
 

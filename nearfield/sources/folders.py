@@ -1,0 +1,43 @@
+"""Folders of tables, through Spark's own access to the store."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def _open(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def numbered(spark: SparkSession, path: str, name: str) -> dict[int, str]:
+    """The folders ``name=<number>`` right below ``path`` whose writes are complete, by number."""
+    store, place = _open(spark, path)
+    found = {}
+    if store.exists(place):
+        for status in store.listStatus(place):
+            folder = status.getPath()
+            key, _, value = folder.getName().partition("=")
+            if key == name and value.lstrip("-").isdecimal():
+                done = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+                if store.exists(done) or numbered(spark, folder.toString(), "seq"):
+                    found[int(value)] = folder.toString()
+    return found
+
+
+def make(spark: SparkSession, path: str) -> None:
+    store, place = _open(spark, path)
+    store.mkdirs(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    store, place = _open(spark, path)
+    store.delete(place, True)
+
+
+def replace(spark: SparkSession, path: str, new: str) -> None:
+    """Puts the folder ``new`` in the place of ``path``."""
+    store, place = _open(spark, path)
+    store.delete(place, True)
+    if not store.rename(spark._jvm.org.apache.hadoop.fs.Path(new), place):
+        raise OSError(f"{new} could not be moved to {path}")

@@ -1,17 +1,34 @@
-"""The hit and group tables as files, partitioned by observation group."""
+"""The hit and group tables as files.
+
+Rows carry a version, by default the time of the write; of equal keys the latest version counts, and
+readers resolve that. Hits lie in a fixed number of folders by a hash of the group, so that the layout
+doesn't grow with the groups, and are sorted within files, so that a filter on group, observation or
+strength skips row groups.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearfield.schema import GROUPS, HITS
+from nearfield.operators.upsert import latest
+from nearfield.schema import GROUP_KEY, GROUPS, HIT_KEY, HITS
+from nearfield.sources import folders
 
 # The read order of hits within an observation.
 CLUSTERING = [("snr", False), ("driftrate", False)]
+#: Folders of the hit table.
+BUCKETS = 64
+
+BUCKET = T.StructField("bucket", T.IntegerType())
+VERSION = T.StructField("version", T.LongType())
+STORED_HITS = T.StructType([*HITS.fields, VERSION, BUCKET])
+STORED_GROUPS = T.StructType([*GROUPS.fields, VERSION])
 
 
 def conform(df: DataFrame, schema: T.StructType, *extra: str) -> DataFrame:
@@ -29,40 +46,62 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType = HITS, form
     return conform(spark.read.format(format).schema(schema).options(**options).load(path), schema)
 
 
-def read_hits(spark: SparkSession, path: str, format: str = "parquet", **options) -> DataFrame:
-    return read_table(spark, path, HITS, format, **options)
+def bucket_of(group: Column) -> Column:
+    """The folder of a group."""
+    return F.pmod(F.xxhash64(group.cast("int")), F.lit(BUCKETS)).cast("int")
+
+
+def in_groups(stored: DataFrame, groups: Sequence[int]) -> DataFrame:
+    """The rows of a few groups; only their folders are read."""
+    wanted = [F.lit(int(g)) for g in groups]
+    return stored.where(F.col("bucket").isin(*[bucket_of(g) for g in wanted]) & F.col("observationgroup").isin(*wanted))
+
 
+def read_hits(spark: SparkSession, path: str, groups: Sequence[int] | None = None) -> DataFrame:
+    """The hits, the latest version of each key; of some groups only, if given."""
+    stored = read_table(spark, path, STORED_HITS)
+    chosen = stored if groups is None else in_groups(stored, groups)
+    return conform(latest(chosen.drop("bucket"), HIT_KEY, ["version"]), HITS)
 
-def read_groups(spark: SparkSession, path: str, format: str = "parquet", **options) -> DataFrame:
-    return read_table(spark, path, GROUPS, format, **options)
 
+def read_groups(spark: SparkSession, path: str) -> DataFrame:
+    """The group rows, the latest version of each group."""
+    return conform(latest(read_table(spark, path, STORED_GROUPS), GROUP_KEY, ["version"]), GROUPS)
 
-def clustered(hits: DataFrame, *partitions: str) -> DataFrame:
-    """Hits gathered by group, a large group over several files, each file in read order.
 
-    ``partitions`` are the columns the write is partitioned by. The rebalance hint splits and
-    merges by size, so no group needs to fit a task.
+def clustered(hits: DataFrame) -> DataFrame:
+    """Hits with their bucket, gathered by it, a large one over several files, each file in read order.
+
+    The rebalance hint splits and merges by size, so no group needs to fit a task.
     """
-    order = [F.col(p) for p in partitions] + [F.col("observationorder")]
+    order = [F.col("bucket"), F.col("observationgroup"), F.col("observationorder")]
     order += [F.col(c).asc() if up else F.col(c).desc() for c, up in CLUSTERING]
-    return hits.hint("rebalance", F.col("observationgroup")).sortWithinPartitions(*order)
+    rows = hits.withColumn("bucket", bucket_of(F.col("observationgroup")))
+    return rows.hint("rebalance", F.col("bucket")).sortWithinPartitions(*order)
+
+
+def _versioned(rows: DataFrame, version: int | None) -> DataFrame:
+    return rows.withColumn("version", F.lit(time.time_ns() if version is None else version).cast("bigint"))
 
 
-def append_hits(hits: DataFrame, path: str) -> None:
-    """Append hits to the table."""
-    rows = conform(hits, HITS)
-    clustered(rows, "observationgroup").write.mode("append").partitionBy("observationgroup").parquet(path)
+def append_hits(hits: DataFrame, path: str, version: int | None = None) -> None:
+    """Append hits to the table, over those of equal keys and lower versions."""
+    rows = clustered(_versioned(conform(hits, HITS), version))
+    rows.write.mode("append").partitionBy("bucket").parquet(path)
 
 
-def append_groups(groups: DataFrame, path: str) -> None:
-    """Append group rows to the table."""
-    conform(groups, GROUPS).write.mode("append").parquet(path)
+def append_groups(groups: DataFrame, path: str, version: int | None = None) -> None:
+    """Append group rows to the table, over those of equal groups and lower versions."""
+    rows = _versioned(conform(groups, GROUPS), version)
+    rows.hint("rebalance").sortWithinPartitions("observationgroup").write.mode("append").parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = ()) -> None:
-    """Write a batch under its id. Writing the same batch again replaces it."""
-    rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    by = [*partitions, "batch_id"]
-    if "observationgroup" in partitions:
-        rows = clustered(rows, *by)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+def compact_hits(spark: SparkSession, path: str) -> None:
+    """Rewrites the table as one file or few for each bucket, without the rows that later ones replace.
+
+    The new files are written beside the table and then take its place; nobody may write meanwhile.
+    """
+    stored = read_table(spark, path, STORED_HITS).drop("bucket")
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    clustered(latest(stored, HIT_KEY, ["version"], keep_version=True)).write.partitionBy("bucket").parquet(beside)
+    folders.replace(spark, path, beside)

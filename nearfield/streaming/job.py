@@ -1,9 +1,10 @@
 """The streaming job: parse, store, and report each group once it is complete.
 
 A group is closed when a higher group id has been seen; a late hit of a closed group has it
-reported again. All state is in tables written under the batch id, so a batch that is run again
-after a failure replaces its own output and nothing else, and readers take the latest version.
-The checkpoint belongs to the tables and lies beside them unless another place is given.
+reported again. All state is in tables. Each batch writes folders of its own, by its id, so a batch
+that is run again after a failure replaces its own output and nothing else; a flush reports under the
+last batch's id and the next sequence number. Readers take the latest version. Compaction merges the
+batches so far, so that the number of folders doesn't grow with the batches or the groups.
 """
 
 from __future__ import annotations
@@ -22,112 +23,103 @@ from nearfield.operators.upsert import latest
 from nearfield.plans.detect import GROUP, STREAM_RULE, Rule, group_results
 from nearfield.plans.lookups import anomaly_feed
 from nearfield.schema import GROUP_KEY, GROUPS, HIT_KEY, HITS
-from nearfield.sources.tables import conform, write_batch
-
-# Up to this many finished groups are named to the reader one by one, so that only their folders
-# are listed and read; for more, the table is joined with the list instead.
-MAX_NAMED_GROUPS = 1_000
+from nearfield.sources import folders
+from nearfield.sources.tables import BUCKET, bucket_of, clustered, conform
 
 _BATCH = T.StructField("batch_id", T.LongType())
-_ORIGIN = [T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())]
-STORED_HITS = T.StructType([*HITS.fields, *_ORIGIN, _BATCH])
-STORED_GROUPS = T.StructType([*GROUPS.fields, _BATCH])
+_SEQ = T.StructField("seq", T.IntegerType())
+_ORIGIN = [T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())]
+STORED_HITS = T.StructType([*HITS.fields, *_ORIGIN, _BATCH, BUCKET])
+STORED_GROUPS = T.StructType([*GROUPS.fields, _BATCH, _SEQ])
 REJECTS = T.StructType([T.StructField("value", T.StringType()), T.StructField("reason", T.StringType()), _BATCH])
-PROGRESS = T.StructType([T.StructField("max_group", T.IntegerType()), _BATCH])
-VERSION = ["batch_id", "partition", "offset"]
+PROGRESS = T.StructType([T.StructField("max_group", T.IntegerType())])
+#: Offsets are comparable within a topic and partition only; between those any fixed order will do.
+VERSION = ["batch_id", "topic", "partition", "offset"]
+REPORT_VERSION = ["batch_id", "seq"]
 
 
 @dataclass(frozen=True)
 class Tables:
-    """Folders of the job's tables."""
+    """Folders of the job's tables; what a compaction has merged lies in ``<table>_compacted``."""
 
     root: str
 
-    @property
-    def hits(self) -> str:
-        return f"{self.root}/hits"
-
-    @property
-    def groups(self) -> str:
-        return f"{self.root}/groups"
-
-    @property
-    def rejects(self) -> str:
-        return f"{self.root}/rejects"
-
-    @property
-    def progress(self) -> str:
-        return f"{self.root}/progress"
+    def of(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
 
 
-def _prepare(spark: SparkSession, tables: Tables) -> None:
-    for path, schema in ((tables.hits, STORED_HITS), (tables.groups, STORED_GROUPS), (tables.rejects, REJECTS)):
-        by = ["observationgroup", "batch_id"] if schema is STORED_HITS else ["batch_id"]
-        spark.createDataFrame([], schema).write.mode("append").partitionBy(*by).parquet(path)
-
-
-def read_stored_hits(spark: SparkSession, root: str, groups: list[int] | None = None) -> DataFrame:
-    """Stored hits, repeated keys resolved; of the named groups only, if given."""
-    return latest(_raw_hits(spark, Tables(root), groups), HIT_KEY, VERSION)
-
-
-def _raw_hits(spark: SparkSession, tables: Tables, groups: list[int] | None) -> DataFrame:
-    reader = spark.read.schema(STORED_HITS).option("basePath", tables.hits)
-    paths = [tables.hits] if groups is None else [f"{tables.hits}/{GROUP}={g}" for g in groups]
-    return reader.parquet(*paths)
+def _read(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    """All rows of a table: of the last compaction and of the batches after it."""
+    tables = Tables(root)
+    merged = folders.numbered(spark, tables.of(f"{name}_compacted"), "upto")
+    upto = max(merged, default=-1)
+    # a flush after the compaction reports under the last batch that it merged
+    first = upto if name == "groups" else upto + 1
+    paths = [path for batch, path in sorted(folders.numbered(spark, tables.of(name), "batch_id").items()) if batch >= first]
+    parts = [spark.read.schema(schema).parquet(merged[upto])] if merged else []
+    if paths:
+        parts.append(spark.read.schema(schema).option("basePath", tables.of(name)).parquet(*paths))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def read_stored_hits(spark: SparkSession, root: str, groups: DataFrame | None = None) -> DataFrame:
+    """Stored hits, repeated keys resolved; of the groups in ``groups`` only, if given.
+
+    The buckets of the groups, at most as many as there are, name the folders and row groups to read.
+    """
+    rows = _read(spark, root, "hits", STORED_HITS)
+    if groups is not None:
+        ids = groups.select(GROUP).distinct()
+        buckets = [r[0] for r in ids.select(bucket_of(F.col(GROUP))).distinct().collect()]
+        rows = rows.where(F.col("bucket").isin(buckets)).join(ids, GROUP, "left_semi").select(*rows.columns)
+    return conform(latest(rows.drop("bucket"), HIT_KEY, VERSION), HITS)
 
 
 def read_results(spark: SparkSession, root: str) -> DataFrame:
     """The latest result of every reported group."""
-    rows = spark.read.schema(STORED_GROUPS).parquet(Tables(root).groups)
-    return conform(latest(rows, GROUP_KEY, ["batch_id"]), GROUPS)
+    return conform(latest(_read(spark, root, "groups", STORED_GROUPS), GROUP_KEY, REPORT_VERSION), GROUPS)
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
     """Messages that could not be parsed."""
-    return spark.read.schema(REJECTS).parquet(Tables(root).rejects)
+    return _read(spark, root, "rejects", REJECTS)
 
 
 def stream_feed(spark: SparkSession, root: str) -> DataFrame:
     """Reports of anomalous groups as they are written, a stream."""
-    return anomaly_feed(spark.readStream.schema(STORED_GROUPS).parquet(Tables(root).groups))
+    path = Tables(root).of("groups")
+    folders.make(spark, path)
+    return anomaly_feed(spark.readStream.schema(STORED_GROUPS).parquet(path))
 
 
-def _group_rows(spark: SparkSession, groups: list[int]) -> DataFrame:
-    return spark.createDataFrame([(g,) for g in groups], T.StructType([HITS[GROUP]]))
+def _write(rows: DataFrame, path: str) -> None:
+    """Writes a folder. Writing it again replaces it."""
+    rows.write.mode("overwrite").parquet(path)
 
 
-def _closed_groups(hits: DataFrame, low, high, last: int | None, compat: bool) -> list[int] | DataFrame:
+def _closed_groups(hits: DataFrame, low, high, last: int | None, compat: bool) -> DataFrame | None:
     """Groups to report after a batch whose ids run from ``low`` to ``high`` (None if it has no
-    hits); ``last`` is the highest id before it. A list, or a DataFrame if there are many."""
+    hits); ``last`` is the highest id before it. None if there are none."""
+    spark, ids = hits.sparkSession, T.StructType([HITS[GROUP]])
     if compat:
-        return [low] if low is not None and low < high else []
+        return spark.createDataFrame([(low,)], ids) if low is not None and low < high else None
     top = max((g for g in (last, high) if g is not None), default=None)
-    open_before = [last] if last is not None and last < top else []
+    opened = spark.createDataFrame([(last,)], ids) if last is not None and last < top else None
     if low is None or low == top:
-        return open_before
-    if low == high:
-        return sorted({low, *open_before})
-    late = hits.where(F.col(GROUP) < top).select(GROUP).distinct()
-    few = [r[0] for r in late.limit(MAX_NAMED_GROUPS + 1).collect()]
-    if len(few) <= MAX_NAMED_GROUPS:
-        return sorted({*few, *open_before})
-    return late.unionByName(_group_rows(hits.sparkSession, open_before)).distinct()
-
-
-def _report(
-    spark: SparkSession, tables: Tables, closed: list[int] | DataFrame, rule: Rule, metadata: DataFrame | None
-) -> DataFrame:
+        return opened
+    late = hits.where(F.col(GROUP) < top).select(GROUP)
+    return (late if opened is None else late.unionByName(opened)).distinct()
+
+
+def _report(spark: SparkSession, root: str, closed: DataFrame, rule: Rule, metadata: DataFrame | None) -> DataFrame:
     """Result rows of the closed groups, from all their stored hits."""
-    if isinstance(closed, list):
-        raw, groups = _raw_hits(spark, tables, closed), _group_rows(spark, closed)
-    else:
-        raw, groups = _raw_hits(spark, tables, None).join(closed, GROUP, "left_semi"), closed
-    return group_results(latest(raw, HIT_KEY, VERSION), rule, metadata, groups)
+    return group_results(read_stored_hits(spark, root, closed), rule, metadata, closed)
 
 
 def process_batch(
@@ -137,6 +129,7 @@ def process_batch(
     rule: Rule = STREAM_RULE,
     metadata: DataFrame | None = None,
     compat: bool = False,
+    compact_every: int | None = None,
 ) -> None:
     """Store the hits of one batch and report the groups it closes."""
     spark, tables = messages.sparkSession, Tables(root)
@@ -144,36 +137,75 @@ def process_batch(
     shaped = messages.select("value", *[c.cast(f.dataType).alias(f.name) for c, f in zip(origin, _ORIGIN)])
     parsed = parse_hits(shaped).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        hits = good_hits(parsed, "partition", "offset")
-        write_batch(hits, tables.hits, batch_id, ["observationgroup"])
+        hits = good_hits(parsed, *[f.name for f in _ORIGIN])
+        _write(clustered(hits), f"{tables.of('hits')}/batch_id={batch_id}")
         group = F.when(F.col("reason").isNull(), F.col(GROUP))
         low, high, bad = parsed.agg(F.min(group), F.max(group), F.count("reason")).first()
         if bad:
-            write_batch(bad_messages(parsed), tables.rejects, batch_id)
+            _write(bad_messages(parsed), f"{tables.of('rejects')}/batch_id={batch_id}")
         last = None
         if batch_id > 0:
-            last = spark.read.schema(PROGRESS).parquet(f"{tables.progress}/batch_id={batch_id - 1}").first()[0]
+            last = spark.read.schema(PROGRESS).parquet(f"{tables.of('progress')}/batch_id={batch_id - 1}").first()[0]
         closed = _closed_groups(hits, low, high, last, compat)
-        if isinstance(closed, DataFrame) or closed:
-            write_batch(_report(spark, tables, closed, rule, metadata), tables.groups, batch_id)
+        if closed is not None:
+            _write(_report(spark, root, closed, rule, metadata), f"{tables.of('groups')}/batch_id={batch_id}/seq=0")
         # Written last: the next batch can rely on this one being complete.
         top = max((g for g in (last, high) if g is not None), default=None)
-        progress = spark.createDataFrame([(top,)], T.StructType(PROGRESS.fields[:1]))
-        write_batch(progress, tables.progress, batch_id)
+        _write(spark.createDataFrame([(top,)], PROGRESS), f"{tables.of('progress')}/batch_id={batch_id}")
     finally:
         parsed.unpersist()
+    if compact_every and (batch_id + 1) % compact_every == 0:
+        compact(spark, root)
 
 
 def flush(spark: SparkSession, root: str, rule: Rule = STREAM_RULE, metadata: DataFrame | None = None) -> None:
-    """Report the group that is still open. Hits that come later have it reported again."""
+    """Report the group that is still open, over any earlier report of it. Hits that come later have it
+    reported again."""
+    tables = Tables(root)
+    batches = folders.numbered(spark, tables.of("progress"), "batch_id")
+    if not batches:
+        return
+    newest = max(batches)
+    open_group = spark.read.schema(PROGRESS).parquet(batches[newest]).first()[0]
+    if open_group is None:
+        return
+    reports = folders.numbered(spark, f"{tables.of('groups')}/batch_id={newest}", "seq")
+    closed = spark.createDataFrame([(open_group,)], T.StructType([HITS[GROUP]]))
+    path = f"{tables.of('groups')}/batch_id={newest}/seq={max(reports, default=0) + 1}"
+    _write(_report(spark, root, closed, rule, metadata), path)
+
+
+def compact(spark: SparkSession, root: str) -> None:
+    """Merges the complete batches of all tables, without the rows that later ones replace.
+
+    The merged folder is complete before any batch folder goes, and readers prefer it; call it between
+    batches (or let the job: ``compact_every``), not while one runs.
+    """
     tables = Tables(root)
-    progress = spark.read.schema(PROGRESS).parquet(tables.progress)
-    newest = progress.agg(F.max(F.struct("batch_id", "max_group")).alias("newest")).first()["newest"]
-    if newest is None or newest["max_group"] is None:
+    batches = folders.numbered(spark, tables.of("progress"), "batch_id")
+    upto = max(batches, default=-1)
+    if upto in folders.numbered(spark, tables.of("hits_compacted"), "upto") or upto < 0:
         return
-    results = _report(spark, tables, [newest["max_group"]], rule, metadata)
-    rows = results.withColumn("batch_id", F.lit(newest["batch_id"]).cast("bigint"))
-    rows.write.mode("append").partitionBy("batch_id").parquet(tables.groups)
+    hits = latest(_read(spark, root, "hits", STORED_HITS).drop("bucket"), HIT_KEY, VERSION, keep_version=True)
+    reports = latest(_read(spark, root, "groups", STORED_GROUPS), GROUP_KEY, REPORT_VERSION, keep_version=True)
+    merged = {
+        "groups": reports.hint("rebalance").sortWithinPartitions(GROUP).write,
+        "rejects": _read(spark, root, "rejects", REJECTS).hint("rebalance").write,
+        "hits": clustered(hits).write.partitionBy("bucket"),
+    }
+    for name, writer in merged.items():  # hits last: they tell that all are done
+        writer.mode("overwrite").parquet(f"{tables.of(name)}_compacted/upto={upto}")
+    for name in merged:
+        for number, path in folders.numbered(spark, f"{tables.of(name)}_compacted", "upto").items():
+            if number < upto:
+                folders.remove(spark, path)
+        for number, path in folders.numbered(spark, tables.of(name), "batch_id").items():
+            # a later flush may still report under the last batch
+            if number < upto or number == upto and name != "groups":
+                folders.remove(spark, path)
+    for number, path in batches.items():
+        if number < upto:
+            folders.remove(spark, path)
 
 
 def start(
@@ -185,16 +217,17 @@ def start(
     every: str = "60 seconds",
     available_now: bool = False,
     checkpoint: str | None = None,
+    compact_every: int | None = 100,
 ) -> StreamingQuery:
-    """Start the job on a stream with a ``value`` column (and, from Kafka, partition and offset).
+    """Start the job on a stream with a ``value`` column (and, from Kafka, topic, partition and offset).
 
     ``compat`` reports only the smallest group of a batch, and only if the batch holds several.
     ``available_now`` handles what is there and ends, instead of a batch ``every`` interval.
+    ``compact_every`` so many batches the tables are merged.
     """
     tables = Tables(root)
-    _prepare(messages.sparkSession, tables)
     handle: Callable[[DataFrame, int], None] = lambda batch, batch_id: process_batch(
-        batch, batch_id, root, rule, metadata, compat
+        batch, batch_id, root, rule, metadata, compat, compact_every
     )
     writer = messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint or tables.checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": every}

@@ -44,11 +44,10 @@ def brute_stages(rows, rule):
 RULES = [
     Rule(r_on=1, r_off=0.5),
     Rule(r_on=0.4, r_off=0.4),
-    Rule(r_on=0.4, r_off=0.4, hot_rows=2),
     Rule(r_on=2, r_off=0.3, abs_drift=True, snr_on=10, snr_off=50),
     Rule(on_orders=(2,), off_orders=(3,), r_off=0.4, r_on=0.4),
     Rule(on_orders=(1, 3), off_orders=(), r_on=0.4, r_off=0.4),
-    Rule(on_orders=(5, 1, 3), off_orders=(6, 2), r_on=0.5, r_off=0.2, hot_rows=1),
+    Rule(on_orders=(5, 1, 3), off_orders=(6, 2), r_on=0.5, r_off=0.2),
 ]
 
 
@@ -92,6 +91,21 @@ def test_groups_without_hits_are_reported(spark):
     assert funnel.count() == 2 * 5 and funnel.agg(F.sum("n_hits")).first()[0] == 0
 
 
+def test_a_group_has_one_row_of_metadata(spark):
+    hits = spark.createDataFrame([(8, 1, 1.0, 90.0, 0.5, 1.0)], HITS)
+    metadata = spark.createDataFrame([(8, "Vega"), (8, "Altair"), (8, None)], "observationgroup int, source string")
+    assert [r["source"] for r in detect.group_results(hits, Rule(), metadata).collect()] == ["Vega"]
+
+
+def test_a_hit_of_any_size_spoils_nothing(spark):
+    rows = [(1, o, f, 90.0, 0.5, f) for o in (1, 3, 5) for f in (1.0, 1e300, -1e300, 1e15 + o)] + [(1, 2, 1e300, 90.0, 0.5, 0.0)]
+    hits = spark.createDataFrame(rows, HITS)
+    rule = Rule(r_on=10, r_off=10)
+    expected = brute_stages(rows, rule)[1][-1][1]
+    assert {tuple(r) for r in detect.detect_anomalies(hits, rule).collect()} == expected
+    assert {r[2] for r in expected} == {1.0, 1e15 + 1}
+
+
 def test_nulls_neither_fail_nor_match(spark):
     rows = [(None, 1, 1.0, 90.0, 0.5, 1.0), (1, 1, None, 90.0, 0.5, 1.0), (1, 1, float("nan"), 90.0, 0.5, 1.0),
             (1, 1, 1.0, 90.0, 0.5, 1.0), (1, 3, 1.0, 90.0, 0.5, 1.0), (1, 5, 1.0, 90.0, 0.5, 1.0), (1, 2, None, 90.0, 0.5, 1.0)]

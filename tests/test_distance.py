@@ -2,13 +2,12 @@ import math
 import random
 
 import pytest
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from nearfield.operators import (
     distance_pairs,
-    fit_lsh,
     lsh_semi_join,
+    projections,
     scaled_features,
     with_hashes,
     with_vector,
@@ -48,7 +47,7 @@ def test_hot_spot(spark):
     left, right = points(3, 150, (0.1, 1.0, 0.1)), points(4, 150, (0.1, 1.0, 0.1))
     lhs, rhs = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
     expected = near_pairs(left, right, 0.02, by=False)
-    found = distance_pairs(lhs, rhs, WEIGHTS, 0.02, hot_rows=5, pair_side=4)
+    found = distance_pairs(lhs, rhs, WEIGHTS, 0.02, pair_side=4)
     assert sorted((r["id_left"], r["id_right"]) for r in found.collect()) == expected
     assert len(expected) > 400
 
@@ -89,9 +88,23 @@ def test_distance_expressions(spark):
 def test_features(spark):
     hits = spark.createDataFrame([(5000.0, 50.0, 0.5)], "frequency double, snr double, driftrate double")
     made = with_vector(scaled_features(hits), ["n" + n for n in HIT_WEIGHTS])
-    assert made.first()["features"] == Vectors.dense([0.5, 0.5, 0.5])
-    model = fit_lsh(made, bucket_length=0.1, tables=4)
-    assert len(with_hashes(model, made).first()["hashes"]) == 4
+    assert list(made.first()["features"]) == [0.5, 0.5, 0.5]
+    hashes = with_hashes(hits, HIT_WEIGHTS, 0.1, 4).first()["hashes"]
+    assert hashes == [math.floor(sum(0.5 * x for x in v) / 0.1) for v in projections(3)]
+    lengths = [math.dist(v, [0] * 64) for v in projections(64, 5)]
+    assert all(abs(n - 1) < 1e-12 for n in lengths) and projections(64, 5) == projections(64, 5)
+
+
+def test_far_points(spark):
+    """Coordinates whose neighbours are further apart than the radius, on any axis."""
+    rng = random.Random(5)
+    sizes = [0.0, 1.0, 1e15, 3e16, -1e300, 1e300]
+    left = [(i, 0, rng.choice(sizes), rng.choice(sizes), rng.choice(sizes)) for i in range(60)]
+    right = [(i, 0, *[math.nextafter(c, rng.choice((-1, 1)) * math.inf) if rng.random() < 0.3 else c for c in p[2:]]) for i, p in enumerate(left)]
+    lhs, rhs = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
+    for t in (0.5, 3.0):
+        found = distance_pairs(lhs, rhs, WEIGHTS, t)
+        assert sorted((r["id_left"], r["id_right"]) for r in found.collect()) == near_pairs(left, right, t, by=False)
 
 
 def lsh_setup(spark, seed=9, n=400):
@@ -115,16 +128,34 @@ def test_lsh_precision_and_recall(spark):
     assert len(found) >= 0.99 * len(exact) and len(exact) > 200
 
 
-def test_lsh_agrees_with_the_library_join(spark):
+def by_definition(left, right, t, bucket, tables, dimensions):
+    def hashes(p):
+        return [math.floor(sum(c * x for c, x in zip(p, v)) / bucket) for v in projections(dimensions, tables)]
+
+    near = lambda a, b: math.dist(a, b) < t and any(x == y for x, y in zip(hashes(a), hashes(b)))
+    return sorted(i for i, a in left if any(near(a, b) for _, b in right))
+
+
+def test_lsh_is_a_shared_bucket_and_a_distance(spark):
     left, right, lhs, rhs, weights = lsh_setup(spark)
-    t, bucket = 0.01, 0.02
-    a, b = (with_vector(df, list(weights)) for df in (lhs, rhs))
-    model = fit_lsh(a, bucket, 2)
-    library = model.approxSimilarityJoin(a, b, t).select(F.col("datasetA.id").alias("id")).distinct()
-    expected = sorted(r["id"] for r in library.collect())
-    for options in ({}, {"hot_rows": 3, "pair_side": 2}):
-        ours = lsh_semi_join(lhs, rhs, weights, t, bucket_length=bucket, tables=2, **options)
-        assert sorted(r["id"] for r in ours.collect()) == expected
+    t, bucket = 0.01, 0.004
+    expected = by_definition([(a[0], a[2:]) for a in left], [(b[0], b[2:]) for b in right], t, bucket, 2, 3)
+    ours = lsh_semi_join(lhs, rhs, weights, t, bucket_length=bucket, tables=2)
+    assert sorted(r["id"] for r in ours.collect()) == expected
+    exact = lsh_semi_join(lhs, rhs, weights, t, bucket_length=100.0, tables=2).count()
+    assert 50 < len(expected) < exact
+
+
+def test_lsh_on_arrays(spark):
+    rng = random.Random(3)
+    left = [(i, [rng.gauss(0, 1) for _ in range(12)]) for i in range(120)]
+    right = [(i, [c + rng.gauss(0, 0.02) for c in p]) for i, p in left[::2]] + [(500, [1e300] * 12)]
+    lhs, rhs = (spark.createDataFrame(rows, "id int, p array<double>") for rows in (left, right))
+    found = lsh_semi_join(lhs, rhs, "p", 0.1, bucket_length=0.3, tables=3, dimensions=12)
+    expected = by_definition(left, right[:-1], 0.1, 0.3, 3, 12)
+    assert sorted(r["id"] for r in found.collect()) == expected and len(expected) > 40
+    with pytest.raises(ValueError, match="dimensions"):
+        lsh_semi_join(lhs, rhs, "p", 0.1)
 
 
 def test_refused_arguments(spark):

@@ -22,12 +22,16 @@ def test_flagship(spark):
     assert entry.entry(spark).count() == 8
 
 
+def own(names):
+    return {n for n in names if not (n == "pipeline" or n.startswith("op") and n[2].isdigit())}
+
+
 def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"distance_semi_lsh", "lsh_hashes"}
+    assert own(entry.queries()) == own(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(own(entry.oracle_sql())))
 def test_query_equals_sql(spark, oracle, testdata, name):
     df = entry.queries()[name](spark, testdata)
     columns = sorted(df.columns)
@@ -38,12 +42,30 @@ def test_query_equals_sql(spark, oracle, testdata, name):
     assert sorted((plain(r) for r in df.select(*columns).collect()), key=str) == expected
 
 
+def test_results_are_not_empty(spark, testdata):
+    for name in ("detect_anomalies", "detect_two_radii", "range_pairs", "range_semi_large", "range_pairs_large", "distance_semi_lsh", "anomaly_feed"):
+        assert entry.queries()[name](spark, testdata).limit(1).count() == 1, name
+
+
+def test_ordered_queries_are_in_order(spark, testdata):
+    ids = [r[0] for r in entry.batch_groups(spark, testdata).collect()]
+    assert ids == sorted(ids) and len(ids) > 1
+    shown = [(-r["snr"], -r["driftrate"]) for r in entry.stored_observation(spark, testdata).collect()]
+    assert shown == sorted(shown) and len(shown) > 1
+
+
+def test_lookups_scan_the_group_table(spark, testdata):
+    for name in ("group_lookup", "groups_by_source", "anomalous_groups", "anomaly_feed", "page_group"):
+        plan = entry.queries()[name](spark, testdata)._jdf.queryExecution().executedPlan().toString()
+        assert "lineitem" not in plan and "Join" not in plan, name
+    plan = entry.group_lookup(spark, testdata)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == plan.count("EqualTo(observationgroup,3)") == 1
+
+
 def test_lsh_finds_nearly_all_exact_matches(spark, testdata):
     found = entry.distance_semi_lsh(spark, testdata)
     exact = entry.distance_pairs_exact(spark, testdata)
     keys = ["observationgroup", "frequency", "snr", "driftrate"]
     exact = exact.select("observationgroup", *[exact[f"{k}_1"].alias(k) for k in keys[1:]]).distinct()
-    missed = exact.join(found, keys, "left_anti").count()
     assert found.join(exact, keys, "left_anti").count() == 0
-    assert missed <= 0.01 * exact.count()
-    assert entry.lsh_hashes(spark, testdata).where("n_tables <> 4").count() == 0
+    assert exact.join(found, keys, "left_anti").count() <= 0.01 * exact.count()

@@ -4,15 +4,24 @@ import pytest
 from pyspark.sql import functions as F
 
 from nearfield.operators import distance_pairs, lsh_semi_join, range_anti_join, range_pairs, range_semi_join
+from nearfield.schema import HITS
 from nearfield.plans.detect import Rule, detect_anomalies, detection_funnel
-from nearfield.sources.synth import doubling_sizes, synthetic_hits
 from nearfield.sources.tables import append_hits, read_hits
 
 
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("plans") / "hits")
-    append_hits(synthetic_hits(doubling_sizes(spark, sizes=3)), path)
+    part = lambda k, n: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(n))
+    made = spark.range(4200).select(
+        (100 + part(1, 3)).cast("int").alias("observationgroup"),
+        (1 + part(2, 6)).cast("int").alias("observationorder"),
+        (part(3, 100_000) / 10).alias("frequency"),
+        (part(4, 1000) / 10).alias("snr"),
+        (part(5, 1000) / 1000).alias("driftrate"),
+        F.lit(0.0).alias("uncorrectedfrequency"),
+    )
+    append_hits(made, path)
     return read_hits(spark, path)
 
 
@@ -51,32 +60,84 @@ def test_no_nested_loops(spark, stored, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
 
 
-def test_detection_of_one_group_reads_one_folder(stored):
+def test_thresholds_and_groups_reach_the_scan(stored):
     df = detect_anomalies(stored.where("observationgroup = 101"), Rule(r_on=10, r_off=10))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
-    assert filters and all("observationgroup" in f and "101" in f for f in filters)
-    assert "GreaterThan(snr,20.0)" in plan and "GreaterThan(driftrate,1.0E-4)" in plan
+    scans = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
+    assert scans and all("EqualTo(observationgroup,101)" in f for f in scans)
+    assert all("GreaterThan(snr,20.0)" in f and "GreaterThan(driftrate,1.0E-4)" in f for f in scans)
 
 
-def test_detection_reads_no_unused_columns(spark, stored):
-    df = detect_anomalies(stored, Rule(r_on=10, r_off=10))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    schemas = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan))
-    # The other observations are read without the payload column.
+@pytest.fixture(scope="module")
+def flat(spark, tmp_path_factory):
+    """The same hits as plain files, so that scans are counted without those of a versioned table."""
+    path = str(tmp_path_factory.mktemp("plans") / "flat")
+    part = lambda k, n: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(n))
+    columns = [(100 + part(1, 3)).cast("int"), (1 + part(2, 6)).cast("int"), part(3, 100_000) / 10, part(4, 1000) / 10, part(5, 1000) / 1000, F.lit(0.0)]
+    spark.range(4200).select(*[c.alias(f.name) for c, f in zip(columns, HITS.fields)]).write.parquet(path)
+    return spark.read.schema(HITS).parquet(path)
+
+
+def stages_run(spark, df):
+    """Stages that ran tasks for the query, of which adaptive execution may have dropped some from the plan."""
+    tracker, group = spark.sparkContext.statusTracker(), f"count-{id(df)}"
+    spark.sparkContext.setJobGroup(group, "")
+    df.collect()
+    ids = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    infos = [tracker.getStageInfo(s) for s in ids]
+    return sum(1 for i in infos if i is not None and i.numCompletedTasks > 0)
+
+
+def initial(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_detection_reads_the_hits_twice_and_runs_few_stages(spark, flat):
+    """Anchors and others. A small summary is broadcast: its own shuffle, and one for the distinct. Else one
+    more for each side of the join."""
+    one = detect_anomalies(flat, Rule(r_on=10, r_off=10))
+    plan = initial(one)
+    assert plan.count("FileScan") == 2 and len(re.findall("Exchange hashpartitioning", plan)) == 2
+    assert stages_run(spark, one) <= 6
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert len(re.findall("Exchange hashpartitioning", initial(detect_anomalies(flat, Rule(r_on=10, r_off=10))))) == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    two = detect_anomalies(flat, Rule(r_on=10, r_off=5))
+    assert initial(two).count("FileScan") == 3
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert any("uncorrectedfrequency" not in s for s in schemas)
 
 
-def test_detection_shuffles_each_side_once(spark, stored):
-    """One shuffle for the anchors and one for the summary of all others; none for the distinct."""
+def test_pair_joins_read_each_side_twice(spark, flat):
+    one, three = observation(flat, 1), observation(flat, 3)
+    for pairs in (range_pairs(one, three, "frequency", 10), distance_pairs(one, three, {"frequency": 1e-4, "snr": 1e-2}, 0.01)):
+        plan = initial(pairs)
+        # each side is counted once, for the plan of either side's rows, and read once
+        scans = set(re.findall(r"FileScan[^\n]*PushedFilters: \[([^\]]*)\]", plan))
+        assert len(scans) <= 4 and "Limit" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_a_hot_cell_is_split_over_tasks(spark, flat):
+    """A third of a million rows in one cell: no task reads more than a part of it."""
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "200k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = detect_anomalies(stored, Rule(r_on=10, r_off=10))
-        plan = executed(df)
+        spread = F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id") / 10)
+        left = spark.range(300_000).select("id", spread.alias("c"), F.sha2(F.col("id").cast("string"), 256).alias("load"))
+        right = spark.range(100_000).select((F.col("id") / 3).alias("c"))
+        found = range_semi_join(left.repartition(4), right, "c", 0.01)
+        expected = left.where("id % 3 = 0 OR id % 10 = 0").count()
+        assert 0 < found.count() <= expected
+        plan = executed(found)
+        assert "skew=true" in plan
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    assert plan.count("SortMergeJoin") == 1
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        for key in ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
 
 
 def test_the_summary_is_one_row_per_cell(spark):

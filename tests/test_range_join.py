@@ -33,11 +33,9 @@ def check(spark, left, right, r, closed="right", dtype="double", **options):
     lhs, rhs = frame(spark, left, dtype), frame(spark, right, dtype)
     semi = [i for i, c in enumerate(left) if any(matches(c, d, r, closed) for d in right)]
     anti = [i for i in range(len(left)) if i not in set(semi)]
-    assert ids(range_semi_join(lhs, rhs, "c", r, closed=closed, **options)) == semi
-    assert ids(range_anti_join(lhs, rhs, "c", r, closed=closed, **options)) == anti
+    assert ids(range_semi_join(lhs, rhs, "c", r, closed=closed)) == semi
+    assert ids(range_anti_join(lhs, rhs, "c", r, closed=closed)) == anti
     pairs = sorted((i, j) for i, c in enumerate(left) for j, d in enumerate(right) if matches(c, d, r, closed))
-    if "hot_rows" in options:
-        options["pair_side"] = 2
     found = range_pairs(lhs, rhs, "c", r, closed=closed, **options)
     assert sorted((x["id_left"], x["id_right"]) for x in found.collect()) == pairs
 
@@ -80,13 +78,13 @@ def test_grid_values(spark, r, closed):
     check(spark, left, right, r, closed)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 5])
-def test_hot_cells_are_split_without_change(spark, hot_rows):
-    """A third of both sides in one spot, everything hot."""
+@pytest.mark.parametrize("pair_side", [2, 7])
+def test_crowded_cells_are_split_without_change(spark, pair_side):
+    """A third of both sides in one spot."""
     rng = random.Random(11)
     left = [5.0] * 40 + [rng.uniform(0, 100) for _ in range(80)]
     right = [5.5] * 30 + [rng.uniform(0, 100) for _ in range(60)]
-    check(spark, left, right, 0.7, hot_rows=hot_rows)
+    check(spark, left, right, 0.7, pair_side=pair_side)
 
 
 def test_dense_cells_without_a_match(spark):
@@ -212,9 +210,8 @@ def test_hot_rows_without_keys(spark):
     rows += [("a", math.nan, i) for i in range(20)] + [("a", 1.0, 0), ("a", 5.0, 1)]
     left = spark.createDataFrame(rows, "grp string, c double, tag int")
     right = spark.createDataFrame([("a", 1.0), (None, 1.0), ("a", None)], "grp string, c double")
-    for hot_rows in (2, 1_000_000):
-        assert range_anti_join(left, right, "c", 1, by=["grp"], hot_rows=hot_rows).count() == 50 + 40 + 20 + 1
-        assert range_semi_join(left, right, "c", 1, by=["grp"], hot_rows=hot_rows).count() == 1
+    assert range_anti_join(left, right, "c", 1, by=["grp"]).count() == 50 + 40 + 20 + 1
+    assert range_semi_join(left, right, "c", 1, by=["grp"]).count() == 1
 
 
 def test_both_sides_from_one_table(spark):
@@ -229,8 +226,8 @@ def test_both_sides_from_one_table(spark):
 def test_pairs_keep_copies(spark):
     left = spark.createDataFrame([("a", 1.0)] * 5 + [("b", 2.0)], "id string, c double")
     right = spark.createDataFrame([(1.2,)] * 3, "c double")
-    for hot in ({}, {"hot_rows": 1, "pair_side": 2}):
-        pairs = range_pairs(left, right, "c", 0.5, **hot)
+    for split in ({}, {"pair_side": 2}):
+        pairs = range_pairs(left, right, "c", 0.5, **split)
         assert pairs.count() == 15
         assert {r["id_left"] for r in pairs.collect()} == {"a"}
 
@@ -275,10 +272,49 @@ def test_equal_keys_of_two_types_are_refused(spark):
             join(left, right, "c", 1, by=["grp"])
 
 
-def test_radius_below_precision_is_refused(spark):
-    far = frame(spark, [1e15])
-    with pytest.raises(Exception, match="precision"):
-        range_semi_join(far, far, "c", 1e-6).collect()
+def test_large_keys_match_as_doubles_do(spark):
+    far = [1.0, 5.0, 1e15, 1e15 + 3, 1e15 + 12, -1e15, 3e16, 3e16 + 8, 9e18, math.nextafter(9e18, math.inf), -1e300, 1e300, 1.7e308, 0.0]
+    check(spark, far, far, 10)
+    check(spark, far, far, 10, "both")
+    check(spark, far, far, 1e-6, "left")
+    check(spark, far, far, 1e300)
+
+
+@pytest.mark.parametrize("r", [1.0, 0.3, 7e10])
+def test_around_the_ends_of_equal_cells(spark, r):
+    """Neighbouring doubles around the sizes from which cells are runs of doubles."""
+    keys = []
+    for bits, radii in ((50, 1.5), (47, 4), (46, 6), (52, 1), (53, 1), (54, 1)):
+        edge = 2.0**bits * radii * r
+        for start in (edge, 2.0 ** math.floor(math.log2(edge))):
+            key = start
+            for _ in range(9):
+                keys.append(key)
+                key = math.nextafter(key, -math.inf)
+            keys += [math.nextafter(start, math.inf), start + r, start - r, start + 3 * r, -start]
+    check(spark, keys, keys[::2], r)
+    check(spark, keys, keys[::3], r, "both")
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    left=st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=1, max_size=12),
+    steps=st.lists(st.tuples(st.integers(0, 11), st.integers(-20, 20)), min_size=1, max_size=12),
+    r=st.sampled_from([1e-200, 1e-3, 1.0, 10.0, 1e12]),
+)
+def test_any_finite_values(spark, left, steps, r):
+    right = []
+    for at, n in steps:
+        key = left[at % len(left)]
+        for _ in range(abs(n)):
+            key = math.nextafter(key, math.copysign(math.inf, n))
+        right.append(key)
+    check(spark, left, right, r)
+
+
+def test_tiny_radii_are_refused(spark):
+    with pytest.raises(ValueError, match="at least"):
+        range_semi_join(frame(spark, [1.0]), frame(spark, [1.0]), "c", 1e-290)
 
 
 def test_interval_text():

@@ -1,5 +1,6 @@
 import json
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -8,11 +9,10 @@ from nearfield.functions.records import bad_messages, encode_hits, good_hits, pa
 from nearfield.operators import latest
 from nearfield.plans import lookups
 from nearfield.schema import GROUPS, HIT_KEY, HITS
-from nearfield.sources import synth
-from nearfield.sources.tables import append_groups, append_hits, from_rows, read_groups, read_hits
+from nearfield.sources.tables import append_groups, append_hits, compact_hits, from_rows, read_groups, read_hits
 
-HIT = (2, 1, 2.0, 30.0, 0.5, 2.0)
-GROUP = (2, 1, "Alpha centauri", 740.0, "2.2", "3.2", *[f"file2-{i}" for i in range(1, 7)])
+HIT = (2, 1, 77.25, 31.5, 0.125, 77.5)
+GROUP = (2, 1, "Canopus", 811.5, "6.4", "-52.7", *[f"scan-{i}.dat" for i in range(1, 7)])
 
 
 def some_hits(spark, n=200, seed=1):
@@ -32,7 +32,7 @@ def rows(df):
 
 def test_round_trip_of_messages(spark):
     hits = some_hits(spark)
-    sent = encode_hits(hits, F.lit("Sirius"))
+    sent = encode_hits(hits, F.lit("Vega"))
     assert sent.columns == ["key", "value"]
     parsed = parse_hits(sent)
     assert rows(good_hits(parsed)) == rows(hits)
@@ -71,26 +71,50 @@ def test_hit_table(spark, tmp_path):
     assert rows(read_hits(spark, path)) == sorted([*rows(hits), HIT])
     one = lookups.hits_of_observation(read_hits(spark, path), 2, 1)
     plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(observationgroup" in plan
-    assert "PushedFilters: [IsNotNull(observationorder), EqualTo(observationorder,1)]" in plan
+    assert "EqualTo(observationgroup,2)" in plan and "EqualTo(observationorder,1)" in plan
+    assert rows(read_hits(spark, path, [2, 3])) == [r for r in rows(read_hits(spark, path)) if r[0] in (2, 3)]
+    plan = read_hits(spark, path, [2])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
+
+
+def test_later_versions_replace_earlier_ones(spark, tmp_path):
+    path, groups = str(tmp_path / "hits"), str(tmp_path / "groups")
+    append_hits(from_rows(spark, [(*HIT[:5], 1.0), (3, *HIT[1:])]), path)
+    append_hits(from_rows(spark, [(*HIT[:5], 2.0)]), path)
+    append_hits(from_rows(spark, [(*HIT[:5], 3.0)]), path, version=5)
+    assert rows(read_hits(spark, path)) == [(*HIT[:5], 2.0), (3, *HIT[1:])]
+    compact_hits(spark, path)
+    assert rows(read_hits(spark, path)) == [(*HIT[:5], 2.0), (3, *HIT[1:])]
+    assert spark.read.parquet(path).count() == 2
+    append_hits(from_rows(spark, [(*HIT[:5], 4.0)]), path)
+    assert rows(read_hits(spark, path))[0] == (*HIT[:5], 4.0)
+    append_groups(from_rows(spark, [GROUP], GROUPS), groups)
+    append_groups(from_rows(spark, [(2, 9, *GROUP[2:])], GROUPS), groups)
+    assert rows(read_groups(spark, groups)) == [(2, 9, *GROUP[2:])]
+
+
+def test_strongest_hits_come_first(spark, tmp_path):
+    path = str(tmp_path / "hits")
+    append_hits(some_hits(spark).unionByName(from_rows(spark, [HIT])), path)
+    one = lookups.hits_of_observation(read_hits(spark, path), 2, 1)
     shown = [(r["snr"], r["driftrate"]) for r in one.collect()]
-    assert shown == sorted(shown, reverse=True) and (30.0, 0.5) in shown
+    assert shown == sorted(shown, reverse=True) and (31.5, 0.125) in shown
 
 
 def test_files_are_in_read_order(spark, tmp_path):
     path = str(tmp_path / "hits")
     append_hits(some_hits(spark), path)
     for file in (tmp_path / "hits").rglob("*.parquet"):
-        stored = [(r["observationorder"], -r["snr"], -r["driftrate"]) for r in spark.read.parquet(str(file)).collect()]
+        stored = [(r["observationgroup"], r["observationorder"], -r["snr"], -r["driftrate"]) for r in spark.read.parquet(str(file)).collect()]
         assert stored == sorted(stored)
 
 
 def test_group_table_and_lookups(spark, tmp_path):
     path = str(tmp_path / "groups")
-    append_groups(from_rows(spark, [GROUP, (3, 0, "Sirius", *GROUP[3:]), (4, 5, "Sirius", *GROUP[3:])], GROUPS), path)
+    append_groups(from_rows(spark, [GROUP, (3, 0, "Vega", *GROUP[3:]), (4, 5, "Vega", *GROUP[3:])], GROUPS), path)
     groups = read_groups(spark, path)
     assert rows(lookups.group_lookup(groups, 2)) == [GROUP]
-    assert [r[0] for r in rows(lookups.groups_by_source(groups, "Sirius"))] == [3, 4]
+    assert [r[0] for r in rows(lookups.groups_by_source(groups, "Vega"))] == [3, 4]
     short = lookups.anomalous_groups(groups)
     assert short.columns == ["observationgroup", "grouphit", "source", "mjd", "ra", "dec"]
     assert [r[0] for r in rows(short)] == [2, 4]
@@ -101,11 +125,11 @@ def test_group_table_and_lookups(spark, tmp_path):
 
 def test_page_queries(spark):
     hits, groups = from_rows(spark, [HIT]), from_rows(spark, [GROUP], GROUPS)
-    assert lookups.answer("1", hits, groups, 2).first()["filename6"] == "file2-6"
+    assert lookups.answer("1", hits, groups, 2).first()["filename6"] == "scan-6.dat"
     shown = lookups.answer("2", hits, groups, 2, 1)
     assert shown.columns == ["observationgroup", "observationorder", "frequency", "SNR", "driftrate", "uncorrectedfrequency"]
     assert tuple(shown.first()) == HIT
-    assert hit_records(hits).first()["SNR"] == 30.0
+    assert hit_records(hits).first()["SNR"] == 31.5
 
 
 def test_json_names(spark):
@@ -113,10 +137,10 @@ def test_json_names(spark):
     assert json.loads(text) == {
         "observation group": 2,
         "observation number": 1,
-        "frequency": 2.0,
-        "SNR": 30.0,
-        "driftrate": 0.5,
-        "uncorrected frequency": 2.0,
+        "frequency": 77.25,
+        "SNR": 31.5,
+        "driftrate": 0.125,
+        "uncorrected frequency": 77.5,
     }
 
 
@@ -138,34 +162,3 @@ def test_filters_on_the_key_go_below_the_upsert(spark, tmp_path):
     plan = newest._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(snr,50.0)" in plan and "EqualTo(observationorder,1)" in plan
     assert "Window" not in plan
-
-
-def test_synthetic_observation(spark):
-    made = synth.synthetic_observation(spark, 1000, 7, 3)
-    assert made.columns == [f.name for f in HITS.fields]
-    stats = made.agg(
-        F.count("*"), F.min("frequency"), F.max("frequency"), F.max("snr"), F.max("driftrate"),
-        F.max(F.abs(F.col("uncorrectedfrequency") - F.col("frequency"))),
-    ).first()
-    assert stats[0] == 1000 and 0 <= stats[1] and 9000 < stats[2] < 10000
-    assert 90 < stats[3] < 100 and 0.9 < stats[4] < 1 and stats[5] < 1
-    assert rows(made) == rows(synth.synthetic_observation(spark, 1000, 7, 3))
-
-
-def test_synthetic_family(spark):
-    sizes = synth.doubling_sizes(spark, sizes=3, orders=2)
-    assert rows(sizes) == sorted((100 + b, o, 100 * 2**b) for b in range(3) for o in (1, 2))
-    made = synth.synthetic_hits(sizes)
-    counts = made.groupBy("observationgroup", "observationorder").count()
-    assert rows(counts) == rows(sizes)
-    assert rows(made) == rows(synth.synthetic_hits(sizes.coalesce(1)))
-    # Groups share their seeds: the smaller group is the beginning of the larger one.
-    of = lambda g: {r[2:] for r in rows(made.where(f"observationgroup = {g} and observationorder = 1"))}
-    assert of(100) < of(101) and len(of(101)) == 200
-    assert synth.doubling_sizes(spark).agg(F.max("rows")).first()[0] == 1_638_400
-
-
-def test_large_observations_are_generated_in_chunks(spark):
-    sizes = spark.createDataFrame([(1, 1, 250_001)], "observationgroup int, observationorder int, rows long")
-    made = synth.synthetic_hits(sizes)
-    assert made.count() == 250_001 and made.select("frequency").distinct().count() == 250_001

@@ -30,12 +30,11 @@ def counts(df):
 
 
 def reported(spark, root, batch_id):
-    rows = spark.read.schema(job.STORED_GROUPS).parquet(job.Tables(root).groups).where(F.col("batch_id") == batch_id)
+    rows = job._read(spark, root, "groups", job.STORED_GROUPS).where(F.col("batch_id") == batch_id)
     return sorted(r["observationgroup"] for r in rows.collect())
 
 
 def play(spark, root, batches, **options):
-    job._prepare(spark, job.Tables(root))
     for i, rows in enumerate(batches):
         job.process_batch(batch_of(spark, rows), i, root, RULE, **options)
     return [reported(spark, root, i) for i in range(len(batches))]
@@ -67,11 +66,68 @@ def test_groups_close_when_a_higher_one_appears(spark, tmp_path):
     before = sorted(map(tuple, job.read_stored_hits(spark, root).collect()))
     job.process_batch(batch_of(spark, batches[3]), 3, root, RULE)
     assert sorted(map(tuple, job.read_stored_hits(spark, root).collect())) == before
-    assert reported(spark, root, 3) == [1]
-    job.flush(spark, root, RULE)
+    assert reported(spark, root, 3) == [1, 4]
     assert counts(job.read_results(spark, root)) == results
 
 
+def test_a_flush_replaces_the_report_of_the_one_before(spark, tmp_path):
+    root = str(tmp_path / "t")
+    play(spark, root, [[(1, o, 5.0, 90.0, 0.5, 5.0) for o in (1, 3, 5)]])
+    for snr, found in ((25, 1), (1e6, 0), (25, 1)):
+        job.flush(spark, root, Rule(r_on=0.7, r_off=0.7, snr_on=snr))
+        assert counts(job.read_results(spark, root)) == {1: found}
+
+
+def test_compaction_changes_nothing_but_the_folders(spark, tmp_path):
+    root, batches = str(tmp_path / "t"), batches_in_order()
+    play(spark, root, batches[:3])
+    job.process_batch(spark.createDataFrame([("nonsense",)], "value string"), 3, root, RULE)
+    job.flush(spark, root, RULE)
+    read = lambda: [sorted(map(tuple, f(spark, root).collect()), key=repr) for f in (job.read_stored_hits, job.read_results, job.read_rejects)]
+    before = read()
+    job.compact(spark, root)
+    assert read() == before
+    assert len(list((tmp_path / "t/hits").glob("batch_id=*"))) == 0 and len(list((tmp_path / "t/progress").glob("batch_id=*"))) == 1
+    job.compact(spark, root)
+    job.process_batch(batch_of(spark, batches[3]), 4, root, RULE, compact_every=5)
+    assert len(list((tmp_path / "t/hits_compacted").glob("upto=*"))) == 1
+    job.flush(spark, root, RULE)
+    everything = spark.createDataFrame([r for b in batches for r in b], HITS)
+    assert counts(job.read_results(spark, root)) == counts(group_results(everything, RULE))
+
+
+def test_a_message_of_any_size_stops_nothing(spark, tmp_path):
+    root = str(tmp_path / "t")
+    hit = (1, 1, 5.0, 90.0, 0.5, 5.0)
+    rows = [(1, o, f, 90.0, 0.5, f) for o in (1, 3, 5) for f in (5.0, 1e300)]
+    job.process_batch(batch_of(spark, rows), 0, root, RULE)
+    endless = spark.createDataFrame([("s;1;1;NaN;90;0.5;1",), ("s;1;1;1.0;Infinity;0.5;1",), ("s;1;1;1.0;9;-Infinity;1",)], "value string")
+    job.process_batch(endless.unionByName(batch_of(spark, [(2, *hit[1:])])), 1, root, RULE)
+    assert counts(job.read_results(spark, root)) == {1: 1}
+    assert [r["reason"] for r in job.read_rejects(spark, root).collect()] == ["not finite"] * 3
+
+
+def test_topics_have_offsets_of_their_own(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = [("b", 0, 1, 6.0), ("a", 0, 9, 7.0), ("b", 0, 0, 8.0)]
+    values = [(f"s;1;1;5.0;90.0;0.5;{u}", t, p, o) for t, p, o, u in rows]
+    job.process_batch(spark.createDataFrame(values, "value string, topic string, partition int, offset long"), 0, root, RULE)
+    assert [r["uncorrectedfrequency"] for r in job.read_stored_hits(spark, root).collect()] == [6.0]
+
+
+def test_closed_groups_are_read_by_their_buckets(spark, tmp_path):
+    """Five thousand groups: only the folders of the closed groups' buckets are listed in the scan."""
+    root = str(tmp_path / "t")
+    rows = [(g, o, 1.0, 90.0, 0.5, 1.0) for g in range(5000) for o in (1, 3)]
+    job.process_batch(batch_of(spark, rows), 0, root, RULE)
+    job.compact(spark, root)
+    assert len(list((tmp_path / "t/hits_compacted/upto=0").glob("bucket=*"))) == 64
+    few = job.read_stored_hits(spark, root, spark.createDataFrame([(7,), (4321,)], "observationgroup int"))
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan
+    assert sorted({r[0] for r in few.collect()}) == [7, 4321]
+
+
 def test_a_batch_that_begins_a_group_closes_the_one_before(spark, tmp_path):
     root = str(tmp_path / "t")
     batches = [random_rows([g], 40, seed=g) for g in (1, 2, 3)]
@@ -88,13 +144,13 @@ def test_repeated_keys_count_once(spark, tmp_path):
     others = [(1, o, 5.0, 90.0, 0.4, 5.0) for o in (3, 5)]
     play(spark, root, [[hit, *others], [(*hit[:5], 6.0), *others], [(2, 1, 1.0, 1.0, 1.0, 1.0)]])
     assert counts(job.read_results(spark, root)) == {1: 1}
-    stored = job.read_stored_hits(spark, root, [1]).where("observationorder = 1").collect()
+    one = spark.createDataFrame([(1,)], "observationgroup int")
+    stored = job.read_stored_hits(spark, root, one).where("observationorder = 1").collect()
     assert [r["uncorrectedfrequency"] for r in stored] == [6.0]
 
 
 def test_bad_and_empty_batches(spark, tmp_path):
     root = str(tmp_path / "t")
-    job._prepare(spark, job.Tables(root))
     bad = spark.createDataFrame([("nonsense",), (None,), ("a;b;c;d;e;f;g",)], "value string")
     job.process_batch(bad, 0, root, RULE)
     job.flush(spark, root, RULE)
@@ -109,9 +165,7 @@ def test_bad_and_empty_batches(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("named", [1_000, 1])
-def test_many_closed_groups(spark, tmp_path, monkeypatch, named):
-    monkeypatch.setattr(job, "MAX_NAMED_GROUPS", named)
+def test_many_closed_groups(spark, tmp_path):
     root, rows = str(tmp_path / "t"), random_rows(range(1, 6), 300)
     assert play(spark, root, [rows]) == [[1, 2, 3, 4]]
     expected = counts(group_results(spark.createDataFrame(rows, HITS), RULE))
