@@ -167,15 +167,15 @@ def totals(spark, sf_dir, status: str):
 
 
 def range_semi_large(spark, sf_dir):
-    return range_semi_join(totals(spark, sf_dir, "O"), totals(spark, sf_dir, "F"), "value", 2)
+    return range_semi_join(totals(spark, sf_dir, "O"), totals(spark, sf_dir, "F"), "value", 50)
 
 
 def range_anti_large(spark, sf_dir):
-    return range_anti_join(totals(spark, sf_dir, "O"), totals(spark, sf_dir, "F"), "value", 2)
+    return range_anti_join(totals(spark, sf_dir, "O"), totals(spark, sf_dir, "F"), "value", 50)
 
 
 def range_pairs_large(spark, sf_dir):
-    pairs = range_pairs(totals(spark, sf_dir, "P"), totals(spark, sf_dir, "F"), "value", 2)
+    pairs = range_pairs(totals(spark, sf_dir, "P"), totals(spark, sf_dir, "F"), "value", 50)
     return pairs.select("o_orderkey_left", "o_orderkey_right")
 
 
@@ -506,7 +506,7 @@ _NEWEST_SQL = f"""newest AS (
 
 _LARGE_SQL = """WITH totals AS (SELECT o_orderkey, o_orderstatus,
   floor(o_totalprice) * pow(10::DOUBLE, (o_orderkey % 5 * 3)::DOUBLE) AS value FROM orders)"""
-_LARGE_NEAR = "b.o_orderstatus = 'F' AND b.value > a.value - 2::DOUBLE AND b.value <= a.value + 2::DOUBLE"
+_LARGE_NEAR = "b.o_orderstatus = 'F' AND b.value > a.value - 50::DOUBLE AND b.value <= a.value + 50::DOUBLE"
 
 
 def _bucket_sql(alias: str, vector: list[float], names: list[str], length: float) -> str:
