@@ -25,8 +25,8 @@ from nearfield.scratch import stored
 SLOTS, PICKS, KMER = 128, 2, 6
 _ARC = np.uint64(64 - int(SLOTS).bit_length() + 1)
 _STARTS = np.arange(SLOTS, dtype=np.uint64) << _ARC
-#: Documents that one task sorts and compares, about.
-ROWS_PER_PART = 4000
+#: Documents of a part of the order, about, and parts at most: the driver holds the first key of each.
+ROWS_PER_PART, MAX_PARTS = 4000, 20_000
 
 
 def fingerprint(text: str) -> np.ndarray:
@@ -104,7 +104,7 @@ def with_neighbours(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     keyed = rows.withColumn("tie", F.xxhash64("text"))
     keys = keyed.select("id", "tie")
     n = keys.count()
-    parts = max(1, round(n / ROWS_PER_PART))
+    parts = min(MAX_PARTS, max(1, round(n / ROWS_PER_PART)))
     ranged = stored(keys.repartitionByRange(parts, *order).withColumn("range", F.spark_partition_id()), "order")
     # one row for each part: its first key, which the part before needs as well
     firsts = (
