@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     s = session(
         "tests",
         "local[4]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
         spark__sql__maxMetadataStringLength="100000",

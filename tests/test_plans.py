@@ -135,7 +135,7 @@ def test_a_hot_cell_is_split_over_tasks(spark, flat):
         plan = executed(found)
         assert "skew=true" in plan
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
         for key in ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.autoBroadcastJoinThreshold"):
             spark.conf.unset(key)
 
