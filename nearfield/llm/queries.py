@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nearfield.llm import decontam, fingerprint, langid, linededup, minhash, packing, pii, quality, warc, wrapper
+from nearfield.llm import (
+    decontam,
+    fingerprint,
+    langid,
+    linededup,
+    minhash,
+    negatives,
+    packing,
+    pii,
+    quality,
+    warc,
+    wrapper,
+)
 from nearfield.llm.common import table
 
 
@@ -51,6 +63,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_near_duplicates": op2_near_duplicates,
@@ -62,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_quality": op9_quality,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # Base 32 of a SHA-1: five hexadecimal digits make four letters.
@@ -77,4 +94,23 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id IS NOT DISTINCT FROM holder THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id IS DISTINCT FROM holder THEN holder END AS refers_to
         FROM p""",
+    "op13_hard_negatives": """WITH e AS MATERIALIZED (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS MATERIALIZED (
+          SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                 CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+          FROM e a JOIN e r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+        positive AS (
+          SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positive JOIN scored USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY rank <= 5""",
 }
