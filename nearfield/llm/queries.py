@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from nearfield.llm import (
+    alignment,
     decontam,
     fingerprint,
     langid,
@@ -63,6 +64,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mined_embeddings(table(spark, sf_dir, "embeddings"))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_quality": op9_quality,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_token_alignment": op12_token_alignment,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
