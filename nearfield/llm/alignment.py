@@ -274,7 +274,7 @@ def aligned(
     counts = pairs.groupBy("a", "b").agg(F.sum(F.col("n").cast("bigint")).alias("count"))
     highest = counts.groupBy("b").agg(F.max("count").alias("highest"))
     known = counts.join(highest, "b").select("a", "b", "count", (F.col("count") == F.col("highest")).alias("best"))
-    figures = skewed_join(pairs.select("block", "slot", "a", "b"), known, ["a", "b"]).select("block", "slot", "count", "best")
+    figures = skewed_join(pairs.drop("n"), known, ["a", "b"]).select(F.col("block").alias("of"), "slot", "count", "best")
     texts = rows.where("a IS NULL").drop("a", "b", "n")
     schema = T.StructType(
         [T.StructField(id, docs.schema[id].dataType)]
@@ -294,4 +294,4 @@ def aligned(
         columns = [texts["id"], *[texts[c] for c in _COUNTS], pa.array(n_best), pa.array(count_sum), texts["groups_sha256"]]
         return pa.table(columns, names=schema.names)
 
-    return texts.groupBy("block").cogroup(figures.groupBy("block")).applyInArrow(summed, schema)
+    return texts.groupBy("block").cogroup(figures.groupBy("of")).applyInArrow(summed, schema)
