@@ -14,6 +14,7 @@ from nearfield.llm import (
     linededup,
     minhash,
     negatives,
+    ngramjoin,
     packing,
     pii,
     quality,
@@ -64,6 +65,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.joined_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_quality": op9_quality,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_ngram_join": op11_ngram_join,
     "op12_token_alignment": op12_token_alignment,
     "op13_hard_negatives": op13_hard_negatives,
 }
@@ -100,6 +106,24 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id IS NOT DISTINCT FROM holder THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id IS DISTINCT FROM holder THEN holder END AS refers_to
         FROM p""",
+    "op11_ngram_join": r"""WITH RECURSIVE words AS MATERIALIZED (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS MATERIALIZED (
+          SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                 ELSE list_transform(range(1, len(w) - 2), lambda k: array_to_string(w[k:k + 3], ' ')) END) AS s
+          FROM words),
+        same AS MATERIALIZED (SELECT list_sort(s) AS s, min(doc_id) AS node, len(s) AS n FROM sets GROUP BY ALL),
+        items AS MATERIALIZED (SELECT node, n, hash(unnest(s)) AS h FROM same),
+        links AS MATERIALIZED (
+          SELECT a.node AS a, b.node AS b FROM items a JOIN items b ON a.h = b.h AND a.node <> b.node
+            AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+          GROUP BY a.node, a.n, b.node, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reached AS (SELECT node AS a, node AS b FROM same UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+        roots AS (SELECT a AS node, min(b) AS root FROM reached GROUP BY a)
+        SELECT doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
+               CASE WHEN len(s.s) = 0 THEN doc_id ELSE root END AS component_id
+        FROM sets s JOIN same ON same.s = list_sort(s.s) LEFT JOIN roots USING (node)""",
     "op13_hard_negatives": """WITH e AS MATERIALIZED (
           SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
