@@ -1,0 +1,137 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from llm.conftest import DOCUMENTS, clashing, prose
+from nearfield.llm import ngramjoin
+
+
+def expected(rows, words=4, share=(85, 100)):
+    """(doc_id, n_shingles, component_id) by comparing all pairs of whole word tuples."""
+    sets = []
+    for _, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets.append({tuple(w[k : k + words]) for k in range(len(w) - words + 1)} or ({tuple(w)} if w else set()))
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for k in range(i):
+            shared = len(a & sets[k])
+            if shared and share[1] * shared >= share[0] * (len(a) + len(sets[k]) - shared):
+                parent[root(i)] = root(k)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[root(k)] = min(least.get(root(k), i), i)
+    return sorted(((i, len(s), least.get(root(k))) for k, ((i, _), s) in enumerate(zip(rows, sets))), key=repr)
+
+
+def found(docs, **options):
+    rows = ngramjoin.joined_documents(docs, **options).collect()
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in rows), key=repr)
+
+
+def documents_of(spark, texts):
+    return spark.createDataFrame([(k, t, None, None, None) for k, t in enumerate(texts)], DOCUMENTS)
+
+
+def edited(rng, text, changes):
+    words = text.split()
+    for _ in range(changes):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**9)}"
+    return " ".join(words)
+
+
+def test_equals_brute_force(documents):
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    assert found(documents) == expected(rows)
+
+
+def test_odd_rows(odd, none):
+    rows = [tuple(r) for r in odd.select("doc_id", "text").collect()]
+    assert found(clashing(odd)) == expected(rows)
+    assert found(none) == []
+
+
+def test_sizes_around_the_threshold(spark):
+    rng = random.Random(5)
+    texts = []
+    for k in range(60):
+        base = prose(1000 + k, rng.choice([3, 9, 10, 11, 14, 20, 30, 60, 150, 400]))
+        texts += [base, edited(rng, base, 1), edited(rng, base, max(1, len(base.split()) // 25)), base + " one", base + " one two three"]
+    docs = documents_of(spark, texts)
+    assert found(docs) == expected(list(enumerate(texts)))
+    assert found(docs, words=2, share=(6, 10)) == expected(list(enumerate(texts)), 2, (6, 10))
+
+
+def test_crowd_below_the_threshold(spark, monkeypatch):
+    """Texts around one passage meet in crowded tiles and are apart but for the planted pairs."""
+    monkeypatch.setattr(ngramjoin, "TILE_SETS", 16)
+    rng = random.Random(7)
+    passage = prose(1, 46)
+    texts = [prose(2000 + k, 7) + " " + passage + " " + prose(4000 + k, 7) for k in range(150)]
+    texts += [edited(rng, t, 1) for t in texts[:20]] + [t.rsplit(" ", 1)[0] for t in texts[20:40]]
+    assert found(documents_of(spark, texts)) == expected(list(enumerate(texts)))
+
+
+def test_chains_and_copies(spark):
+    base = prose(3, 120).split()
+    chain = [" ".join(base[k : k + 80]) for k in range(0, 40, 3)]
+    texts = chain + chain[:3] * 20 + [prose(77, 80)]
+    out = found(documents_of(spark, texts))
+    assert out == expected(list(enumerate(texts)))
+    assert {c for i, _, c in out if i < len(chain)} == {0}
+
+
+def test_linked_sets_share_a_tile():
+    rng = np.random.default_rng(1)
+    for size in (6, 7, 8, 10, 13, 17, 18, 25, 30, 45, 100, 400, 2000):
+        for _ in range(200):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            gone, new = rng.integers(0, size // 8 + 2, 2)
+            b = np.unique(np.concatenate([rng.permutation(a)[gone:], rng.integers(0, 2**64, new, dtype=np.uint64)]))
+            if ngramjoin.linked(a, b) and not np.array_equal(a, b):
+                assert len(np.intersect1d(ngramjoin.tile_keys(a), ngramjoin.tile_keys(b)))
+
+
+def test_few_parts_filled_share_a_tile():
+    """Sets whose shingles lie in a corner of the hash range would agree on empty parts only."""
+    a = np.arange(30, dtype=np.uint64)
+    b = np.concatenate([a[:-1], np.array([99], np.uint64)])
+    assert ngramjoin.linked(a, b) and len(np.intersect1d(ngramjoin.tile_keys(a), ngramjoin.tile_keys(b)))
+
+
+def test_bitmaps_rule_out_no_link():
+    rng = np.random.default_rng(2)
+    sets = []
+    for size in (5, 20, 60, 64, 90, 300):
+        for _ in range(6):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            sets += [a, np.append(a[1:], np.uint64(2**64 - 1)), a[: max(1, int(size * 0.86))]]
+    ids = np.arange(len(sets))
+    tile = pa.table(
+        {
+            "sid": ids, "root": ids, "n": [len(s) for s in sets], "block": [0] * len(sets), "i": [0] * len(sets),
+            "j": [0] * len(sets), "bits": [ngramjoin.bitmap_of(s) for s in sets],
+        }
+    )
+    kept = set(zip(*(x.tolist() for x in ngramjoin._tile_pairs(tile, (85, 100))), strict=True))
+    links = {(a, b) for a in ids for b in ids if a < b and ngramjoin.linked(sets[a], sets[b])}
+    assert links and links <= kept
+    assert len(kept) < len(links) + 30
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 300_000])
+def test_words_of_a_text(n):
+    text = prose(9, n)
+    (values,) = ngramjoin.shingle_sets(pa.array([text]))
+    w = text.split()
+    assert len(values) == len({tuple(w[k : k + 4]) for k in range(n - 3)} or ({tuple(w)} if w else ()))
