@@ -12,8 +12,9 @@ the overlap from above, and only pairs that can still reach the threshold have t
 
 Three things keep the work down without losing a link. Equal sets are one set. Keys travel packed, 16 bytes
 each, and only once; those that one set alone has end there. And since components are wanted, each set first
-meets the least set of its tiles; then only tiles whose sets are not all in one component yet are searched
-block by block, and pairs of one component pass.
+meets the least set of its tiles; then tiles whose sets are not all in one component yet are searched block by
+block. In the first rounds such a tile proposes stars only, as many pairs as it has components at most, which
+join most of a crowd; what is still apart then is proposed in full.
 """
 
 from __future__ import annotations
@@ -34,11 +35,13 @@ from nearfield.scratch import stored
 #: Words of a shingle, and the least similarity of linked sets as a fraction.
 WORDS, SHARE = 4, (85, 100)
 #: Bytes of text in a block, keys of one part of the shuffle, sets of a block in a tile.
-TEXT, PART_KEYS, TILE_SETS = 8 << 20, 1 << 20, 4096
+TEXT, PART_KEYS, TILE_SETS = 8 << 20, 1 << 20, 1024
 #: A key that more sets of a block of text have is not left to one task.
 LOCAL = 8
-#: Bits of the shortest and longest bitmaps.
-BITS = (64, 1 << 16)
+#: Bits of a bitmap for each shingle, about, and of the shortest and longest bitmaps.
+DENSITY, BITS = 16, (256, 1 << 18)
+#: Rounds in which a tile proposes stars, before it proposes all pairs, and stars of a tile in a round.
+ROUNDS, STARS = 2, 64
 #: Words compared at once in a tile.
 COMPARED = 1 << 21
 
@@ -143,8 +146,8 @@ def tile_keys(values: np.ndarray, share: tuple[int, int] = SHARE) -> np.ndarray:
 
 
 def bitmap_of(values: np.ndarray) -> bytes:
-    """A bit for every shingle; about three bits a shingle, in a power of two."""
-    width = min(max(BITS[0], 1 << int(3 * len(values) - 1).bit_length()), BITS[1])
+    """A bit for every shingle, in a width that is a power of two."""
+    width = min(max(BITS[0], 1 << (DENSITY * len(values) - 1).bit_length() - 1), BITS[1])
     bits = np.zeros(width, bool)
     bits[(values & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -152,37 +155,61 @@ def bitmap_of(values: np.ndarray) -> bytes:
 
 def _close(
     sizes: tuple[np.ndarray, np.ndarray], bits: tuple[np.ndarray, np.ndarray], share: tuple[int, int]
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of pairs (left, right) that sizes and bitmaps don't rule out."""
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of pairs (left, right) that sizes and bitmaps don't rule out, and the bits that differ."""
     low, high = share
     right = np.argsort(sizes[1], kind="stable")
-    n_right, of_right = sizes[1][right], bits[1][right]
+    n_right, of_right = sizes[1][right], np.ascontiguousarray(bits[1][right].T)
     left = np.argsort(sizes[0], kind="stable")
     words = bits[0].shape[1]
-    step = 256
-    for at in range(0, len(left), step):
-        some = left[at : at + step]
+    for at in range(0, len(left), 256):
+        some = left[at : at + 256]
         n = sizes[0][some]
         lo = int(np.searchsorted(n_right * high, n[0] * low))
         hi = int(np.searchsorted(n_right * low, n[-1] * high, side="right"))
-        run = max(1, COMPARED // (words * len(some)))
+        run = max(1, COMPARED // len(some))
         for first in range(lo, hi, run):
             part = slice(first, min(first + run, hi))
-            differ = np.zeros((len(some), part.stop - part.start), np.int64)
+            differ = np.zeros((len(some), part.stop - part.start), np.int32)
             for w in range(words):
-                differ += np.bitwise_count(bits[0][some, w][:, None] ^ of_right[part, w][None, :])
+                differ += np.bitwise_count(bits[0][some, w][:, None] ^ of_right[w, part][None, :])
             both = n[:, None] + n_right[part][None, :]
-            a, b = np.nonzero((high - low) * both >= (high + low) * differ)
-            yield some[a], right[part][b]
-
-
-def _tile_pairs(tile: pa.Table, share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(a, b): ids of sets in different components that may be linked, of one tile's two blocks."""
+            a, b = np.nonzero((high - low) * both >= (high + low) * differ.astype(np.int64))
+            yield some[a], right[part][b], differ[a, b]
+
+
+def _stars(a: np.ndarray, b: np.ndarray, roots: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """Places in a list of pairs that make up stars: from the component with most pairs to all components it
+    has pairs with, one pair each, then from the next one to those that are left."""
+    ends = np.concatenate([roots[a], roots[b]])
+    names, codes = np.unique(ends, return_inverse=True)
+    at, to = codes[: len(a)], codes[len(a) :]
+    # the most similar pair of two components
+    first = np.lexsort((differ, np.maximum(at, to), np.minimum(at, to)))
+    new = np.ones(len(first), bool)
+    x, y = np.minimum(at, to)[first], np.maximum(at, to)[first]
+    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    edges, x, y = first[new], x[new], y[new]
+    uncovered, taken = np.ones(len(names), bool), []
+    for _ in range(STARS):
+        live = uncovered[x] & uncovered[y]
+        if not live.any():
+            break
+        hub = int(np.argmax(np.bincount(np.concatenate([x[live], y[live]]), minlength=len(names))))
+        mine = live & ((x == hub) | (y == hub))
+        taken.append(edges[mine])
+        uncovered[x[mine]] = uncovered[y[mine]] = False
+    return np.concatenate(taken) if taken else np.zeros(0, np.int64)
+
+
+def _tile_pairs(tile: pa.Table, share: tuple[int, int], stars: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): ids of sets in different components that may be linked, of one tile's two blocks: all of them, or
+    as many as make stars."""
     ids, roots, n = (tile[c].to_numpy() for c in ("sid", "root", "n"))
     block, ends = tile["block"].to_numpy(), (tile["i"][0].as_py(), tile["j"][0].as_py())
     raw = tile["bits"].to_pylist()
     widths = np.array([len(r) for r in raw])
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, ...]] = []
     for width in np.unique(widths).tolist():
         for other in (width, 2 * width):
             left = np.flatnonzero((widths == width) & (block == ends[0]))
@@ -197,13 +224,17 @@ def _tile_pairs(tile: pa.Table, share: tuple[int, int]) -> tuple[np.ndarray, np.
                 y = np.frombuffer(b"".join(raw[k] for k in large), np.uint64).reshape(len(large), -1)
                 if other != width:  # the longer bitmap's halves laid on each other
                     y = y[:, : x.shape[1]] | y[:, x.shape[1] :]
-                for a, b in _close((n[small], n[large]), (x, y), share):
+                for a, b, differ in _close((n[small], n[large]), (x, y), share):
                     a, b = small[a], large[b]
                     apart = roots[a] != roots[b]
-                    found.append((ids[a[apart]], ids[b[apart]]))
+                    found.append((a[apart], b[apart], differ[apart]))
     if not found:
         return (np.zeros(0, np.int64),) * 2
-    a, b = (np.concatenate(side) for side in zip(*found, strict=True))
+    a, b, differ = (np.concatenate(side) for side in zip(*found, strict=True))
+    if stars and len(a):
+        some = _stars(a, b, roots, differ)
+        a, b = a[some], b[some]
+    a, b = ids[a], ids[b]
     return np.minimum(a, b), np.maximum(a, b)
 
 
@@ -347,19 +378,25 @@ def _confirmed(pairs: DataFrame, arrays: DataFrame, share: tuple[int, int]) -> D
     return both.select("a", "b", "a_hashes", "b_hashes").mapInArrow(run, schema)
 
 
-def _candidates(members: DataFrame, roots: DataFrame, arrays: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(a, b), a < b: pairs of sets of different components that share a tile and that bitmaps don't rule out."""
-    schema = _fields(a=T.LongType(), b=T.LongType())
-    placed = skewed_join(members.select("key", "sid"), roots.select(F.col("node").alias("sid"), "root"), ["sid"], "left")
+def _open_tiles(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, sid, root, sets): the members of tiles whose sets are in several components."""
+    roots = roots.select(F.col("node").alias("sid"), "root")
+    placed = skewed_join(members.select("key", "sid"), roots, ["sid"], "left")
     placed = stored(placed.select("key", "sid", F.coalesce("root", "sid").alias("root")), "members")
     of_tile = [F.count("*").alias("sets"), F.min("root").alias("low"), F.max("root").alias("high")]
     # tiles of the same sets are one
     of_tile += [F.sum(F.xxhash64("sid").cast("decimal(20,0)")).alias("content")]
-    open_tiles = placed.groupBy("key").agg(*of_tile).where("low <> high")
-    open_tiles = open_tiles.groupBy("sets", "low", "high", "content").agg(F.min("key").alias("key"))
-    split = F.ceil(F.col("sets") / F.lit(TILE_SETS))
-    tiles = skewed_join(placed, open_tiles.select("key", split.alias("blocks")), ["key"])
-    with_bits = skewed_join(tiles, arrays.select("sid", "n", "bits"), ["sid"])
+    tiles = placed.groupBy("key").agg(*of_tile).where("low <> high")
+    tiles = tiles.groupBy("sets", "low", "high", "content").agg(F.min("key").alias("key")).select("key", "sets")
+    return stored(skewed_join(placed, tiles, ["key"]).select("key", "sid", "root", "sets"), "open")
+
+
+def _candidates(members: DataFrame, arrays: DataFrame, share: tuple[int, int], stars: bool) -> DataFrame:
+    """(a, b), a < b: pairs of sets of different components that share an open tile and that bitmaps don't rule
+    out; where ``stars``, only as many as make stars inside each tile."""
+    schema = _fields(a=T.LongType(), b=T.LongType())
+    blocks = F.ceil(F.col("sets") / F.lit(TILE_SETS))
+    with_bits = skewed_join(members.withColumn("blocks", blocks), arrays.select("sid", "n", "bits"), ["sid"])
     dealt = with_bits.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     dealt = dealt.select(
@@ -368,7 +405,7 @@ def _candidates(members: DataFrame, roots: DataFrame, arrays: DataFrame, share:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in groups_of(batches, 3):
-            a, b = _tile_pairs(tile, share)
+            a, b = _tile_pairs(tile, share, stars)
             for at in range(0, len(a), 1 << 20):
                 yield pa.RecordBatch.from_arrays([pa.array(x[at : at + (1 << 20)]) for x in (a, b)], names=schema.names)
 
@@ -379,18 +416,25 @@ def _candidates(members: DataFrame, roots: DataFrame, arrays: DataFrame, share:
 def linked_sets(
     docs: DataFrame, sets: DataFrame, id: str, text: str, words: int = WORDS, share: tuple[int, int] = SHARE
 ) -> DataFrame:
-    """(node, root): the sets that are linked to another one, with the least set of their component."""
+    """(node, root): the sets that are linked to another one, with the least set of their component.
+
+    The first links are those to the least set of a set's tiles. Then open tiles propose stars, and last all
+    pairs of different components that are left.
+    """
     members = stored(tile_members(docs, sets, text, words, share), "tiles")
     holders = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min(id).alias("holder"))
     wanted = stored(holders.join(members.select("sid").distinct(), "sid", "left_semi"), "wanted")
     arrays = stored(_arrays(docs, id, text, words, wanted), "sets")
     first = members.groupBy("sid").agg(F.min("lead").alias("b")).where("sid <> b").select(F.col("sid").alias("a"), "b")
-    early = stored(_confirmed(first, arrays, share), "links")
-    roots = components(early)
-    late = stored(_confirmed(_candidates(members, roots, arrays, share), arrays, share), "links")
-    if late.isEmpty():
-        return roots
-    return components(early.unionByName(late))
+    roots = components(_confirmed(first, arrays, share))
+    for round in range(ROUNDS + 1):
+        members = _open_tiles(members, roots)
+        if members.isEmpty():
+            break
+        more = stored(_confirmed(_candidates(members, arrays, share, round < ROUNDS), arrays, share), "links")
+        if not more.isEmpty():
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    return roots
 
 
 def joined_documents(
