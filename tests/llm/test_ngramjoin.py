@@ -123,10 +123,12 @@ def test_bitmaps_rule_out_no_link():
             "j": [0] * len(sets), "bits": [ngramjoin.bitmap_of(s) for s in sets],
         }
     )
-    kept = set(zip(*(x.tolist() for x in ngramjoin._tile_pairs(tile, (85, 100))), strict=True))
+    kept = set(zip(*(x.tolist() for x in ngramjoin._tile_pairs(tile, (85, 100), False)), strict=True))
     links = {(a, b) for a in ids for b in ids if a < b and ngramjoin.linked(sets[a], sets[b])}
     assert links and links <= kept
     assert len(kept) < len(links) + 30
+    stars = set(zip(*(x.tolist() for x in ngramjoin._tile_pairs(tile, (85, 100), True)), strict=True))
+    assert stars <= kept and len(stars) < len(sets) and {a for p in stars for a in p} >= {a for p in links for a in p}
 
 
 @pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 300_000])
