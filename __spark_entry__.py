@@ -24,6 +24,8 @@ from nearfield.operators import (  # noqa: E402
     range_pairs,
     range_semi_join,
     scaled_features,
+    wide_pairs,
+    wide_semi_join,
     with_hashes,
 )
 from nearfield.operators.distance import HIT_WEIGHTS  # noqa: E402
@@ -41,7 +43,9 @@ except ImportError:  # the corpus operators are an addition that can be left out
     llm = corpus_pipeline = None
 
 RADIUS = 100
-DISTANCE, BUCKET_LENGTH, TABLES, EMBEDDING = 0.05, 0.5, 4, 64
+DISTANCE, BUCKET_LENGTH, TABLES = 0.05, 0.5, 4
+#: Of the embeddings: the distance, and the share of near pairs to be found.
+NEAR, RECALL = 1.1, 0.98
 LOOKUP_GROUP, LOOKUP_ORDER, LOOKUP_SOURCE = 3, 2, "NATION_3"
 RULE = detect.BATCH_RULE
 
@@ -202,14 +206,23 @@ def distance_semi_lsh(spark, sf_dir):
     return lsh_semi_join(left, right, HIT_WEIGHTS, DISTANCE, BUCKET_LENGTH, TABLES, by=["observationgroup"])
 
 
+def embeddings(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+
+
 def distance_semi_lsh_arrays(spark, sf_dir):
-    """Embeddings of even numbers near one of an odd number, by buckets of their 64 dimensions."""
-    points = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
-    left, right = points.where("vec_id % 2 = 0"), points.where("vec_id % 2 = 1")
-    found = lsh_semi_join(left, right, "embedding", 1.1, 1.0, TABLES, dimensions=EMBEDDING)
+    """Embeddings whose number is divisible by 20 that have another one near, by hashing their 64 dimensions."""
+    points = embeddings(spark, sf_dir)
+    found = wide_semi_join(points.where("vec_id % 20 = 0"), points, "embedding", NEAR, RECALL, other="vec_id")
     return found.select("vec_id", "label")
 
 
+def distance_pairs_lsh(spark, sf_dir):
+    """The same with the near embeddings themselves and their distances."""
+    points = embeddings(spark, sf_dir)
+    return wide_pairs(points.where("vec_id % 20 = 0"), points, "embedding", NEAR, "vec_id", RECALL)
+
+
 def lsh_hashes(spark, sf_dir):
     hashed = with_hashes(of_order(spark, sf_dir, 1), HIT_WEIGHTS, BUCKET_LENGTH, TABLES)
     return hashed.select(*[f.name for f in HITS.fields], *[F.col("hashes")[t].alias(f"bucket_{t}") for t in range(TABLES)])
@@ -393,6 +406,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distance_pairs_arrays": distance_pairs_arrays,
         "distance_semi_lsh": distance_semi_lsh,
         "distance_semi_lsh_arrays": distance_semi_lsh_arrays,
+        "distance_pairs_lsh": distance_pairs_lsh,
         "lsh_hashes": lsh_hashes,
         "encode_hits": encode_hits_query,
         "parse_hits": parse_hits_query,
@@ -528,19 +542,10 @@ def _lsh_sql() -> str:
         AND sqrt({squares}) < '{DISTANCE!r}'::DOUBLE AND ({same}))"""
 
 
-def _lsh_arrays_sql() -> str:
-    vectors = projections(EMBEDDING, TABLES)
-
-    def bucket(alias: str, vector: list[float]) -> str:
-        terms = " + ".join(f"{alias}.embedding[{i}]::DOUBLE * '{x!r}'::DOUBLE" for i, x in enumerate(vector, 1))
-        return f"CAST(floor(({terms}) / '1.0'::DOUBLE) AS BIGINT)"
-
-    hashed = ", ".join(f"{bucket('e', v)} AS b{t}" for t, v in enumerate(vectors))
-    same = " OR ".join(f"a.b{t} = b.b{t}" for t in range(TABLES))
-    squares = " + ".join(f"(a.embedding[{i}]::DOUBLE - b.embedding[{i}]::DOUBLE) * (a.embedding[{i}]::DOUBLE - b.embedding[{i}]::DOUBLE)" for i in range(1, EMBEDDING + 1))
-    return f"""WITH e AS MATERIALIZED (SELECT vec_id, label, embedding, {hashed} FROM embeddings e)
-        SELECT vec_id, label FROM e a WHERE vec_id % 2 = 0 AND EXISTS (SELECT 1 FROM e b WHERE b.vec_id % 2 = 1
-          AND ({same}) AND sqrt({squares}) < '1.1'::DOUBLE)"""
+_NEAR_SQL = f"""WITH near AS (
+  SELECT a.vec_id AS left_id, b.vec_id AS right_id, a.label,
+         sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda p: pow(p[1]::DOUBLE - p[2]::DOUBLE, 2)))) AS distance
+  FROM embeddings a JOIN embeddings b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)"""
 
 
 _CLICK_NEAR = """EXISTS (SELECT 1 FROM events b WHERE b.event_type = 'click'
@@ -573,7 +578,8 @@ def oracle_sql() -> dict[str, str]:
         "range_pairs_large": f"""{_LARGE_SQL} SELECT a.o_orderkey AS o_orderkey_left, b.o_orderkey AS o_orderkey_right
             FROM totals a JOIN totals b ON {_LARGE_NEAR} WHERE a.o_orderstatus = 'P'""",
         "distance_semi_lsh": f"{hits_v} {_lsh_sql()}",
-        "distance_semi_lsh_arrays": _lsh_arrays_sql(),
+        # all pairs, without buckets: equal only if hashing misses none
+        "distance_semi_lsh_arrays": f"{_NEAR_SQL} SELECT DISTINCT left_id AS vec_id, label FROM near WHERE distance < {NEAR}::DOUBLE",
         "lsh_hashes": f"""{hits_v} SELECT *, {", ".join(
             f"{_bucket_sql('hits_v', v, list(HIT_WEIGHTS), BUCKET_LENGTH)} AS bucket_{t}"
             for t, v in enumerate(projections(len(HIT_WEIGHTS), TABLES)))} FROM hits_v WHERE observationorder = 1""",
