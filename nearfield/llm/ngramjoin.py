@@ -13,8 +13,8 @@ the overlap from above, and only pairs that can still reach the threshold have t
 Three things keep the work down without losing a link. Equal sets are one set. Keys travel packed, 16 bytes
 each, and only once; those that one set alone has end there. And since components are wanted, each set first
 meets the least set of its tiles; then tiles whose sets are not all in one component yet are searched block by
-block. In the first rounds such a tile proposes stars only, as many pairs as it has components at most, which
-join most of a crowd; what is still apart then is proposed in full.
+block. A tile with very many candidates first proposes stars only, which join most of a crowd; what is still
+apart then is proposed in full.
 """
 
 from __future__ import annotations
@@ -40,8 +40,11 @@ TEXT, PART_KEYS, TILE_SETS = 8 << 20, 1 << 20, 1024
 LOCAL = 8
 #: Bits of a bitmap for each shingle, about, and of the shortest and longest bitmaps.
 DENSITY, BITS = 16, (256, 1 << 18)
-#: Rounds in which a tile proposes stars, before it proposes all pairs, and stars of a tile in a round.
-ROUNDS, STARS = 2, 64
+#: A tile with more candidate pairs than so many for each set is crowded. In the first rounds a crowded tile in
+#: so many proposes stars, of so many hubs, and the others wait; in the last one all propose all their pairs.
+CROWDED, TURNS, STARS = 4, (8, 2, 1), 64
+#: Halvings of bitmaps before the first comparison.
+FOLDS = 2
 #: Words compared at once in a tile.
 COMPARED = 1 << 21
 
@@ -155,8 +158,8 @@ def bitmap_of(values: np.ndarray) -> bytes:
 
 def _close(
     sizes: tuple[np.ndarray, np.ndarray], bits: tuple[np.ndarray, np.ndarray], share: tuple[int, int]
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Places of pairs (left, right) that sizes and bitmaps don't rule out, and the bits that differ."""
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs (left, right) that sizes and bitmaps don't rule out."""
     low, high = share
     right = np.argsort(sizes[1], kind="stable")
     n_right, of_right = sizes[1][right], np.ascontiguousarray(bits[1][right].T)
@@ -175,7 +178,7 @@ def _close(
                 differ += np.bitwise_count(bits[0][some, w][:, None] ^ of_right[w, part][None, :])
             both = n[:, None] + n_right[part][None, :]
             a, b = np.nonzero((high - low) * both >= (high + low) * differ.astype(np.int64))
-            yield some[a], right[part][b], differ[a, b]
+            yield some[a], right[part][b]
 
 
 def _stars(a: np.ndarray, b: np.ndarray, roots: np.ndarray, differ: np.ndarray) -> np.ndarray:
@@ -202,40 +205,60 @@ def _stars(a: np.ndarray, b: np.ndarray, roots: np.ndarray, differ: np.ndarray)
     return np.concatenate(taken) if taken else np.zeros(0, np.int64)
 
 
-def _tile_pairs(tile: pa.Table, share: tuple[int, int], stars: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(a, b): ids of sets in different components that may be linked, of one tile's two blocks: all of them, or
-    as many as make stars."""
-    ids, roots, n = (tile[c].to_numpy() for c in ("sid", "root", "n"))
+def _folded(bits: np.ndarray, times: int) -> np.ndarray:
+    """Bitmaps (rows) with their halves laid on each other, so many times."""
+    for _ in range(times):
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] | bits[:, half:]
+    return bits
+
+
+def _tile_pairs(tile: pa.Table, share: tuple[int, int]) -> tuple[np.ndarray, ...]:
+    """(a, b, differ): places of sets in different components that may be linked, of one tile's two blocks, and
+    the bits that differ. Bitmaps are compared folded first, and the pairs that are left whole."""
+    low, high = share
+    roots, n = (tile[c].to_numpy() for c in ("root", "n"))
     block, ends = tile["block"].to_numpy(), (tile["i"][0].as_py(), tile["j"][0].as_py())
     raw = tile["bits"].to_pylist()
     widths = np.array([len(r) for r in raw])
-    found: list[tuple[np.ndarray, ...]] = []
+    found = [(np.zeros(0, np.int64),) * 3]
     for width in np.unique(widths).tolist():
         for other in (width, 2 * width):
-            left = np.flatnonzero((widths == width) & (block == ends[0]))
-            right = np.flatnonzero((widths == other) & (block == ends[1]))
-            sides = [(left, right)]
+            of = lambda w, end: np.flatnonzero((widths == w) & (block == end))
+            sides = [(of(width, ends[0]), of(other, ends[1]))]
             if ends[0] != ends[1] and other != width:
-                sides.append((np.flatnonzero((widths == width) & (block == ends[1])), np.flatnonzero((widths == other) & (block == ends[0]))))
+                sides.append((of(width, ends[1]), of(other, ends[0])))
             for small, large in sides:
                 if not len(small) or not len(large):
                     continue
                 x = np.frombuffer(b"".join(raw[k] for k in small), np.uint64).reshape(len(small), -1)
                 y = np.frombuffer(b"".join(raw[k] for k in large), np.uint64).reshape(len(large), -1)
-                if other != width:  # the longer bitmap's halves laid on each other
-                    y = y[:, : x.shape[1]] | y[:, x.shape[1] :]
-                for a, b, differ in _close((n[small], n[large]), (x, y), share):
-                    a, b = small[a], large[b]
-                    apart = roots[a] != roots[b]
-                    found.append((a[apart], b[apart], differ[apart]))
-    if not found:
-        return (np.zeros(0, np.int64),) * 2
-    a, b, differ = (np.concatenate(side) for side in zip(*found, strict=True))
-    if stars and len(a):
-        some = _stars(a, b, roots, differ)
+                y = _folded(y, int(other != width))
+                folds = min(FOLDS, x.shape[1].bit_length() - 1)
+                for a, b in _close((n[small], n[large]), (_folded(x, folds), _folded(y, folds)), share):
+                    apart = roots[small[a]] != roots[large[b]]
+                    a, b = a[apart], b[apart]
+                    for at in range(0, len(a), run := max(1, COMPARED // x.shape[1])):
+                        some = slice(at, at + run)
+                        differ = np.bitwise_count(x[a[some]] ^ y[b[some]]).sum(axis=1, dtype=np.int64)
+                        p, q = small[a[some]], large[b[some]]
+                        good = (high - low) * (n[p] + n[q]) >= (high + low) * differ
+                        found.append((p[good], q[good], differ[good]))
+    return tuple(np.concatenate(side) for side in zip(*found, strict=True))
+
+
+def _proposed(tile: pa.Table, share: tuple[int, int], turn: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """(a, b, waiting): the pairs of ids, a < b, that a tile proposes, and whether it has others. ``turn`` 0
+    asks for all; else a crowded tile proposes stars if its key is divisible by it, and otherwise nothing."""
+    a, b, differ = _tile_pairs(tile, share)
+    waiting = bool(turn and len(a) > CROWDED * len(tile))
+    if waiting:
+        roots = tile["root"].to_numpy()
+        some = _stars(a, b, roots, differ) if tile["key"][0].as_py() % turn == 0 else np.zeros(0, np.int64)
         a, b = a[some], b[some]
+    ids = tile["sid"].to_numpy()
     a, b = ids[a], ids[b]
-    return np.minimum(a, b), np.maximum(a, b)
+    return np.minimum(a, b), np.maximum(a, b), waiting
 
 
 def _fields(**kinds: T.DataType) -> T.StructType:
@@ -379,38 +402,48 @@ def _confirmed(pairs: DataFrame, arrays: DataFrame, share: tuple[int, int]) -> D
 
 
 def _open_tiles(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, sid, root, sets): the members of tiles whose sets are in several components."""
+    """(key, sid, root, sets): the members of tiles whose sets are in several components. ``members`` may have
+    ``sets``, which stays then."""
     roots = roots.select(F.col("node").alias("sid"), "root")
-    placed = skewed_join(members.select("key", "sid"), roots, ["sid"], "left")
-    placed = stored(placed.select("key", "sid", F.coalesce("root", "sid").alias("root")), "members")
-    of_tile = [F.count("*").alias("sets"), F.min("root").alias("low"), F.max("root").alias("high")]
+    size = ["sets"] if "sets" in members.columns else []
+    placed = skewed_join(members.select("key", "sid", *size), roots, ["sid"], "left")
+    placed = stored(placed.select("key", "sid", F.coalesce("root", "sid").alias("root"), *size), "members")
+    of_tile = [F.max("sets").alias("sets") if size else F.count("*").alias("sets"), F.min("root").alias("low"), F.max("root").alias("high")]
     # tiles of the same sets are one
     of_tile += [F.sum(F.xxhash64("sid").cast("decimal(20,0)")).alias("content")]
     tiles = placed.groupBy("key").agg(*of_tile).where("low <> high")
     tiles = tiles.groupBy("sets", "low", "high", "content").agg(F.min("key").alias("key")).select("key", "sets")
-    return stored(skewed_join(placed, tiles, ["key"]).select("key", "sid", "root", "sets"), "open")
+    return stored(skewed_join(placed.drop("sets"), tiles, ["key"]).select("key", "sid", "root", "sets"), "open")
 
 
-def _candidates(members: DataFrame, arrays: DataFrame, share: tuple[int, int], stars: bool) -> DataFrame:
-    """(a, b), a < b: pairs of sets of different components that share an open tile and that bitmaps don't rule
-    out; where ``stars``, only as many as make stars inside each tile."""
-    schema = _fields(a=T.LongType(), b=T.LongType())
-    blocks = F.ceil(F.col("sets") / F.lit(TILE_SETS))
-    with_bits = skewed_join(members.withColumn("blocks", blocks), arrays.select("sid", "n", "bits"), ["sid"])
-    dealt = with_bits.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
+_TILE = ["key", "i", "j"]
+
+
+def _proposals(members: DataFrame, waiting: DataFrame | None, arrays: DataFrame, share: tuple[int, int], turn: int) -> DataFrame:
+    """(key, i, j, waiting, a, b): what the open tiles' pairs of blocks propose; of the ``waiting`` ones only, if
+    given. Pairs (a, b) are of different components and not ruled out by bitmaps; those that have others wait
+    for the next round, and say so in a row without a pair."""
+    schema = _fields(key=T.LongType(), i=T.LongType(), j=T.LongType(), waiting=T.BooleanType(), a=T.LongType(), b=T.LongType())
+    dealt = members.withColumn("blocks", F.ceil(F.col("sets") / F.lit(TILE_SETS)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "root", "n", "bits"
-    )
+    dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "root")
+    if waiting is not None:
+        dealt = skewed_join(dealt, waiting, _TILE, "left_semi")
+    with_bits = skewed_join(dealt, arrays.select("sid", "n", "bits"), ["sid"]).select(*_TILE, "block", "sid", "root", "n", "bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in groups_of(batches, 3):
-            a, b = _tile_pairs(tile, share, stars)
-            for at in range(0, len(a), 1 << 20):
-                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + (1 << 20)]) for x in (a, b)], names=schema.names)
+            a, b, more = _proposed(tile, share, turn)
+            for at in range(0, len(a) + more, 1 << 20):
+                x, y = (pa.array(s[at : at + (1 << 20)], pa.int64()) for s in (a, b))
+                if more and not at:
+                    x, y = (pa.concat_arrays([pa.nulls(1, pa.int64()), s]) for s in (x, y))
+                names = [pa.array(np.full(len(x), tile[c][0].as_py()), pa.int64()) for c in _TILE]
+                told = pa.array([bool(more and not at), *[False] * (len(x) - 1)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([*names, told, x, y], names=schema.names)
 
-    where = ["key", "i", "j"]
-    return dealt.repartition(*where).sortWithinPartitions(*where).mapInArrow(run, schema).distinct()
+    return with_bits.repartition(*_TILE).sortWithinPartitions(*_TILE).mapInArrow(run, schema)
 
 
 def linked_sets(
@@ -418,8 +451,8 @@ def linked_sets(
 ) -> DataFrame:
     """(node, root): the sets that are linked to another one, with the least set of their component.
 
-    The first links are those to the least set of a set's tiles. Then open tiles propose stars, and last all
-    pairs of different components that are left.
+    The first links are those to the least set of a set's tiles. Then open tiles propose the pairs that are left
+    between different components; crowded ones propose stars first, and all pairs in the last round.
     """
     members = stored(tile_members(docs, sets, text, words, share), "tiles")
     holders = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min(id).alias("holder"))
@@ -427,13 +460,19 @@ def linked_sets(
     arrays = stored(_arrays(docs, id, text, words, wanted), "sets")
     first = members.groupBy("sid").agg(F.min("lead").alias("b")).where("sid <> b").select(F.col("sid").alias("a"), "b")
     roots = components(_confirmed(first, arrays, share))
-    for round in range(ROUNDS + 1):
+    waiting = None
+    for turn in (*TURNS, 0):
         members = _open_tiles(members, roots)
-        if members.isEmpty():
-            break
-        more = stored(_confirmed(_candidates(members, arrays, share, round < ROUNDS), arrays, share), "links")
+        proposed = stored(_proposals(members, waiting, arrays, share, turn), "proposed")
+        pairs = proposed.where("a IS NOT NULL").select("a", "b").distinct()
+        more = stored(_confirmed(pairs, arrays, share), "links")
         if not more.isEmpty():
             roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+        waiting = proposed.where("waiting").select(*_TILE)
+        if waiting.isEmpty():
+            break
+        # the tiles that wait keep their blocks
+        members = members.join(waiting.select("key").distinct(), "key", "left_semi")
     return roots
 
 
