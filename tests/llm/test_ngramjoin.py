@@ -75,6 +75,8 @@ def test_sizes_around_the_threshold(spark):
 def test_crowd_below_the_threshold(spark, monkeypatch):
     """Texts around one passage meet in crowded tiles and are apart but for the planted pairs."""
     monkeypatch.setattr(ngramjoin, "TILE_SETS", 16)
+    monkeypatch.setattr(ngramjoin, "CROWDED", 0)
+    monkeypatch.setattr(ngramjoin, "STARS", 2)
     rng = random.Random(7)
     passage = prose(1, 46)
     texts = [prose(2000 + k, 7) + " " + passage + " " + prose(4000 + k, 7) for k in range(150)]
@@ -123,11 +125,13 @@ def test_bitmaps_rule_out_no_link():
             "j": [0] * len(sets), "bits": [ngramjoin.bitmap_of(s) for s in sets],
         }
     )
-    kept = set(zip(*(x.tolist() for x in ngramjoin._tile_pairs(tile, (85, 100), False)), strict=True))
-    links = {(a, b) for a in ids for b in ids if a < b and ngramjoin.linked(sets[a], sets[b])}
+    a, b, differ = ngramjoin._tile_pairs(tile, (85, 100))
+    kept = {(int(min(p)), int(max(p))) for p in zip(ids[a], ids[b], strict=True)}
+    links = {(a, b) for a in ids.tolist() for b in ids.tolist() if a < b and ngramjoin.linked(sets[a], sets[b])}
     assert links and links <= kept
     assert len(kept) < len(links) + 30
-    stars = set(zip(*(x.tolist() for x in ngramjoin._tile_pairs(tile, (85, 100), True)), strict=True))
+    some = ngramjoin._stars(a, b, ids, differ)
+    stars = {(int(min(p)), int(max(p))) for p in zip(ids[a[some]], ids[b[some]], strict=True)}
     assert stars <= kept and len(stars) < len(sets) and {a for p in stars for a in p} >= {a for p in links for a in p}
 
 
