@@ -369,6 +369,21 @@ def stream_detect(spark, sf_dir):
     return job.read_results(spark, f"{root}/tables")
 
 
+def anomaly_changes(spark, sf_dir):
+    """The messages as a stream, a part of them late and the tables compacted in between; the changes are
+    followed as they come, and the groups are those that the feed leaves."""
+    root = scratch_dir(spark, "changes")
+    sent = messages(spark, sf_dir).select("value")
+    late = F.get(F.split("value", SEPARATOR), 2).eqNullSafe("2")
+    for k, part in enumerate([sent.where(~late), sent.where(late)]):
+        part.write.text(f"{root}/in/{k}")
+        arriving = text_messages(spark, f"{root}/in/*")
+        job.run_available(arriving, f"{root}/tables", RULE, metadata(spark, sf_dir))
+        job.compact(spark, f"{root}/tables", RULE)
+        job.write_feed(spark, f"{root}/tables", available_now=True).awaitTermination()
+    return job.replayed(job.read_feed(spark, f"{root}/tables"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Detection over all groups of the smallest data set."""
     return detect_anomalies(spark, "/root/testdata/sf0.001")
@@ -431,6 +446,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_groups": batch_groups,
         "first_group": first_group,
         "stream_detect": stream_detect,
+        "anomaly_changes": anomaly_changes,
     }
 
 
@@ -622,4 +638,5 @@ def oracle_sql() -> dict[str, str]:
         "first_group": f"""{hits_v} SELECT min(observationgroup) AS first_group,
             count(DISTINCT observationgroup) AS n_groups FROM hits_v""",
         "stream_detect": groups_all,
+        "anomaly_changes": f"{groups_all} WHERE grouphit > 0",
     }

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.operators.axis import check_closed, shared_axis
-from nearfield.operators.range_join import POSITION, flag_matches, neighbour_summary, place
+from nearfield.operators.range_join import CELL, POSITION, flag_matches, neighbour_summary, place
 from nearfield.schema import GROUPS
 
 GROUP, ORDER = "observationgroup", "observationorder"
@@ -130,6 +130,62 @@ def detect_anomalies(hits: DataFrame, rule: Rule = BATCH_RULE) -> DataFrame:
     return _matched_anchors(hits, rule, on, off, only_anomalous=True).select(*hits.columns)
 
 
+def steps(rule: Rule) -> list[tuple[float, dict[str, Column]]]:
+    """The summaries that detection needs: a radius with its slots; one, or two if the radii differ."""
+    order = F.col(ORDER)
+    on = {f"__on{o}": order == o for o in rule.on_orders[1:]}
+    off = {"__off": order.isin(*rule.off_orders)} if rule.off_orders else {}
+    if on and off and rule.r_on == rule.r_off:
+        return [(rule.r_on, on | off)]
+    return [(radius, slots) for radius, slots in ((rule.r_on, on), (rule.r_off, off)) if slots]
+
+
+def anchors_of(hits: DataFrame, rule: Rule) -> DataFrame:
+    """Hits of the anchor observation above their thresholds; those without a frequency only where no other
+    ON observation has to match."""
+    rows = strong(hits, rule).where(_split(rule)[0] & F.col(GROUP).isNotNull())
+    return rows.where(F.col("frequency").isNotNull()) if len(rule.on_orders) > 1 else rows
+
+
+def summaries(hits: DataFrame, rule: Rule) -> list[DataFrame]:
+    """For each step, per group and cell, the extremes of what the other observations contain.
+
+    They are minima and maxima, so summaries of two sets of hits merge into that of both. A hit that
+    replaces another one of its key leaves them as they are, for all they depend on is in the key.
+    """
+    others = strong(hits, rule).where(_split(rule)[1] & F.col(GROUP).isNotNull())
+    out = []
+    for radius, slots in steps(rule):
+        key_type = hits.schema["frequency"].dataType
+        axis = shared_axis(key_type, key_type, radius)
+        centre = axis.position(F.col("frequency"), key_type)
+        chosen = others.where(reduce(lambda a, b: a | b, slots.values()))
+        out.append(neighbour_summary(chosen.withColumn(POSITION, centre), [GROUP], axis, slots))
+    return out
+
+
+def merged(summary: DataFrame) -> DataFrame:
+    """Summaries of several sets of hits, one after another, as that of all."""
+    ends = [c for c in summary.columns if c not in (GROUP, CELL)]
+    largest = [F.max(c).alias(c) if c.endswith(("_below", "_most")) else F.min(c).alias(c) for c in ends]
+    return summary.groupBy(GROUP, CELL).agg(*largest)
+
+
+def anomalies_by_summary(anchors: DataFrame, found: list[DataFrame], rule: Rule) -> DataFrame:
+    """The anchors that are anomalous by the merged summaries of their groups' other hits."""
+    key_type = anchors.schema["frequency"].dataType
+    rows = anchors
+    for (radius, slots), summary in zip(steps(rule), found, strict=True):
+        axis = shared_axis(key_type, key_type, radius)
+        placed = place(rows, axis, axis.position(F.col("frequency"), key_type))
+        matched, apart = ([s for s in slots if s.startswith(side)] for side in ("__on", "__off"))
+        keep = _all(F.col(s) for s in matched) & _all(~F.col(s) for s in apart)
+        # without ON slots a cell that nobody is near must not drop the anchor
+        how = "inner" if matched else "left"
+        rows = flag_matches(placed, summary, [GROUP], axis, list(slots), rule.closed, how, keep).select(*anchors.columns)
+    return rows
+
+
 def observation_counts(hits: DataFrame, rule: Rule = BATCH_RULE) -> DataFrame:
     """Hits above the thresholds, per group and observation."""
     return strong(hits, rule).groupBy(GROUP, ORDER).agg(F.count(F.lit(1)).alias("n_hits"))
@@ -169,10 +225,13 @@ def group_results(
     ``observationgroup`` and any of the other group columns; what it lacks is null. Groups without
     anomalous hits have a count of zero.
     """
-    found = detect_anomalies(hits, rule).select(GROUP, F.lit(1).alias("__one"))
-    everything = hits if groups is None else groups
-    counted = found.unionByName(everything.select(GROUP, F.lit(0).alias("__one")))
-    results = counted.groupBy(GROUP).agg(F.sum("__one").cast("int").alias("grouphit"))
+    return counted_results(detect_anomalies(hits, rule), hits if groups is None else groups, metadata)
+
+
+def counted_results(found: DataFrame, groups: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
+    """The rows ``found`` counted for each of ``groups``, which may repeat them, as rows of the group table."""
+    ones, zeros = found.select(GROUP, F.lit(1).alias("__one")), groups.select(GROUP, F.lit(0).alias("__one"))
+    results = ones.unionByName(zeros).groupBy(GROUP).agg(F.sum("__one").cast("int").alias("grouphit"))
     return with_metadata(results, metadata)
 
 

@@ -1,15 +1,15 @@
-"""The hit and group tables as files.
+"""The hit and group tables.
 
-Rows carry a version, by default the time of the write; of equal keys the latest version counts, and
-readers resolve that. Hits lie in a fixed number of folders by a hash of the group, so that the layout
-doesn't grow with the groups, and are sorted within files, so that a filter on group, observation or
+What a table holds is named by its commit log (``sources.log``), so appends, readers and compaction don't
+disturb each other. Rows carry a version, by default the time of the write; of equal keys the latest version
+counts, and readers resolve that. Hits lie in a fixed number of folders by a hash of the group, so that the
+layout doesn't grow with the groups, and are sorted within files, so that a filter on group, observation or
 strength skips row groups.
 """
 
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from nearfield.operators.upsert import latest
 from nearfield.schema import GROUP_KEY, GROUPS, HIT_KEY, HITS
-from nearfield.sources import folders
+from nearfield.sources import log
 
 # The read order of hits within an observation.
 CLUSTERING = [("snr", False), ("driftrate", False)]
@@ -57,16 +57,16 @@ def in_groups(stored: DataFrame, groups: Sequence[int]) -> DataFrame:
     return stored.where(F.col("bucket").isin(*[bucket_of(g) for g in wanted]) & F.col("observationgroup").isin(*wanted))
 
 
-def read_hits(spark: SparkSession, path: str, groups: Sequence[int] | None = None) -> DataFrame:
-    """The hits, the latest version of each key; of some groups only, if given."""
-    stored = read_table(spark, path, STORED_HITS)
+def read_hits(spark: SparkSession, path: str, groups: Sequence[int] | None = None, state: log.Snapshot | None = None) -> DataFrame:
+    """The hits, the latest version of each key; of some groups only, or of an earlier snapshot, if given."""
+    stored = log.scan(spark, path, STORED_HITS, state)
     chosen = stored if groups is None else in_groups(stored, groups)
     return conform(latest(chosen.drop("bucket"), HIT_KEY, ["version"]), HITS)
 
 
-def read_groups(spark: SparkSession, path: str) -> DataFrame:
+def read_groups(spark: SparkSession, path: str, state: log.Snapshot | None = None) -> DataFrame:
     """The group rows, the latest version of each group."""
-    return conform(latest(read_table(spark, path, STORED_GROUPS), GROUP_KEY, ["version"]), GROUPS)
+    return conform(latest(log.scan(spark, path, STORED_GROUPS, state), GROUP_KEY, ["version"]), GROUPS)
 
 
 def clustered(hits: DataFrame) -> DataFrame:
@@ -86,22 +86,26 @@ def _versioned(rows: DataFrame, version: int | None) -> DataFrame:
 
 def append_hits(hits: DataFrame, path: str, version: int | None = None) -> None:
     """Append hits to the table, over those of equal keys and lower versions."""
-    rows = clustered(_versioned(conform(hits, HITS), version))
-    rows.write.mode("append").partitionBy("bucket").parquet(path)
+    log.append(clustered(_versioned(conform(hits, HITS), version)), path, "bucket")
 
 
 def append_groups(groups: DataFrame, path: str, version: int | None = None) -> None:
     """Append group rows to the table, over those of equal groups and lower versions."""
     rows = _versioned(conform(groups, GROUPS), version)
-    rows.hint("rebalance").sortWithinPartitions("observationgroup").write.mode("append").parquet(path)
+    log.append(rows.hint("rebalance").sortWithinPartitions("observationgroup"), path)
 
 
-def compact_hits(spark: SparkSession, path: str) -> None:
-    """Rewrites the table as one file or few for each bucket, without the rows that later ones replace.
+def compact_hits(spark: SparkSession, path: str) -> bool:
+    """Rewrites the buckets that several writes have added to, without the rows that later ones replace.
 
-    The new files are written beside the table and then take its place; nobody may write meanwhile.
+    Other buckets are not touched. Readers and appends go on meanwhile; of two compactions at once one gives
+    up (False). The old files stay until ``log.vacuum``.
     """
-    stored = read_table(spark, path, STORED_HITS).drop("bucket")
-    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-    clustered(latest(stored, HIT_KEY, ["version"], keep_version=True)).write.partitionBy("bucket").parquet(beside)
-    folders.replace(spark, path, beside)
+    merged = lambda rows: clustered(latest(rows.drop("bucket"), HIT_KEY, ["version"], keep_version=True))
+    return log.rewrite(spark, path, STORED_HITS, merged, "bucket")
+
+
+def compact_groups(spark: SparkSession, path: str) -> bool:
+    """The same for the group table, which is one part then."""
+    merged = lambda rows: latest(rows, GROUP_KEY, ["version"], keep_version=True)
+    return log.rewrite(spark, path, STORED_GROUPS, lambda rows: merged(rows).hint("rebalance").sortWithinPartitions("observationgroup"))
