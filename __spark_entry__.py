@@ -24,7 +24,6 @@ from nearfield.operators import (  # noqa: E402
     range_pairs,
     range_semi_join,
     scaled_features,
-    wide_pairs,
     wide_semi_join,
     with_hashes,
 )
@@ -217,12 +216,6 @@ def distance_semi_lsh_arrays(spark, sf_dir):
     return found.select("vec_id", "label")
 
 
-def distance_pairs_lsh(spark, sf_dir):
-    """The same with the near embeddings themselves and their distances."""
-    points = embeddings(spark, sf_dir)
-    return wide_pairs(points.where("vec_id % 20 = 0"), points, "embedding", NEAR, "vec_id", RECALL)
-
-
 def lsh_hashes(spark, sf_dir):
     hashed = with_hashes(of_order(spark, sf_dir, 1), HIT_WEIGHTS, BUCKET_LENGTH, TABLES)
     return hashed.select(*[f.name for f in HITS.fields], *[F.col("hashes")[t].alias(f"bucket_{t}") for t in range(TABLES)])
@@ -421,7 +414,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distance_pairs_arrays": distance_pairs_arrays,
         "distance_semi_lsh": distance_semi_lsh,
         "distance_semi_lsh_arrays": distance_semi_lsh_arrays,
-        "distance_pairs_lsh": distance_pairs_lsh,
         "lsh_hashes": lsh_hashes,
         "encode_hits": encode_hits_query,
         "parse_hits": parse_hits_query,
