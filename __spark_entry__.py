@@ -17,6 +17,7 @@ from nearfield.functions.display import hits_json  # noqa: E402
 from nearfield.functions.records import FIELDS, SEPARATOR, bad_messages, encode_hits, good_hits, parse_hits  # noqa: E402
 from nearfield.operators import (  # noqa: E402
     distance_pairs,
+    exact_pairs,
     latest,
     lsh_semi_join,
     projections,
@@ -216,6 +217,13 @@ def distance_semi_lsh_arrays(spark, sf_dir):
     return found.select("vec_id", "label")
 
 
+def distance_pairs_embeddings(spark, sf_dir):
+    """All embeddings near one whose number is divisible by 20, exactly, with their distances."""
+    points = embeddings(spark, sf_dir)
+    pairs = exact_pairs(points.where("vec_id % 20 = 0"), points, "embedding", NEAR, "vec_id")
+    return pairs.withColumn("distance", F.round("distance", 9))
+
+
 def lsh_hashes(spark, sf_dir):
     hashed = with_hashes(of_order(spark, sf_dir, 1), HIT_WEIGHTS, BUCKET_LENGTH, TABLES)
     return hashed.select(*[f.name for f in HITS.fields], *[F.col("hashes")[t].alias(f"bucket_{t}") for t in range(TABLES)])
@@ -414,6 +422,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distance_pairs_arrays": distance_pairs_arrays,
         "distance_semi_lsh": distance_semi_lsh,
         "distance_semi_lsh_arrays": distance_semi_lsh_arrays,
+        "distance_pairs_embeddings": distance_pairs_embeddings,
         "lsh_hashes": lsh_hashes,
         "encode_hits": encode_hits_query,
         "parse_hits": parse_hits_query,
@@ -588,6 +597,8 @@ def oracle_sql() -> dict[str, str]:
         "distance_semi_lsh": f"{hits_v} {_lsh_sql()}",
         # all pairs, without buckets: equal only if hashing misses none
         "distance_semi_lsh_arrays": f"{_NEAR_SQL} SELECT DISTINCT left_id AS vec_id, label FROM near WHERE distance < {NEAR}::DOUBLE",
+        "distance_pairs_embeddings": f"""{_NEAR_SQL} SELECT left_id, right_id, round(distance, 9) AS distance
+            FROM near WHERE distance <= {NEAR}::DOUBLE""",
         "lsh_hashes": f"""{hits_v} SELECT *, {", ".join(
             f"{_bucket_sql('hits_v', v, list(HIT_WEIGHTS), BUCKET_LENGTH)} AS bucket_{t}"
             for t, v in enumerate(projections(len(HIT_WEIGHTS), TABLES)))} FROM hits_v WHERE observationorder = 1""",

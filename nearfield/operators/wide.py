@@ -276,3 +276,99 @@ def wide_pairs(
     far = distance(F.col("__v"), F.col("__w"), table.dimensions)
     pairs = met.select(F.col("__id").alias("left_id"), F.col("__other").alias("right_id"), far.alias("distance"))
     return pairs.dropDuplicates(["left_id", "right_id"])
+
+
+# ---- exact
+
+
+def fit_rotation(left: DataFrame, right: DataFrame, vector: str, sample: int = SAMPLE) -> np.ndarray:
+    """An orthogonal matrix whose first rows are the directions in which the vectors spread most, from
+    ``sample`` rows of each side at most. Any would give the same pairs; this one tells most rows apart early."""
+    taken = [v for df in (left, right) for v in _sample(_finite(df, vector, ()), vector, sample)]
+    dimensions = max([len(v) for v in taken], default=1) or 1
+    points = _matrix(taken, dimensions)
+    if len(points) < 2:
+        return np.eye(dimensions)
+    spread, directions = np.linalg.eigh(np.cov(points.T).reshape(dimensions, dimensions))
+    return directions[:, np.argsort(-spread, kind="stable")].T
+
+
+def _rotated(rows: DataFrame, vector: str, rotation: np.ndarray) -> DataFrame:
+    """The rows with their rotated vectors, in ``__p``; longer vectors keep their further components."""
+
+    @F.pandas_udf("array<double>")
+    def turn(column: pd.Series) -> pd.Series:
+        out = _matrix(column.tolist(), len(rotation)) @ rotation.T
+        return pd.Series([np.concatenate([p, v[len(rotation) :]]) for p, v in zip(out, column, strict=True)])
+
+    return rows.withColumn("__p", turn(vector))
+
+
+#: Squares that a bound spells out; more would exceed what the JVM compiles.
+_SPELLED = 16
+
+
+def early_bounds(left: Column, right: Column, dimensions: int, limit: Column) -> list[Column]:
+    """Tests that a pair within the limit (of the squared distance) passes: the first few squares, half and
+    three quarters of them may not exceed it either. Cheapest first."""
+    few = min(_SPELLED, dimensions)
+    total = F.lit(0.0)
+    for k in range(few):
+        total = total + (F.get(left, k) - F.get(right, k)) * (F.get(left, k) - F.get(right, k))
+    out = [total <= limit]
+    for part in (dimensions // 2, dimensions * 3 // 4):
+        if part > few:
+            squares = F.zip_with(F.slice(left, 1, part), F.slice(right, 1, part), lambda a, b: (a - b) * (a - b))
+            out.append(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x) <= limit)
+    return out
+
+
+def exact_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    vector: str,
+    within: float,
+    id: str,
+    by: Sequence[str] = (),
+    rotation: np.ndarray | None = None,
+    pair_side: int = PAIR_SIDE,
+    tested: bool = True,
+) -> DataFrame:
+    """left_id, right_id, distance: all pairs of rows of equal ``by`` and different ids at a distance of at most
+    ``within``; nothing is missed.
+
+    The vectors are rotated so that their first coordinates tell most (``fit_rotation``, or a matrix of one's
+    own). These are the grid on which rows meet, and then the distance is summed up to where it already
+    exceeds the radius; the whole one is taken of the pairs that are left, from the vectors themselves.
+    Vectors that nothing separates at that radius all meet, block by block, so one side should be a small set
+    of queries then. The rules for odd vectors are those of ``wide_semi_join``. ``tested`` False leaves the
+    last test out: the pairs whose whole distance would be taken.
+    """
+    radius = check_radius(within)
+    turned = rotation if rotation is not None else fit_rotation(left, right, vector)
+    lengths = F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    sides, dimensions = [], len(turned)
+    for df in (left, right):
+        rows = _finite(df, vector, by)
+        rows = rows.select(*by, F.col(id).alias("__id"), F.col(vector).cast("array<double>").alias("__v"), lengths.alias("__square"))
+        sides.append(rows.distinct())
+    longest, most = [max(x) for x in zip(*(tuple(v or 0 for v in s.agg(F.max("__square"), F.max(F.size("__v"))).first()) for s in sides), strict=True)]
+    if radius * radius < 1e-18 * longest:  # rounding of the rotation would show
+        turned = np.eye(dimensions)
+    width = max(dimensions, most)
+    lhs, rhs = (_rotated(s.withColumn("__v", _filled("__v", width)), "__v", turned) for s in sides)
+    axes = min(3, dimensions)
+    cells = [f"__cell{k}" for k in range(axes)]
+    lhs = lhs.withColumns({c: own_cell(F.get("__p", k), radius) for k, c in enumerate(cells)})
+    for k, c in enumerate(cells):
+        rhs = rhs.withColumn(c, F.explode(reached_cells(F.get("__p", k), radius)))
+    rhs = rhs.withColumnsRenamed({"__id": "__other", "__v": "__w", "__p": "__q", "__square": "__far"})
+    limit = F.lit(radius * radius * (1 + 1e-9)) + (F.col("__square") + F.col("__far")) * 1e-12
+    far = F.sqrt(F.aggregate(F.zip_with("__v", "__w", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    near = ~F.col("__id").eqNullSafe(F.col("__other"))
+    for test in early_bounds(F.col("__p"), F.col("__q"), dimensions, limit):
+        near = near & test
+    if tested:
+        near = near & (far <= radius)
+    met = join_close(lhs, rhs, [*by, *cells], near, pair_side)
+    return met.select(F.col("__id").alias("left_id"), F.col("__other").alias("right_id"), far.alias("distance")).dropDuplicates(["left_id", "right_id"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nearfield.operators import wide
-from nearfield.operators.wide import Table, fit, fit_table, wide_pairs, wide_semi_join
+from nearfield.operators.wide import Table, exact_pairs, fit, fit_rotation, fit_table, wide_pairs, wide_semi_join
 
 POINTS = T.StructType(
     [T.StructField("id", T.IntegerType()), T.StructField("g", T.IntegerType()), T.StructField("v", T.ArrayType(T.DoubleType()))]
@@ -109,3 +109,62 @@ def test_settings_follow_data_and_target():
     # nothing is far: one bucket for all is exact
     assert fit(apart, apart, 3.0, 0.9).met > 0.9
     assert fit(apart[:0], apart, 1.0, 0.9).directions == 2
+
+
+def exact(left, right, within):
+    pairs = {(i, j) for i, g, v in left for j, h, w in right if i != j and g == h and math.dist(v, w) <= within}
+    return sorted(pairs, key=repr)
+
+
+def found_pairs(*args, **options):
+    rows = exact_pairs(*args, **options).collect()
+    return sorted(((r.left_id, r.right_id) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("dimensions", [1, 2, 3, 5, 24, 300])
+def test_exact_pairs_equal_brute_force(spark, dimensions):
+    rows = clustered(150, dimensions, dimensions, groups=2)
+    df = spark.createDataFrame(rows, POINTS)
+    for within in (0.05, 1.0):
+        assert found_pairs(df, df, "v", within, "id", by=["g"]) == exact(rows, rows, within)
+
+
+def test_rotation_loses_nothing(spark):
+    """Points on a grid, whose distances equal the radius, far from the origin; any rotation and part size."""
+    rng = np.random.default_rng(2)
+    rows = [(k, 0, [1e6 + float(x) for x in rng.integers(0, 3, 8)]) for k in range(120)]
+    df, truth = spark.createDataFrame(rows, POINTS), exact(rows, rows, 2.0)
+    turn, _ = np.linalg.qr(rng.standard_normal((8, 8)))
+    assert found_pairs(df, df, "v", 2.0, "id") == truth
+    assert found_pairs(df, df, "v", 2.0, "id", rotation=turn, pair_side=7) == truth
+    # a radius that rounding in the rotation would cover
+    tiny = spark.createDataFrame([(1, 0, [1e15, 2.0, 3.0]), (2, 0, [1e15, 2.0, 3.0]), (3, 0, [1e15, 2.0, 3.5])], POINTS)
+    assert found_pairs(tiny, tiny, "v", 0.1, "id") == [(1, 2), (2, 1)]
+
+
+def test_odd_rows_of_exact_pairs(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [[1.0, 0.0, 0.0], [1.0], [1.0, 0.05, 0.0], None, [nan, 0.0, 0.0], [inf, 0.0, 0.0], [1.0, None, 0.0], [], [0.0, 0.0, 0.0]]
+    rows = [(k, None if k == 2 else 1, v) for k, v in enumerate(vectors)] + [(0, 1, [1.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, POINTS).withColumn("__p", F.lit(1))
+    assert found_pairs(df, df, "v", 0.1, "id", by=["g"]) == [(0, 1), (1, 0), (7, 8), (8, 7)]
+    assert (0, 2) in found_pairs(df, df, "v", 0.1, "id")
+    none = spark.createDataFrame([], POINTS)
+    assert found_pairs(df, none, "v", 0.1, "id") == found_pairs(none, none, "v", 0.1, "id") == []
+
+
+def test_share_of_pairs_that_reach_the_whole_distance(spark, embeddings):
+    """Random directions: nothing separates them, and still few pairs need all their coordinates. Where the
+    vectors lie near a plane, the grid and the first coordinates leave hardly any."""
+    queries = embeddings.where("vec_id % 20 = 0")
+    reached = exact_pairs(queries, embeddings, "embedding", 1.1, "vec_id", tested=False).count()
+    assert reached <= 0.2 * queries.count() * embeddings.count()
+    rng = np.random.default_rng(4)
+    plane, _ = np.linalg.qr(rng.standard_normal((40, 2)))
+    rows = [(k, 0, (plane @ rng.uniform(-1, 1, 2) + rng.normal(0, 0.001, 40)).tolist()) for k in range(600)]
+    df = spark.createDataFrame(rows, POINTS)
+    turn = fit_rotation(df, df, "v")
+    assert np.allclose(turn @ turn.T, np.eye(40)) and np.allclose(np.linalg.norm(turn[2:] @ plane), 0, atol=0.01)
+    reached = exact_pairs(df, df, "v", 0.05, "id", tested=False).count()
+    truth = exact(rows, rows, 0.05)
+    assert found_pairs(df, df, "v", 0.05, "id") == truth and len(truth) <= reached <= 1.1 * len(truth) + 10
