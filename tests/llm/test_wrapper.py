@@ -1,3 +1,6 @@
+import re
+from collections import defaultdict
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -164,3 +167,93 @@ def test_odd_pages(spark):
     assert wrapper.main_texts(pages.limit(0)).count() == 0
     hosts = {r.host for r in wrapper.with_host(pages, "host").collect()}
     assert hosts == {"", "h.example"}
+
+
+ARTICLE = "<article><h1>Head {k}</h1><p>Text of story {k} that goes on</p>{more}</article>"
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "page no-comments", "content-with-sidebar", "wrap banner-free", "sidebar", "main-nav", "ad"])
+def test_what_holds_the_article_stays(name):
+    for shell in ('<div class="{n}">{a}</div>', '<section id="{n}"><div>{a}</div></section>', '<form role="form" class="{n}">{a}</form>'):
+        pages = ["<body><nav>menu</nav>" + shell.format(n=name, a=ARTICLE.format(k=k, more="")) + "</body>" for k in range(4)]
+        for wrapped in (None, own_wrapper(pages)):
+            assert wrapper.extract(pages[1], wrapped) == "Head 1 Text of story 1 that goes on"
+
+
+@pytest.mark.parametrize("name", ["notice-of-motion", "share-price", "ad hoc", "social-history", "no-ads", "alert-level-2 details"])
+def test_names_inside_an_article_are_read_whole(name):
+    page = ARTICLE.format(k=1, more=f'<div class="{name}">and more</div>')
+    assert wrapper.extract(page, None) == "Head 1 Text of story 1 that goes on and more"
+
+
+@pytest.mark.parametrize("name", ["comments", "comments-list", "cookie-notice", "share-buttons", "related posts", "ad-slot-3", "widget widget_text clearfix"])
+def test_names_of_other_parts(name):
+    page = ARTICLE.format(k=1, more=f'<div class="{name}">and more</div>')
+    assert wrapper.extract(page, None) == "Head 1 Text of story 1 that goes on"
+
+
+def test_comments_that_outweigh_the_article():
+    page = ARTICLE.format(k=1, more="<div class='comments'>" + "<p>I think so too</p>" * 30 + "</div>")
+    assert wrapper.extract(page, None) == "Head 1 Text of story 1 that goes on"
+
+
+def test_a_teaser_in_a_sidebar_is_not_the_article():
+    page = "<body><div><p>" + "The long story of this page. " * 9 + "</p></div><aside><article><p>Read this next</p></article></aside></body>"
+    assert "Read this next" not in wrapper.extract(page, None) and "long story" in wrapper.extract(page, None)
+
+
+def test_deep_pages():
+    page = "<div>" * 3000 + "deep <b>text</b>" + "</div>" * 3000 + "<article>" + "<div>" * 500 + "story" + "</div>" * 500 + " goes on</article>"
+    assert wrapper.extract(page, own_wrapper([page, page + "<p>x"])) == "story goes on"
+
+
+HEADS = ["<h2>Introduction</h2>", "<blockquote>To be or not</blockquote>"]
+
+
+def site(k, layout):
+    """One of three layouts; the last has a notice that nothing names."""
+    more = HEADS[0] + f"<p>part {k} of {k * 7}</p>" + HEADS[1] + ("<div>Read us in the app</div>" if layout == 2 else "")
+    return f"<html><body><div class='v{'abc'[layout]}'><div>Site</div>" + ARTICLE.format(k=k, more=more) + "</div></body></html>"
+
+
+def brute(rows):
+    """The query in plain Python: layouts as lists, references by sorting, and texts counted page by page."""
+    groups = defaultdict(dict)
+    key = lambda url, page: (m[1].lower() if (m := re.match(r"[A-Za-z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "")) else "", wrapper.layout_of(wrapper.parse(page)))
+    for _, url, page, h in rows:
+        groups[key(url, page)][h] = page
+    learned = {}
+    for g, pages in groups.items():
+        told = wrapper.induce([pages[h] for h in sorted(pages)[: wrapper.REFERENCES]])
+        good = set()
+        for sign in wrapper.constants(told):
+            have = 0
+            for page in pages.values():
+                order = [wrapper.parse(page)]
+                for node in order:
+                    order += [i for i in node.items if type(i) is wrapper.Node]
+                have += any(wrapper._sign(n.label, wrapper._own_text(n)) == sign for n in order)
+            if have >= wrapper.SUPPORT and have >= wrapper.SUPPORT_SHARE * len(pages):
+                good.add(sign)
+        learned[g] = wrapper.wrapper_of(told, good)
+    return sorted((i, url, wrapper.extract(page, learned[key(url, page)])) for i, url, page, _ in rows)
+
+
+def test_layouts_and_support(spark):
+    rows = [(k, f"http://h.example/{k}", site(k, k % 3)) for k in range(30)]
+    # equal on the references by chance, or on two pages only: no template
+    rows += [(100 + k, "http://two.example/", ARTICLE.format(k=k, more="<div>Equal on both</div>")) for k in range(2)]
+    rows += [(200 + k, "http://few.example/", ARTICLE.format(k=k, more=f"<div>{'Once' if k < 4 else k}</div>")) for k in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    hashes = {r.page_id: r.h for r in pages.selectExpr("page_id", "xxhash64(html) AS h").collect()}
+    found = sorted((r.page_id, r.url, r.text) for r in wrapper.main_texts(pages).collect())
+    assert found == brute([(*r, hashes[r[0]]) for r in rows])
+    for i, _, text in found[:30]:
+        assert text == f"Head {i} Text of story {i} that goes on Introduction part {i} of {i * 7} To be or not"
+    assert all("Equal on both" in text for i, _, text in found if 100 <= i < 200)
+    assert all("Once" in text for i, _, text in found if 200 <= i < 204)
+
+
+def test_query_equals_brute_force(spark, pages):
+    rows = [tuple(r) for r in pages.selectExpr("page_id", "url", "coalesce(html, '')", "xxhash64(coalesce(html, ''))").collect()]
+    assert sorted((r.page_id, r.url, r.text) for r in wrapper.main_texts(pages).collect()) == brute(rows)
