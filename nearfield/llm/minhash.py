@@ -7,6 +7,9 @@ close enough are candidates. The candidates' connected families then meet once,
 an inverted index of a family's shingles gives all exact intersections, so no link inside a family is
 missed. A family too large for one task is confirmed region by region instead.
 
+Regions that were too crowded for one task meet once more, with what is linked by then: where they hold several
+components still, all their sets meet part by part, and links between components are confirmed on whole sets.
+
 Exact copies are one set from the start, so a group of copies costs no more than one document.
 """
 
@@ -22,12 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nearfield.llm.common import (
-    bitmap,
     blocks,
     components,
     fresh,
     groups_of,
-    map_place,
+    marked,
     mixed,
     skewed_join,
     texts_of,
@@ -130,8 +132,9 @@ def _prefix(tree, depth: int):
     return F.substring("sig", tree * (4 * DEPTH) + 1, F.lit(4 * depth))
 
 
-def forest_regions(sets: DataFrame, limit: int | None = None) -> DataFrame:
-    """(tree, region, key): the sets of each region of two to ``limit`` sets.
+def forest_regions(sets: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(tree, region, key): the sets of each region of two to ``limit`` sets; and those of the regions of BASE
+    values that hold more, None if there are none.
 
     ``sets`` has key and sig. Starts with prefixes of BASE values. A region beyond the limit is dealt into
     parts by a hash, each with the region's first set, so that every set meets many others of the crowd,
@@ -140,7 +143,7 @@ def forest_regions(sets: DataFrame, limit: int | None = None) -> DataFrame:
     limit = limit or REGION_ROWS
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     rows = sets.select("key", "sig", trees).select("key", "tree", F.xxhash64(_prefix(F.col("tree"), BASE)).alias("region"))
-    found = []
+    found, crowded = [], None
     for depth in range(BASE, DEPTH + 1):
         sizes = rows.groupBy("tree", "region").agg(F.count("*").alias("n"), F.min("key").alias("least")).where("n > 1")
         sized = stored(skewed_join(rows, sizes, ["tree", "region"]), "regions")
@@ -148,6 +151,7 @@ def forest_regions(sets: DataFrame, limit: int | None = None) -> DataFrame:
         over = sized.where(F.col("n") > limit)
         if over.isEmpty():
             break
+        crowded = over.select("tree", "region", "key") if crowded is None else crowded
         part = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") * 2 / limit))
         dealt = over.select("tree", F.xxhash64("region", part).alias("region"), "key", "least")
         firsts = dealt.select("tree", "region", F.col("least").alias("key"))
@@ -158,16 +162,23 @@ def forest_regions(sets: DataFrame, limit: int | None = None) -> DataFrame:
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    return out, crowded
 
 
-def _spanning(close, n: int) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the graph in which ``close(i, others)`` tells which others i is linked to."""
+def _spanning(close, n: int, roots: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the graph in which ``close(i, others)`` tells which others i is linked to; between
+    components, if ``roots`` tells what is connected already."""
     left = np.arange(n)
     while len(left):
         queue, left = [int(left[0])], left[1:]
         while queue and len(left):
             i = queue.pop()
+            if roots is not None:
+                known = roots[left] == roots[i]
+                queue += left[known].tolist()
+                left = left[~known]
+                if not len(left):
+                    continue
             linked = close(i, left)
             for k in left[linked].tolist():
                 queue.append(k)
@@ -203,8 +214,9 @@ def _links(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["a", "b"])
 
 
-def exact_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
-    """Links that connect the sets with 100 * intersection >= percent * union, from all exact intersections."""
+def exact_links(sets: list[np.ndarray], percent: int, roots: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """Links that connect the sets with 100 * intersection >= percent * union, from all exact intersections;
+    those between components only, if ``roots`` tells these."""
     sizes = np.array([len(s) for s in sets])
     shingles, which = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -220,7 +232,7 @@ def exact_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int
         shared = np.bincount(posting[at], minlength=len(sets))[others]
         return 100 * shared >= percent * (sizes[i] + sizes[others] - shared)
 
-    yield from _spanning(close, len(sets))
+    yield from _spanning(close, len(sets), roots)
 
 
 def confirmed_links(units: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
@@ -260,23 +272,53 @@ def _units(families: DataFrame, regions: DataFrame, sets: DataFrame) -> DataFram
     return units.unionByName(cut.select(F.xxhash64("tree", "region", "root", *pair).alias("unit"), "key"))
 
 
+def crowd_links(crowded: DataFrame, found: DataFrame, sets: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between different components of ``found`` (node, root) in crowded regions, confirmed on
+    whole sets. A region's sets are dealt into parts, and each two parts meet in one task; regions that are of
+    one component, and equal regions of several trees, don't meet again."""
+    roots = found.select(F.col("node").alias("key"), "root")
+    rows = skewed_join(crowded, roots, ["key"], "left").withColumn("root", F.coalesce("root", "key"))
+    rows = skewed_join(rows, sets.select("key", F.col("n_shingles").alias("n")), ["key"])
+    rows = stored(rows.select("tree", "region", "key", "root", "n"), "crowded")
+    about = [F.count("*").alias("rows"), F.sum("n").alias("weight"), F.min("root").alias("low"), F.max("root").alias("high")]
+    about += [F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("content")]
+    open_ones = rows.groupBy("tree", "region").agg(*about).where("low <> high")
+    first = F.min(F.struct("tree", "region")).alias("of")
+    open_ones = open_ones.groupBy("rows", "weight", "low", "high", "content").agg(first).select("rows", "weight", "of.*")
+    inside = skewed_join(rows, open_ones, ["tree", "region"])
+    parts = F.greatest(F.ceil(F.col("rows") * 2 / REGION_ROWS), F.ceil(F.col("weight") * 2 / FAMILY_SHINGLES)).cast("int")
+    others = F.explode(F.sequence(F.lit(0), parts - 1))
+    cut = inside.withColumn("part", F.pmod(F.xxhash64("key"), parts).cast("int")).withColumn("other", others)
+    pair = [F.least("part", "other"), F.greatest("part", "other")]
+    units = cut.select(F.xxhash64("tree", "region", *pair).alias("unit"), "key", "root")
+    met = skewed_join(units, whole, ["key"]).select("unit", "key", "root", "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups_of(batches, 1):
+            keys, names = group.column("key").to_pylist(), group.column("root").to_pylist()
+            number = {name: k for k, name in enumerate(dict.fromkeys(names))}
+            if len(number) > 1:
+                values = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
+                known = np.array([number[name] for name in names])
+                yield _links([(keys[i], keys[k]) for i, k in exact_links(values, percent, known)])
+
+    return met.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a binary, b binary")
+
+
 def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """key and shingles of the documents whose doc_id is among those of ``wanted`` (and of a few others)."""
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, ["doc_id"]))  # 8 MB
-    place = map_place(["doc_id"]).alias("place")
+    mark = fresh(docs.select("doc_id", "text"), "_wanted")
+    held = marked(docs.select("doc_id", "text"), wanted, {"doc_id": "doc_id"}, mark).where(mark).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(sent.value, np.uint8)
         for batch in batches:
-            at = batch.column(1).to_numpy()
-            chosen = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            texts = texts_of(batch.column(0).filter(pa.array(chosen.astype(bool))))
+            texts = texts_of(batch.column(0))
             for lo, hi in blocks(texts):
                 sets = [s for s in shingle_sets(texts.slice(lo, hi - lo)) if len(s)]
                 arrays = [pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["key", "shingles"])
 
-    return docs.select("text", place).mapInArrow(run, "key binary, shingles binary")
+    return held.mapInArrow(run, "key binary, shingles binary")
 
 
 def _decided(docs: DataFrame, percent: int) -> DataFrame:
@@ -288,12 +330,21 @@ def _decided(docs: DataFrame, percent: int) -> DataFrame:
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")),
         "sets",
     )
-    regions = stored(forest_regions(sets), "forest")
+    regions, crowded = forest_regions(sets)
+    regions = stored(regions, "forest")
     families = components(candidate_links(regions, sets))
     units = stored(_units(families, regions, sets), "units")
     wanted = skewed_join(families.select(F.col("node").alias("key")), sets.select("key", "rep"), ["key"])
     whole = whole_sets(docs, wanted.select(F.col("rep").alias("doc_id"))).dropDuplicates(["key"])
-    found = components(confirmed_links(units, whole, percent)).withColumnRenamed("node", "key")
+    found = components(confirmed_links(units, whole, percent))
+    if crowded is not None:
+        nodes = crowded.select("key").distinct()
+        held = skewed_join(nodes, sets.select("key", "rep"), ["key"]).select(F.col("rep").alias("doc_id"))
+        all_whole = whole_sets(docs, stored(held, "wanted")).dropDuplicates(["key"])
+        more = stored(crowd_links(crowded, found, sets, all_whole, percent), "links")
+        if not more.isEmpty():
+            found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    found = found.withColumnRenamed("node", "key")
     reps = skewed_join(found, sets.select("key", "rep"), ["key"])
     least = reps.groupBy("root").agg(F.min("rep").alias("component_id"))
     reached = skewed_join(reps, least, ["root"]).select("key", "component_id")

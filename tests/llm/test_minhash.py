@@ -74,6 +74,20 @@ def test_crowded_regions(spark, monkeypatch, limits):
     assert found(docs) == expected(rows)
 
 
+@pytest.mark.parametrize("limits", [{"REGION_ROWS": 32}, {"REGION_ROWS": 64, "FAMILY_SHINGLES": 6000}])
+def test_links_inside_a_crowd_that_is_not_linked(spark, monkeypatch, limits):
+    """Sets that are all alike below the threshold, in regions beyond the limit, with planted pairs just above it."""
+    for name, value in limits.items():
+        monkeypatch.setattr(minhash, name, value)
+    passage = prose(1, 204)
+    texts = [f"{passage} {prose(1000 + k, 47)}" for k in range(400)]
+    texts += [f"{passage} {prose(1000 + k, 18)} {prose(5000 + k, 29)}" for k in range(40)]
+    rows = list(enumerate(texts))
+    want = expected(rows)
+    assert len({c for _, _, c in want}) == 400  # the planted pairs are linked, and nothing else
+    assert found(spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCUMENTS)) == want
+
+
 def test_deduplicated_keeps_one_of_each_group(odd):
     kept = minhash.deduplicated(clashing(odd))
     assert kept.columns == clashing(odd).columns
