@@ -1,8 +1,9 @@
 """Line deduplication with fuzzy matches: of lines that are nearly equal, only the first stays.
 
 DataFrame functions only. Equal lines are one by two hashes. Distinct lines get a MinHash signature of
-their character shingles, the first SHINGLE characters of each three words in a row (in text that hardly has
-spaces, the SHINGLE bytes from each byte on): each band hashes the shingles anew and keeps the
+their character shingles: of short lines the SHORT characters from each character on; of long ones the first
+SHINGLE characters of each three words in a row (in text that hardly has spaces, the SHINGLE bytes from each byte
+on), which one changed letter in many words hardly touches. Each band hashes the shingles anew and keeps the
 least and the greatest of one half of the hashes and the least of the other. Lines that agree in a band are
 candidates: of a small bucket all pairs, of a larger one each line with its neighbours in order of a hash,
 and with the first. Candidates are confirmed by the exact Jaccard similarity of their shingle sets. Lines of
@@ -20,14 +21,17 @@ from nearfield.llm.common import components, fresh, marked, skewed_join
 from nearfield.operators.skew import join_close
 from nearfield.scratch import stored
 
-#: Shorter lines (bytes without outer white space) are left alone: they recur by chance.
-MIN_BYTES = 24
+#: Two lines of fewer words and bytes together are short: compared by characters. Lines of up to LINE_WORDS[1]
+#: words and LINE_BYTES[1] bytes have such signatures, lines from LINE_WORDS[0] or LINE_BYTES[0] on the others
+#: (those between have both: similar lines differ by a quarter in size at most).
+SHORT, PAIR_WORDS, PAIR_BYTES = 5, 40, 800
+LINE_WORDS, LINE_BYTES = (16, 24), (350, 500)
 #: 12 characters reach over two words: lines of one language share few of them by chance.
 SHINGLE, BANDS, ROWS = 12, 8, 3  # the three values of a band are fixed in signatures()
 #: Lines of so many bytes a word have signatures from words, and from so many on, from bytes; those between
 #: have either. Two lines are compared by bytes if together they have more than their mean a word.
 WORDS_TO, BYTES_FROM = 20, 16
-_WORDS, _BYTES = 0, 1
+_WORDS, _BYTES, _CHARS = 0, 1, 2
 #: Each line of a bucket meets so many before it, so that buckets up to one more are compared pair by pair.
 NEIGHBOURS = 16
 #: A bucket that shows in this share of the band rows of every SAMPLED-th line, and there at least so
@@ -36,11 +40,11 @@ HOT_SHARE, SAMPLED, HOT_ROWS, PART_ROWS = 1e-4, 64, 64, 4096
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, pos and line, without outer white space, of the lines that count."""
+    """doc_id, text_hash, pos and line, without outer white space, of the lines that aren't blank."""
     text = F.coalesce("text", F.lit(""))
     each = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
     trimmed = each.select("doc_id", "text_hash", "pos", F.trim("line", F.lit(" \t\r")).alias("line"))
-    return trimmed.where(F.octet_length("line") >= MIN_BYTES)
+    return trimmed.where("line <> ''")
 
 
 def _from_word(words: str, at: Column) -> Column:
@@ -53,24 +57,44 @@ def _from_byte(line: str, at: Column) -> Column:
     return F.substring(F.col(line).cast("binary"), at + 1, F.lit(SHINGLE))
 
 
+def _from_char(line: str, at: Column) -> Column:
+    return F.substring(F.col(line), at + 1, F.lit(SHORT))
+
+
+def _last_char(line: str) -> Column:
+    """Where the last shingle by characters begins; a line of fewer has one, itself."""
+    return F.greatest(F.char_length(line) - SHORT, F.lit(0))
+
+
 def _split(line: str) -> Column:
     return F.split(line, " ", -1)
 
 
+def _is_short(size: Column, n_words: Column) -> Column:
+    return (n_words <= LINE_WORDS[1]) & (size <= LINE_BYTES[1])
+
+
+def _is_long(size: Column, n_words: Column) -> Column:
+    return (n_words >= LINE_WORDS[0]) | (size >= LINE_BYTES[0])
+
+
 def signatures(lines: DataFrame) -> DataFrame:
     """h1, kind, n and v0, v1, ...: the signatures of the distinct lines (those of h1, line); n is how often
     the line occurs."""
     split = lines.select("h1", "line", _split("line").alias("words"))
     size, n_words = F.octet_length("line"), F.size("words")
     some, other = F.lit(_WORDS), F.lit(_BYTES)
-    kinds = F.when(size < BYTES_FROM * n_words, F.array(some))
+    kinds = F.when(~_is_long(size, n_words), F.array().cast("array<int>")).when(size < BYTES_FROM * n_words, F.array(some))
     kinds = kinds.when(size <= WORDS_TO * n_words, F.array(some, other)).otherwise(F.array(other))
+    kinds = F.when(_is_short(size, n_words), F.array_append(kinds, F.lit(_CHARS))).otherwise(kinds)
     each = split.select("h1", "line", "words", F.explode(kinds).alias("kind"))
-    last = F.when(F.col("kind") == _WORDS, F.size("words") - 1).otherwise(F.octet_length("line") - SHINGLE)
+    last = F.when(F.col("kind") == _CHARS, _last_char("line")).when(F.col("kind") == _WORDS, F.size("words") - 1)
+    last = last.otherwise(F.octet_length("line") - SHINGLE)
     placed = each.select("h1", "line", "words", "kind", F.explode(F.sequence(F.lit(0), last)).alias("at"))
     at = F.col("at")
     by_word, by_byte = F.xxhash64(_from_word("words", at)), F.xxhash64(_from_byte("line", at))
-    hashed = placed.select("h1", "kind", "at", F.when(F.col("kind") == _WORDS, by_word).otherwise(by_byte).alias("hash"))
+    value = F.when(F.col("kind") == _CHARS, F.xxhash64(_from_char("line", at))).when(F.col("kind") == _WORDS, by_word)
+    hashed = placed.select("h1", "kind", "at", value.otherwise(by_byte).alias("hash"))
     # a hash of its own for each band; its two halves and two points give the band's three values
     closest = []
     for band in range(BANDS):
@@ -121,13 +145,16 @@ def crowd_pairs(crowd: DataFrame, sets: DataFrame, found: DataFrame, percent: in
 
     Shingles are put in order of how many of the lines have them, rarest first. Of two sets of n <= m shingles
     with 100 * intersection >= percent * union, one of the first n - 2 * percent * n / (100 + percent) + 1
-    of the smaller is among the first m - percent * m / 100 + 1 of the larger.
+    of the smaller is among the first m - percent * m / 100 + 1 of the larger. A shared shingle at places i and j
+    leaves room for min(i, j) common ones before it and as many after it as the shorter rest has; pairs for
+    which that isn't enough don't leave the join.
     """
     weights = found.groupBy("root").agg(F.count("*").alias("weight"))
     roots = skewed_join(found, weights, ["root"]).withColumnRenamed("node", "h1")
     known = sets.join(crowd, "h1", "left_semi").join(roots, "h1", "left")
-    by_word = F.when(F.col("size") <= WORDS_TO * F.col("n_words"), F.col("by_word"))
-    kinds = [F.struct(F.lit(kind).alias("kind"), c.alias("shingles")) for kind, c in ((_WORDS, by_word), (_BYTES, F.col("by_byte")))]
+    by_word = F.when((F.col("size") <= WORDS_TO * F.col("n_words")) & _is_long(F.col("size"), F.col("n_words")), F.col("by_word"))
+    by_kind = ((_WORDS, by_word), (_BYTES, F.col("by_byte")), (_CHARS, F.col("by_char")))
+    kinds = [F.struct(F.lit(kind).alias("kind"), c.alias("shingles")) for kind, c in by_kind]
     root, weight = F.coalesce("root", "h1").alias("root"), F.coalesce("weight", F.lit(1)).alias("weight")
     each = known.select("h1", root, weight, F.explode(F.array(*kinds)).alias("of")).select("h1", "root", "weight", "of.*")
     placed = stored(each.select("h1", "root", "weight", "kind", F.explode("shingles").alias("shingle")), "shingles")
@@ -138,7 +165,7 @@ def crowd_pairs(crowd: DataFrame, sets: DataFrame, found: DataFrame, percent: in
     probed = F.expr(f"m - ({percent} * m + 99) div 100 + 1").cast("int")
     indexed = F.expr(f"m - ({2 * percent} * m + {99 + percent}) div {100 + percent} + 1")
     first = ordered.select("*", F.posexplode(F.slice("rarest", F.lit(1), probed)).alias("at", "one"))
-    first = first.select("h1", "root", "weight", "kind", "m", F.col("one.shingle").alias("shingle"), (F.col("at") < indexed).alias("short"))
+    first = first.select("h1", "root", "weight", "kind", "m", F.col("one.shingle").alias("shingle"), "at", (F.col("at") < indexed).alias("short"))
     first = stored(first, "prefixes")
     # lines of one component needn't meet, so of each shingle's lines those of the largest one don't
     lists = first.groupBy("kind", "shingle").agg(
@@ -147,29 +174,34 @@ def crowd_pairs(crowd: DataFrame, sets: DataFrame, found: DataFrame, percent: in
     lists = lists.where("any AND lo < hi").select("kind", "shingle", F.col("most.root").alias("most"))
     rows = stored(skewed_join(first, lists, ["kind", "shingle"]).withColumn("main", F.col("root") == F.col("most")), "lists")
     keys = ["kind", "shingle"]
-    short = rows.where("short").select(*keys, F.col("h1").alias("a"), F.col("root").alias("root_a"), F.col("m").alias("m_a"), "main")
-    long = rows.select(*keys, F.col("h1").alias("b"), F.col("root").alias("root_b"), F.col("m").alias("m_b"), F.col("main").alias("main_b"))
+    short = rows.where("short").select(*keys, F.col("h1").alias("a"), F.col("root").alias("root_a"), F.col("m").alias("m_a"), F.col("at").alias("at_a"), "main")
+    long = rows.select(*keys, F.col("h1").alias("b"), F.col("root").alias("root_b"), F.col("m").alias("m_b"), F.col("at").alias("at_b"), F.col("main").alias("main_b"))
     order = F.struct("m_a", "a") < F.struct("m_b", "b")
     test = (F.col("root_a") != F.col("root_b")) & order & (100 * F.col("m_a") >= percent * F.col("m_b"))
+    room = F.least("at_a", "at_b") + F.least(F.col("m_a") - F.col("at_a"), F.col("m_b") - F.col("at_b"))
+    test = test & ((100 + percent) * room >= percent * (F.col("m_a") + F.col("m_b")))
     met = join_close(short.where("NOT main"), long, keys, test)
     met = met.unionByName(join_close(short.where("main"), long.where("NOT main_b"), keys, test))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def shingle_sets(lines: DataFrame) -> DataFrame:
-    """h1, size, n_words, by_word and by_byte: the sets of shingle hashes of the lines (h1, line); by_byte is
-    null for lines that are compared by words only."""
+    """h1, size, n_words, by_word, by_byte and by_char: the sets of shingle hashes of the lines (h1, line); null
+    for kinds that the line is not compared by."""
     # stored split: words that were computed here would be split anew for each shingle
     split = stored(lines.select("h1", "line", _split("line").alias("words")), "split")
     size, n_words = F.octet_length("line"), F.size("words")
     each_word = F.transform(F.sequence(F.lit(0), n_words - 1), lambda at: F.xxhash64(_from_word("words", at)))
     each_byte = F.transform(F.sequence(F.lit(0), size - SHINGLE), lambda at: F.xxhash64(_from_byte("line", at)))
+    each_char = F.transform(F.sequence(F.lit(0), _last_char("line")), lambda at: F.xxhash64(_from_char("line", at)))
+    long = _is_long(size, n_words)
     return split.select(
         "h1",
         size.alias("size"),
         n_words.alias("n_words"),
-        F.array_distinct(each_word).alias("by_word"),
-        F.when(size >= BYTES_FROM * n_words, F.array_distinct(each_byte)).alias("by_byte"),
+        F.when(long, F.array_distinct(each_word)).alias("by_word"),
+        F.when(long & (size >= BYTES_FROM * n_words), F.array_distinct(each_byte)).alias("by_byte"),
+        F.when(_is_short(size, n_words), F.array_distinct(each_char)).alias("by_char"),
     )
 
 
@@ -178,7 +210,9 @@ def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
     first, second = (sets.toDF(*[c if c == e else f"{c}_{e}" for c in (e, *sets.columns[1:])]) for e in ("a", "b"))
     both = skewed_join(skewed_join(pairs, first, ["a"]), second, ["b"])
     by_bytes = (F.col("size_a") + F.col("size_b")) * 2 > (WORDS_TO + BYTES_FROM) * (F.col("n_words_a") + F.col("n_words_b"))
-    own, other = (F.when(by_bytes, F.col(f"by_byte_{e}")).otherwise(F.col(f"by_word_{e}")) for e in ("a", "b"))
+    short = (F.col("n_words_a") + F.col("n_words_b") < PAIR_WORDS) & (F.col("size_a") + F.col("size_b") <= PAIR_BYTES)
+    long = [F.when(by_bytes, F.col(f"by_byte_{e}")).otherwise(F.col(f"by_word_{e}")) for e in ("a", "b")]
+    own, other = (F.when(short, F.col(f"by_char_{e}")).otherwise(c) for e, c in zip(("a", "b"), long, strict=True))
     found = both.select("a", "b", own.alias("sa"), other.alias("sb"))
     shared = found.withColumn("n", F.size(F.array_intersect("sa", "sb")))
     return shared.where(100 * F.col("n") >= percent * (F.size("sa") + F.size("sb") - F.col("n"))).select("a", "b")
@@ -196,8 +230,10 @@ def dropped_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     seen = marked(lines, wanted, {"h1": "h1"}).where("_set").drop("_set")
     seen = stored(seen.withColumn("h2", F.xxhash64(F.lit(1), "line")), "seen")
 
-    compared = seen.join(stored(ends.distinct(), "ends"), "h1", "left_semi")
-    sets = stored(shingle_sets(compared.groupBy("h1").agg(F.min("line").alias("line"))), "sets")
+    # one of equal lines first, so that no common line meets itself in the join
+    compared = seen.groupBy("h1").agg(F.min("line").alias("line"))
+    compared = skewed_join(compared, stored(ends.distinct(), "ends"), ["h1"], "left_semi")
+    sets = stored(shingle_sets(compared), "sets")
     links = stored(confirmed_pairs(pairs.select("a", "b"), sets, percent), "links")
     found = components(links)
     crowded = pairs.where("crowded")
@@ -220,8 +256,7 @@ def dropped_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` with ``text`` shortened by the lines that ``dropped_lines`` names, and n_dropped.
 
-    Null and empty texts stay as they are, as do lines of fewer than MIN_BYTES bytes. Rows of equal
-    doc_id and text are one document. Columns that are named like the new ones are replaced.
+    Null and empty texts stay as they are, as do blank lines. Rows of equal doc_id and text are one document. Columns that are named like the new ones are replaced.
     """
     lost = stored(dropped_lines(docs, percent), "dropped")
     hash_name, array_name = fresh(docs, "text_hash"), fresh(docs, "dropped")

@@ -11,13 +11,14 @@ def expected(rows):
     for n, (no_id, i, text) in enumerate(order):
         for place, line in enumerate(text.split("\n")):
             raw = line.strip(" \t\r").encode()
-            if len(raw) >= linededup.MIN_BYTES:
+            if raw:
                 first.setdefault(raw, (n, place))
                 seen.append((n, place, raw))
     lines = list(first)
     n = linededup.SHINGLE
     by_byte = [{raw[k : k + n] for k in range(len(raw) - n + 1)} for raw in lines]
     words = [raw.decode().split(" ") for raw in lines]
+    by_char = [{t[k : k + 5] for k in range(max(1, len(t) - 4))} for t in (raw.decode() for raw in lines)]
     by_word = [{" ".join([*w, "", ""][k : k + 3])[:n] for k in range(len(w))} for w in words]
     group = list(range(len(lines)))
 
@@ -30,6 +31,8 @@ def expected(rows):
         for b in range(a):
             bytes_, n_words = len(lines[a]) + len(lines[b]), len(words[a]) + len(words[b])
             sets = by_byte if 2 * bytes_ > 36 * n_words else by_word
+            if n_words < 40 and bytes_ <= 800:
+                sets = by_char
             shared = len(sets[a] & sets[b])
             if 100 * shared >= 80 * (len(sets[a]) + len(sets[b]) - shared):
                 group[root(a)] = root(b)
@@ -118,3 +121,33 @@ def test_no_python_on_the_way(spark, documents):
     plans = [linededup.signatures(lines), linededup.dropped_lines(documents), linededup.without_repeated_lines(documents)]
     for plan in plans:
         assert not re.search("Python|Arrow|Pandas|CartesianProduct|BroadcastNestedLoop", plan._jdf.queryExecution().toString())
+
+
+def test_one_letter_changed_in_lines_of_medium_length(spark):
+    """Against true Jaccard by characters, and nearly all of them caught."""
+    lines = [" ".join(re.sub("[0-9]", "", w) + "bcdefgh"[j % 7] for j, w in enumerate(prose(500 + k, 10 + k % 10).split())) for k in range(150)]
+    changed = [x[: (at := 5 + 7 * k % (len(x) - 9))] + "#" + x[at + 1 :] for k, x in enumerate(lines)]
+    rows = list(enumerate(lines + changed))
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCUMENTS)
+    check(docs, rows)
+    left = {r.doc_id for r in linededup.without_repeated_lines(docs).collect() if r.text}
+    assert sum(150 + k not in left for k in range(150)) >= 0.95 * 150
+
+
+def test_copies_of_short_lines(spark):
+    rows = [(1, "Yes.\n\nalpha\n  \nNo"), (2, "Yes.\nNo!\n\nalpha "), (3, "a\nb\na"), (4, " b")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCUMENTS)
+    check(docs, rows)
+    found = {r.doc_id: (r.text, r.n_dropped) for r in linededup.without_repeated_lines(docs).collect()}
+    assert found == {1: (rows[0][1], 0), 2: ("No!\n", 2), 3: ("a\nb", 1), 4: ("", 1)}
+
+
+def test_lines_about_the_border_of_short_and_long(spark):
+    lines = []
+    for k, n in enumerate([14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25, 26, 30]):
+        words = prose(700 + k, n).split()
+        lines += [" ".join(words), " ".join(words[:-1]), " ".join([*words, "more"]), " ".join(words[:-2] + ["x"])]
+        lines += [" ".join(w * 5 for w in words), " ".join(w * 5 for w in words[:-1])]
+    rows = list(enumerate(lines))
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCUMENTS)
+    check(docs, rows)
