@@ -220,7 +220,7 @@ _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
 def _aligned_blocks(docs: DataFrame, id: str, text: str, paths: tuple[str, str]) -> DataFrame:
-    """A row for each text, with its links as numbers of the block's pairs, and one more for each block, with
+    """A table with a row for each text, with its links as numbers of the block's pairs, and one more for each block, with
     the pairs and how often they occur in it."""
     with open(paths[0], encoding="utf-8") as a, open(paths[1], "rb") as b:
         sent = docs.sparkSession.sparkContext.broadcast((a.read(), b.read()))  # two vocabulary files
@@ -253,7 +253,9 @@ def _aligned_blocks(docs: DataFrame, id: str, text: str, paths: tuple[str, str])
                     yield pa.RecordBatch.from_arrays(row, names=schema.names)
                 number += 1
 
-    return docs.select(id, text).mapInArrow(run, schema)
+    rows = stored(docs.select(id, text).mapInArrow(run, schema), "aligned")
+    sent.destroy()
+    return rows
 
 
 def aligned(
@@ -268,7 +270,7 @@ def aligned(
     not spell byte by byte has no tokens: zeros and the empty string. Rows of equal or null ids are documents
     of their own, equal texts count as often as they occur, and only the two columns are read.
     """
-    rows = stored(_aligned_blocks(docs, id, text, paths or default_tokenizers()), "aligned")
+    rows = _aligned_blocks(docs, id, text, paths or default_tokenizers())
     listed = rows.where("a IS NOT NULL").select("block", F.posexplode(F.arrays_zip("a", "b", "n")).alias("slot", "p"))
     pairs = listed.select("block", "slot", "p.a", "p.b", "p.n")
     counts = pairs.groupBy("a", "b").agg(F.sum(F.col("n").cast("bigint")).alias("count"))

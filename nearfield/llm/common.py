@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from nearfield.scratch import stored
@@ -168,7 +169,7 @@ def components(links: DataFrame) -> DataFrame:
     a node of very many links is aggregated before it is shuffled.
     """
     links = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    links = stored(links, "links")
+    links, before = _stored_links(links)
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -176,20 +177,26 @@ def components(links: DataFrame) -> DataFrame:
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = skewed_join(large, least, ["u"]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        links, now = _stored_links(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         # stars that nothing changes any more: each node has one link, to a node that has none further
-        before, now = _summary(links), _summary(after)
-        links = after
         if before == now:
             break
+        before = now
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return stored(links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots), "components")
 
 
-def _summary(links: DataFrame) -> tuple:
+def _stored_links(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links written to a table, and a summary of them that is observed on the way."""
     parts = F.xxhash64("u", "v")
     low, high = F.sum(parts.bitwiseAND(0xFFFFFFFF)), F.sum(F.shiftrightunsigned(parts, 32))
-    return tuple(links.agg(F.count("*"), low, high).first())
+    metrics, seen = [F.count(F.lit(1)).alias("n"), low.alias("low"), high.alias("high")], Observation()
+    out = stored(links.observe(seen, *metrics), "links")
+    try:
+        found = seen.get
+    except Py4JJavaError:  # a plan that turns out empty loses its observation
+        found = {}
+    return out, tuple((found or out.agg(*metrics).first().asDict())[m] for m in ("n", "low", "high"))
 
 
 #: Bits of a map of row hashes (8 MB).
@@ -209,14 +216,6 @@ def _bitmaps(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def bitmap(rows: DataFrame, keys: list[str]) -> bytes:
-    """The map that has the bits of ``rows``; its size is fixed."""
-    out = bytearray(1 << (MAP_BITS - 3))
-    for r in _bitmaps(rows, keys).collect():
-        out[(r["_part"] - 1) * 4096 : r["_part"] * 4096] = r["_bits"]
-    return bytes(out)
-
-
 def marked(df: DataFrame, rows: DataFrame, keys: dict[str, str], name: str = "_set") -> DataFrame:
     """``df`` with a column telling whether its row may be among ``rows``, by equal keys (its column: that
     of ``rows``); false is sure. Nothing of ``df`` is shuffled. ``rows`` should be a stored table."""
