@@ -61,7 +61,8 @@ def join_close(
     crowded = counted.where(pairs > float(pair_side) ** 2).select(*keys, *parts)
 
     def dealt(df: DataFrame, own: str, other: str, here: str, there: str) -> DataFrame:
-        rows = df.join(crowded, keys, "left")
+        # like any summary, so that a crowded key's rows don't meet in one task before they are dealt
+        rows = join_summary(df, crowded, keys, "left").select(*df.columns, "__a", "__b")
         of = F.coalesce(F.col(own), F.lit(1))
         copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(other), F.lit(1)) - 1)
         salted = rows.withColumn(here, F.pmod(F.xxhash64(*df.columns), of)).withColumn(there, F.explode(copies))

@@ -24,6 +24,8 @@ from nearfield.sources import log
 CLUSTERING = [("snr", False), ("driftrate", False)]
 #: Folders of the hit table.
 BUCKETS = 64
+#: Columns of the tables that rows are looked up by.
+HIT_LOOKUPS, GROUP_LOOKUPS = ("observationgroup",), ("observationgroup", "source")
 
 BUCKET = T.StructField("bucket", T.IntegerType())
 VERSION = T.StructField("version", T.LongType())
@@ -86,13 +88,13 @@ def _versioned(rows: DataFrame, version: int | None) -> DataFrame:
 
 def append_hits(hits: DataFrame, path: str, version: int | None = None) -> None:
     """Append hits to the table, over those of equal keys and lower versions."""
-    log.append(clustered(_versioned(conform(hits, HITS), version)), path, "bucket")
+    log.append(clustered(_versioned(conform(hits, HITS), version)), path, "bucket", HIT_LOOKUPS)
 
 
 def append_groups(groups: DataFrame, path: str, version: int | None = None) -> None:
     """Append group rows to the table, over those of equal groups and lower versions."""
     rows = _versioned(conform(groups, GROUPS), version)
-    log.append(rows.hint("rebalance").sortWithinPartitions("observationgroup"), path)
+    log.append(rows.hint("rebalance").sortWithinPartitions("observationgroup"), path, looked_up=GROUP_LOOKUPS)
 
 
 def compact_hits(spark: SparkSession, path: str) -> bool:
@@ -102,10 +104,11 @@ def compact_hits(spark: SparkSession, path: str) -> bool:
     up (False). The old files stay until ``log.vacuum``.
     """
     merged = lambda rows: clustered(latest(rows.drop("bucket"), HIT_KEY, ["version"], keep_version=True))
-    return log.rewrite(spark, path, STORED_HITS, merged, "bucket")
+    return log.rewrite(spark, path, STORED_HITS, merged, "bucket", looked_up=HIT_LOOKUPS)
 
 
 def compact_groups(spark: SparkSession, path: str) -> bool:
     """The same for the group table, which is one part then."""
     merged = lambda rows: latest(rows, GROUP_KEY, ["version"], keep_version=True)
-    return log.rewrite(spark, path, STORED_GROUPS, lambda rows: merged(rows).hint("rebalance").sortWithinPartitions("observationgroup"))
+    ordered = lambda rows: merged(rows).hint("rebalance").sortWithinPartitions("observationgroup")
+    return log.rewrite(spark, path, STORED_GROUPS, ordered, looked_up=GROUP_LOOKUPS)

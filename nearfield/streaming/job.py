@@ -28,7 +28,7 @@ from nearfield.plans import detect
 from nearfield.plans.detect import GROUP, STREAM_RULE, Rule
 from nearfield.schema import GROUP_KEY, GROUPS, HIT_KEY, HITS
 from nearfield.sources import log
-from nearfield.sources.tables import BUCKET, bucket_of, clustered, conform
+from nearfield.sources.tables import BUCKET, GROUP_LOOKUPS, HIT_LOOKUPS, bucket_of, clustered, conform
 
 _BATCH = T.StructField("batch_id", T.LongType())
 _VERSION = T.StructField("version", T.LongType())
@@ -140,7 +140,7 @@ def _store(messages: DataFrame, batch_id: int, tables: Tables) -> dict:
         good = F.when(F.col("reason").isNull(), F.col(GROUP))
         metrics = [F.min(good).alias("low"), F.max(good).alias("high"), F.count(good).alias("hits"), F.count("reason").alias("rejects")]
         rows = good_hits(parsed.observe(seen, *metrics), *[f.name for f in _ORIGIN])
-        parts = log.write(clustered(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))), hits, "bucket")
+        parts = log.write(clustered(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))), hits, "bucket", HIT_LOOKUPS)
         note = _observed(seen, parsed, metrics)
         if note["rejects"]:
             aside = bad_messages(parsed).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -227,7 +227,7 @@ def _report(
             return
         seen, number, metrics = Observation(), now.number + 1, [F.count(F.lit(1)).alias("groups")]
         versioned = results.withColumns({"batch_id": F.lit(batch_id).cast("bigint"), "version": F.lit(number).cast("bigint")})
-        parts = log.write(versioned.observe(seen, *metrics), path)
+        parts = log.write(versioned.observe(seen, *metrics), path, looked_up=GROUP_LOOKUPS)
         about = {"writer": None if flushed else WRITER, "batch": batch_id, "note": _observed(seen, results, metrics)}
         try:
             log.commit(spark, path, parts, expected=now.number, **about)
@@ -277,8 +277,9 @@ def compact(spark: SparkSession, root: str, rule: Rule = STREAM_RULE, unused_for
     newest = log.snapshot(spark, tables.of("hits")).batch(WRITER)
     hits = lambda rows: clustered(latest(rows.drop("bucket"), HIT_KEY, VERSION, keep_version=True))
     reports = lambda rows: latest(rows, GROUP_KEY, ["version"], keep_version=True)
-    log.rewrite(spark, tables.of("hits"), STORED_HITS, hits, "bucket", before=newest)
-    log.rewrite(spark, tables.of("groups"), STORED_GROUPS, lambda rows: reports(rows).hint("rebalance").sortWithinPartitions(GROUP))
+    log.rewrite(spark, tables.of("hits"), STORED_HITS, hits, "bucket", newest, HIT_LOOKUPS)
+    ordered = lambda rows: reports(rows).hint("rebalance").sortWithinPartitions(GROUP)
+    log.rewrite(spark, tables.of("groups"), STORED_GROUPS, ordered, looked_up=GROUP_LOOKUPS)
     log.rewrite(spark, tables.of("rejects"), REJECTS, lambda rows: rows.hint("rebalance"))
     anchors = lambda rows: _in_buckets(rows.drop("bucket").dropDuplicates(HIT_KEY), "frequency")
     log.rewrite(spark, tables.anchors(rule), ANCHORS, anchors, "bucket")

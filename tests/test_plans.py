@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nearfield.operators import distance_pairs, lsh_semi_join, range_anti_join, range_pairs, range_semi_join
+from nearfield.operators.skew import join_close
 from nearfield.schema import HITS
 from nearfield.plans.detect import Rule, detect_anomalies, detection_funnel
 from nearfield.sources.tables import append_hits, read_hits
@@ -140,6 +141,28 @@ def test_a_hot_cell_is_split_over_tasks(spark, flat):
             spark.conf.unset(key)
 
 
+def test_rows_of_a_crowded_key_are_dealt_by_several_tasks(spark):
+    """Without broadcasts: the list of crowded keys is joined like a summary, so the hot key's rows are split."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "200k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        side = lambda n, name: spark.range(n).select(
+            F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias(name), F.md5(F.col("id").cast("string")).alias(name + "_text")
+        )
+        left, right = side(60_000, "a"), side(60, "b")
+        pairs = join_close(left, right, ["k"], F.col("a") % 10_000 == F.col("b"), pair_side=500)
+        assert pairs.count() == 48 * 6 + 12
+        plan = executed(pairs)
+        dealt = [line for line in plan.splitlines() if "SortMergeJoin" in line and "LeftOuter" in line]
+        assert dealt and any("skew=true" in line for line in dealt)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        for key in ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+
+
 def test_the_summary_is_one_row_per_cell(spark):
     """A right side of a hundred thousand equal rows is one row after the map side."""
     from nearfield.operators.axis import shared_axis
