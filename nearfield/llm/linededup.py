@@ -106,9 +106,13 @@ def signatures(lines: DataFrame) -> DataFrame:
 
 
 def bands(sig: DataFrame) -> DataFrame:
-    """h1, n and the hashes of its BANDS bands."""
-    keys = [F.hash("kind", *[f"v{ROWS * k + j}" for j in range(ROWS)]) for k in range(BANDS)]
-    return sig.select("h1", "n", F.array(*keys).alias("bands"))
+    """h1, n and the hashes of its bands: BANDS of ROWS values each; of signatures by characters, which lines of
+    one language share more of by chance, bands of one value more (so fewer of them)."""
+
+    def keys(rows: int) -> Column:
+        return F.array(*[F.hash("kind", *[f"v{k + j}" for j in range(rows)]) for k in range(0, BANDS * ROWS, rows)])
+
+    return sig.select("h1", "n", F.when(F.col("kind") == _CHARS, keys(ROWS + 1)).otherwise(keys(ROWS)).alias("bands"))
 
 
 def candidate_pairs(banded: DataFrame) -> DataFrame:
@@ -207,17 +211,30 @@ def shingle_sets(lines: DataFrame) -> DataFrame:
 
 def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union of their shingle sets (``shingle_sets``)."""
+    sizes = sets.select("h1", "size", "n_words", *[F.size(c).alias(f"m_{c}") for c in ("by_word", "by_byte", "by_char")])
+    pairs = _of_similar_size(pairs, stored(sizes, "sizes"), percent)
     first, second = (sets.toDF(*[c if c == e else f"{c}_{e}" for c in (e, *sets.columns[1:])]) for e in ("a", "b"))
     both = skewed_join(skewed_join(pairs, first, ["a"]), second, ["b"])
-    by_bytes = (F.col("size_a") + F.col("size_b")) * 2 > (WORDS_TO + BYTES_FROM) * (F.col("n_words_a") + F.col("n_words_b"))
-    short = (F.col("n_words_a") + F.col("n_words_b") < PAIR_WORDS) & (F.col("size_a") + F.col("size_b") <= PAIR_BYTES)
-    long = [F.when(by_bytes, F.col(f"by_byte_{e}")).otherwise(F.col(f"by_word_{e}")) for e in ("a", "b")]
-    own, other = (F.when(short, F.col(f"by_char_{e}")).otherwise(c) for e, c in zip(("a", "b"), long, strict=True))
-    found = both.select("a", "b", own.alias("sa"), other.alias("sb"))
+    found = both.select("a", "b", *_compared("by"))
     shared = found.withColumn("n", F.size(F.array_intersect("sa", "sb")))
     return shared.where(100 * F.col("n") >= percent * (F.size("sa") + F.size("sb") - F.col("n"))).select("a", "b")
 
 
+def _compared(prefix: str) -> list[Column]:
+    """sa and sb: of two lines' columns by kind those of the kind that the pair is compared by."""
+    by_bytes = (F.col("size_a") + F.col("size_b")) * 2 > (WORDS_TO + BYTES_FROM) * (F.col("n_words_a") + F.col("n_words_b"))
+    short = (F.col("n_words_a") + F.col("n_words_b") < PAIR_WORDS) & (F.col("size_a") + F.col("size_b") <= PAIR_BYTES)
+    long = [F.when(by_bytes, F.col(f"{prefix}_byte_{e}")).otherwise(F.col(f"{prefix}_word_{e}")) for e in ("a", "b")]
+    return [F.when(short, F.col(f"{prefix}_char_{e}")).otherwise(c).alias(f"s{e}") for e, c in zip(("a", "b"), long, strict=True)]
+
+
+def _of_similar_size(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets differ so little in size that they can be similar enough."""
+    first, second = (sizes.toDF(*[c if c == e else f"{c}_{e}" for c in (e, *sizes.columns[1:])]) for e in ("a", "b"))
+    both = skewed_join(skewed_join(pairs, first, ["a"]), second, ["b"]).select("a", "b", *_compared("m_by"))
+    return both.where(100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")).select("a", "b")
+
+
 def dropped_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, text_hash and dropped: the places (from 0) of the lines that go, for documents that have any."""
     lines = _lines(docs).withColumn("h1", F.xxhash64("line"))

@@ -228,6 +228,7 @@ def proposed(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
                         end = b
                 counts.append([len(spans[k]) for k in BASE_KINDS])
                 bases.append(_joined(base))
+                more.sort(key=lambda c: (EXTRA_KINDS.index(c["kind"]), c["start"]))
                 proposals.append(more)
             numbers = np.array(counts, np.int64).reshape(-1, len(BASE_KINDS))
             out = [batch.column(0), *(pa.array(numbers[:, k]) for k in range(len(BASE_KINDS)))]
@@ -299,8 +300,8 @@ def train(patterns: dict[str, int], ridge: float = 0.1) -> Callable[[str], float
 def private_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", accept: float = 0.5) -> DataFrame:
     """For each row: id, n_email, n_ip, n_card, n_phone, n_more, base_sha256, spans.
 
-    ``spans`` joins kind:start:end of the base kinds in their order, then of the accepted further spans
-    in order of the text. Null and empty texts have none. Repeated rows get equal results.
+    ``spans`` joins kind:start:end of the base kinds in their order, then of the accepted further spans, by
+    kind and then start like those. Null and empty texts have none. Repeated rows get equal results.
     """
     found = stored(proposed(docs, id, text), "pii")
     each = found.select(F.explode("candidates.pattern").alias("pattern"))
