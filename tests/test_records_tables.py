@@ -2,6 +2,8 @@ import json
 import random
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from nearfield.functions.display import GROUP_PAGE, group_records, hit_records, hits_json
@@ -10,7 +12,18 @@ from nearfield.operators import latest
 from nearfield.plans import lookups
 from nearfield.schema import GROUPS, HIT_KEY, HITS
 from nearfield.sources import log
-from nearfield.sources.tables import STORED_HITS, append_groups, append_hits, compact_hits, from_rows, read_groups, read_hits
+from nearfield.operators import range_semi_join
+from nearfield.sources.tables import (
+    STORED_HITS,
+    append_groups,
+    append_hits,
+    compact_hits,
+    from_rows,
+    read_groups,
+    read_hits,
+    read_hits_within,
+    stored_semi_join,
+)
 
 HIT = (2, 1, 77.25, 31.5, 0.125, 77.5)
 GROUP = (2, 1, "Canopus", 811.5, "6.4", "-52.7", *[f"scan-{i}.dat" for i in range(1, 7)])
@@ -163,3 +176,39 @@ def test_filters_on_the_key_go_below_the_upsert(spark, tmp_path):
     plan = newest._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(snr,50.0)" in plan and "EqualTo(observationorder,1)" in plan
     assert "Window" not in plan
+
+
+def test_a_narrow_span_opens_few_files(spark, tmp_path):
+    """Slices by frequency and strength: files read for a narrow span, and the same rows as from all."""
+    path = str(tmp_path / "hits")
+    part = lambda k, n: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(n))
+    made = spark.range(20_000).select(
+        part(1, 3).cast("int").alias("observationgroup"),
+        (1 + part(2, 6)).cast("int").alias("observationorder"),
+        (part(3, 100_000) / 10).alias("frequency"),
+        (part(4, 1000) / 10).alias("snr"),
+        F.lit(0.5).alias("driftrate"),
+        F.lit(0.0).alias("uncorrectedfrequency"),
+    )
+    append_hits(made, path, version=1)
+    append_hits(made.where("observationorder = 1").withColumn("uncorrectedfrequency", F.lit(1.0)), path, version=2)
+    append_hits(from_rows(spark, [(1, 1, 5e7, 30.0, 0.5, 0.0), (2, 1, 3.0, 2e6, 0.5, 0.0)]), path, version=3)
+    before = rows(read_hits(spark, path))
+    assert compact_hits(spark, path, curve=True) and not compact_hits(spark, path, curve=True)
+    assert rows(read_hits(spark, path)) == before
+    within = {"frequency": (5000.0, 5100.0), "snr": (10.0, 15.0)}
+    wanted = [r for r in before if 5000 <= r[2] <= 5100 and 10 <= r[3] <= 15]
+    some = read_hits_within(spark, path, within)
+    assert rows(some) == wanted and len(wanted) > 3
+    everything = len(log.scan(spark, path, STORED_HITS).inputFiles())
+    assert everything >= 3 * 16 and len(some.inputFiles()) <= 0.2 * everything
+    assert rows(read_hits_within(spark, path, {"frequency": (4e7, 6e7)})) == [(1, 1, 5e7, 30.0, 0.5, 0.0)]
+    right = spark.createDataFrame([(0, 700.0), (1, 800.0)], "observationgroup int, frequency double")
+    found = stored_semi_join(spark, path, right, 10.0, 1, by=["observationgroup"])
+    hits = read_hits(spark, path).where("observationorder = 1")
+    assert rows(found) == rows(range_semi_join(hits, right, "frequency", 10.0, by=["observationgroup"])) != []
+    append_hits(from_rows(spark, [(1, 1, 799.0, 99.0, 0.5, 9.0)]), path, version=4)  # not in slices, still found
+    assert (1, 1, 799.0, 99.0, 0.5, 9.0) in rows(stored_semi_join(spark, path, right, 10.0, 1, by=["observationgroup"]))
+    assert rows(stored_semi_join(spark, path, right.limit(0), 10.0, 1)) == []
+    with pytest.raises(ValueError):
+        read_hits_within(spark, path, {"driftrate": (0, 1)})
