@@ -16,11 +16,15 @@ from nearfield.scratch import stored
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. A null text is scored as an empty one; rows of equal text are
+    decided alike; an empty table stays empty."""
     return quality.good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which no text is left go; n_chars follows the text."""
+    """Documents of which no text is left go; n_chars follows the text. Null, empty and blank texts stay as they
+    are; rows of equal doc_id and text are one document, and of equal lines the one of the smallest doc_id and
+    place stays (null ids come last)."""
     out = linededup.documents_without_repeats(docs)
     if "n_chars" in out.columns:
         kind = out.schema["n_chars"].dataType
@@ -30,14 +34,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group the document of the smallest doc_id stays, once if its row repeats. Texts without words are
+    in no group; a row without doc_id stays only if its group has no other."""
     return minhash.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark item go; null and empty texts hold none. Rows of equal doc_id and text are
+    decided alike; an empty benchmark lets all pass."""
     return decontam.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A null or empty text is the end id alone; rows that repeat are packed as often as they occur."""
     return packing.pack_documents(docs)
 
 
