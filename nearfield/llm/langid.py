@@ -28,6 +28,8 @@ _MASK = np.uint64((1 << 21) - 1)
 EVIDENCE_CHARS = 60
 
 
+#: Documents of a language in the sample from which on some are held back.
+ENOUGH = 40
 _LETTERS: list[np.ndarray] = []
 
 
@@ -169,25 +171,29 @@ def _estimate(languages: list[str], rows: np.ndarray) -> tuple[tuple[Table, ...]
     return tuple(tables), floor
 
 
-def _training(docs: DataFrame, per_language: int, max_chars: int) -> tuple[list[str], DataFrame]:
-    """The languages, and a sample of about ``per_language`` documents and ``max_chars`` characters each."""
+def _training(docs: DataFrame, per_language: int, max_chars: int) -> tuple[dict[str, float], DataFrame]:
+    """A sample of about ``per_language`` documents and ``max_chars`` characters of each language, and how many
+    documents of each language it should have."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = known.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
-    found = {r["lang"]: min(1.0, per_language / r["n"], max_chars / max(1, r["chars"])) for r in sizes.collect()}
+    rows = {r["lang"]: r for r in sizes.collect()}
+    found = {k: min(1.0, per_language / r["n"], max_chars / max(1, r["chars"])) for k, r in rows.items()}
     if not found:
-        return [], known.limit(0)
+        return {}, known.limit(0)
     share = F.create_map(*[F.lit(v) for pair in found.items() for v in pair])[F.col("lang")]
     drawn = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) < share * 1_000_000
-    return sorted(found), known.where(drawn).select("doc_id", "text", "lang")
+    return {k: rows[k]["n"] * found[k] for k in sorted(found)}, known.where(drawn).select("doc_id", "text", "lang")
 
 
 def fit(docs: DataFrame, per_language: int = 3000, max_chars: int = 6_000_000) -> LanguageModel:
     """Models of all languages in ``lang``, from a bounded sample of the labelled documents.
 
     The sample is drawn by a hash of doc_id; its n-grams are counted on the executors. One document in
-    eight of the sample is kept for the calibration. Null texts and languages are left out.
+    eight of the sample is kept for the calibration, of languages that have ENOUGH documents in it; of
+    others all are counted. Null texts and languages are left out.
     """
-    languages, sample = _training(docs, per_language, max_chars)
+    drawn, sample = _training(docs, per_language, max_chars)
+    languages = list(drawn)
     number = {name: k for k, name in enumerate(languages)}
     if not languages:
         empty = np.zeros(0)
@@ -210,7 +216,8 @@ def fit(docs: DataFrame, per_language: int = 3000, max_chars: int = 6_000_000) -
                 arrays = [pa.array(k[starts].astype(np.int64)) for k in keys] + [pa.array(n)]
                 yield pa.RecordBatch.from_arrays(arrays, ["lang", "first", "low", "count"])
 
-    held = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(8)) == 0
+    common = [name for name, n in drawn.items() if n >= ENOUGH]
+    held = (F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(8)) == 0) & F.col("lang").isin(common)
     counted = sample.where(~held).select("text", "lang").mapInArrow(count, "lang long, first long, low long, count long")
     # as many rows as the bounded sample has distinct n-grams at most
     rows = counted.groupBy("lang", "first", "low").agg(F.sum("count").alias("count")).toArrow()

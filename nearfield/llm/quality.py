@@ -63,7 +63,8 @@ class _Compressors:
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_bytes: int) -> list[tuple[int, str]]:
     """At most ``per_class`` whole texts of each label, of at most ``max_bytes`` a label in all.
 
-    They are those of the smallest hashes of doc_id. Documents with null or contradicting labels don't
+    They are those of the smallest hashes of doc_id; a text that alone exceeds ``max_bytes`` is passed over,
+    so that it doesn't leave its label without any. Documents with null or contradicting labels don't
     count; of several texts of one doc_id the smallest does.
     """
     clear = (
@@ -80,6 +81,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_byte
         .join(chosen, "doc_id")
         .groupBy("doc_id", "_quality", "_order")
         .agg(F.min("text").alias("text"))
+        .where(F.octet_length("text") <= max_bytes)
     )
     so_far = Window.partitionBy("_quality").orderBy("_order", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     bounded = texts.withColumn("_bytes", F.sum(F.octet_length("text")).over(so_far)).where(F.col("_bytes") <= max_bytes)

@@ -99,3 +99,14 @@ def test_symbols():
     row, text = langid.symbols(["Ab, c!", "", "  É1é"])
     assert [chr(c) if c > 1 else "_" for c in row.tolist()] == list("___ab c ______é é")
     assert text.tolist() == [0] * 8 + [1] * 3 + [2] * 6
+
+
+def test_a_rare_language_is_counted_whole(spark):
+    """Three documents, all of which would be held back for the calibration."""
+    held = [r.id for r in spark.range(2000).selectExpr("id", "pmod(xxhash64('calibrate', id), 8) AS k").where("k = 0").limit(3).collect()]
+    rows = [(i, "zyx wvu tsr qpo zyxw vuts rqpo " * 8, "zz") for i in held]
+    rows += [(3000 + k, f"the cat and the dog went home number {k} ", "en") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    found = {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()}
+    assert all(found[i] == "zz" for i in held) and sum(found[3000 + k] == "en" for k in range(60)) == 60

@@ -56,3 +56,11 @@ def test_the_sample_is_bounded(spark):
     assert [sum(q == c for q, _ in sample) for c in (0, 1)] == [7, 7]
     sample = quality.labelled_sample(docs, labels, per_class=50, max_bytes=2000)
     assert all(0 < sum(len(t) for q, t in sample if q == c) <= 2000 for c in (0, 1))
+
+
+def test_a_text_beyond_the_bound_does_not_empty_its_label(spark):
+    first = spark.range(40).selectExpr("id", "xxhash64(id) AS h").orderBy("h").first().id
+    docs = spark.createDataFrame([(k, "long " * 5000 if k == first else f"text {k}") for k in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1 if k == first else k % 2) for k in range(40)], "doc_id long, quality int")
+    sample = quality.labelled_sample(docs, labels, per_class=50, max_bytes=2000)
+    assert {q for q, _ in sample} == {0, 1} and len(sample) >= 38
