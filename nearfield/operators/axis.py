@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import numbers
+from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -147,10 +148,17 @@ def _place(position: Column) -> Column:
     return F.when(position < 0, -place).otherwise(place)
 
 
+def _aside(position: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(position)``, as a function's body that stays out of the code generated for the row. Far positions are
+    rare, and with their arithmetic spelled out for several axes that code grows beyond what the JVM compiles.
+    """
+    return F.get(F.transform(F.array(position), of), 0)
+
+
 def far_cell(position: Column, width: float, far: FarCells) -> Column:
     """The cell of a finite double position."""
     ratio = position / F.lit(width)
-    run = F.shiftright(_place(position), _RUN_BITS)
+    run = _aside(position, lambda x: F.shiftright(_place(x), _RUN_BITS))
     return F.when(F.abs(ratio) < far.limit, F.floor(ratio)).when(ratio.isNotNull(), run)
 
 
@@ -158,8 +166,8 @@ def far_cells(position: Column, width: float, reach: float, far: FarCells) -> Co
     """The cells of all finite double positions at most ``reach`` away, an array."""
     ratio, room = position / F.lit(width), F.lit(reach)
     by_width = F.sequence(F.floor((position - room) / F.lit(width)), F.floor((position + room) / F.lit(width)))
-    place = _place(position)
-    by_place = F.sequence(F.shiftright(place - far.reach, _RUN_BITS), F.shiftright(place + far.reach, _RUN_BITS))
+    runs = lambda place: F.sequence(F.shiftright(place - far.reach, _RUN_BITS), F.shiftright(place + far.reach, _RUN_BITS))
+    by_place = _aside(position, lambda x: F.get(F.transform(F.array(_place(x)), runs), 0))
     size = F.abs(ratio)
     return (
         F.when(size < far.limit - _OVERLAP, by_width)

@@ -6,14 +6,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders made by this program and not removed yet.
+_MADE: list[str] = []
+
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the session's ``spark.checkpoint.dir``, else under its warehouse.
 
-    Both are shared by all executors of a cluster; a folder of one machine is never used.
+    Both should be shared by all executors of a cluster. The warehouse is the driver's own folder unless it is
+    set, so on a cluster set one of them.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -21,3 +27,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> int:
+    """Removes the scratch folders made so far, and returns how many. Results that are read from them lazily
+    must have been written or collected before."""
+    for path in (made := _MADE[:]):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _MADE.remove(path)
+    return len(made)

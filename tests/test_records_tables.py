@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from pyspark.sql import functions as F
 
@@ -212,3 +213,16 @@ def test_a_narrow_span_opens_few_files(spark, tmp_path):
     assert rows(stored_semi_join(spark, path, right.limit(0), 10.0, 1)) == []
     with pytest.raises(ValueError):
         read_hits_within(spark, path, {"driftrate": (0, 1)})
+
+
+def test_scratch_folders_can_be_removed(spark):
+    from nearfield import scratch
+
+    table = scratch.stored(spark.range(3), "some")
+    path = scratch._MADE[-1]
+    assert table.count() == 3 and spark.read.parquet(path).count() == 3
+    kept, scratch._MADE[:] = scratch._MADE[:-1], [path]
+    assert scratch.clean(spark) == 1 and scratch._MADE == []
+    scratch._MADE[:] = kept  # other tests' tables
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
