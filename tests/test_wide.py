@@ -168,3 +168,25 @@ def test_share_of_pairs_that_reach_the_whole_distance(spark, embeddings):
     reached = exact_pairs(df, df, "v", 0.05, "id", tested=False).count()
     truth = exact(rows, rows, 0.05)
     assert found_pairs(df, df, "v", 0.05, "id") == truth and len(truth) <= reached <= 1.1 * len(truth) + 10
+
+
+def test_exact_semi_join_misses_nothing(spark, embeddings):
+    """Buckets that hardly any near pair shares: what they miss is found among all others, part by part."""
+    points = embeddings.where("vec_id < 600")
+    rows = points.orderBy("vec_id").toPandas()
+    vectors = np.stack(rows["embedding"]).astype(float)
+    far = np.linalg.norm(vectors[:, None] - vectors[None], axis=2) + 9 * np.eye(len(vectors))
+    truth = set(rows["vec_id"][(far < 1.1).any(axis=1)])
+    for table, side in ((Table(64, 1024, 1, 1), 100), (Table(64, 2, 1, 1), 100), (Table(64, 1024, 1, 1), 10_000)):
+        got = wide_semi_join(points, points, "embedding", 1.1, other="vec_id", table=table, exact=True, block_rows=side)
+        assert {r.vec_id for r in got.collect()} == truth and len(truth) > 100
+
+
+def test_pairs_are_tested_by_blocks(spark, embeddings):
+    """No row meets another one in a join of the JVM, and settings weigh copies of rows against pairs."""
+    queries = embeddings.where("vec_id % 20 = 0")
+    plan = exact_pairs(queries, embeddings, "embedding", 1.1, "vec_id")._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "zip_with" not in plan
+    vectors = np.stack(embeddings.toPandas()["embedding"]).astype(float)[:500]
+    many, few = fit(vectors, vectors, 1.1, 0.98), fit(vectors, vectors, 1.1, 0.98, copy=2_000 / 100_000)
+    assert few.left + few.right < (many.left + many.right) / 10
