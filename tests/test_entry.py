@@ -69,3 +69,9 @@ def test_lsh_finds_nearly_all_exact_matches(spark, testdata):
     exact = exact.select("observationgroup", *[exact[f"{k}_1"].alias(k) for k in keys[1:]]).distinct()
     assert found.join(exact, keys, "left_anti").count() == 0
     assert exact.join(found, keys, "left_anti").count() <= 0.01 * exact.count()
+
+
+def test_semi_join_of_embeddings_asks_for_all_of_them(spark, testdata):
+    found = entry.queries()["distance_semi_lsh_arrays"](spark, "/root/testdata/sf0.01")
+    assert {r[0] % 20 for r in found.select("vec_id").collect()} - {0}
+    assert "vec_id % 20" not in entry.oracle_sql()["distance_semi_lsh_arrays"]
