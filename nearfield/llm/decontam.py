@@ -3,9 +3,8 @@
 Passages are windows of WINDOW words. Their TF-IDF vectors, over the words of the benchmark that are not
 everywhere, are projected on the leading right singular vectors of the matrix of all passages together
 with the benchmark's own. A randomised SVD finds those: random directions are multiplied by the matrix
-and its transpose in two distributed passes over a sample of bounded size, whose partial sums have a fixed
-size. Windows of high cosine
-with an item are candidates; a longest common subsequence of words, and for partial ones the item's
+and its transpose in two distributed passes over all passages, whose partial sums have a fixed
+size. Windows of high cosine with an item are candidates; a longest common subsequence of words, and for partial ones the item's
 answer, decide. Benchmark items are searched in blocks; words are counted over all passages, and all are searched.
 """
 
@@ -31,9 +30,6 @@ WINDOW, STEP, SEGMENT = 64, 32, 48
 COMMON, KEPT = 0.02, 8
 #: Parts of items searched at once, and dimensions of their latent space.
 ITEM_BLOCK, RANK, OVERSAMPLE = 256, 256, 16
-#: Passages that the latent space is fitted on, about: documents are drawn for it by a hash. All passages
-#: count for the words' weights, and all are searched.
-FIT_PASSAGES = 200_000
 #: Steps of a text in one row of occurrences.
 ROW_STEPS = 2048
 #: Weight of the benchmark's own rows in the decomposition, against the weight of all passages.
@@ -401,8 +397,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, answer: str | None = None, cosi
                 own = np.unique(np.searchsorted(words, item.words[at : at + size]))
                 few = own[np.argsort(counts[own], kind="stable")[:KEPT]]
                 parts.append((item.number, np.union1d(few, own[counts[own] <= COMMON * total])))
-        drawn = F.pmod(F.xxhash64(F.lit("fit"), "doc_id", "text_hash"), F.lit(1_000_000))
-        sample = found.where(drawn < min(1.0, FIT_PASSAGES / max(1, total)) * 1_000_000)
         hits = None
         for lo in range(0, len(parts), ITEM_BLOCK):
             some = parts[lo : lo + ITEM_BLOCK]
@@ -414,7 +408,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, answer: str | None = None, cosi
             for k, (_, p) in enumerate(some):
                 own[k, place[p]] = weights[place[p]]
             own /= np.linalg.norm(own, axis=1, keepdims=True)
-            basis = latent_basis(sample, place, weights, own)
+            basis = latent_basis(found, place, weights, own)
             latent = basis.T @ own.T
             queries = basis @ (latent / np.linalg.norm(latent, axis=0))
             block = candidates(found, place, weights, queries, [i for i, _ in some], cosine)
