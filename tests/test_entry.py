@@ -75,3 +75,27 @@ def test_semi_join_of_embeddings_asks_for_all_of_them(spark, testdata):
     found = entry.queries()["distance_semi_lsh_arrays"](spark, "/root/testdata/sf0.01")
     assert {r[0] % 20 for r in found.select("vec_id").collect()} - {0}
     assert "vec_id % 20" not in entry.oracle_sql()["distance_semi_lsh_arrays"]
+
+
+def test_messages_are_encoded_after_they_are_dealt(spark, testdata):
+    """The pass that samples the ends of ranges makes no messages."""
+    dealt = entry.messages_by_group(spark, testdata, 4)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange rangepartitioning")
+    assert "cast(frequency" in above and "cast(frequency" not in below
+    every = entry.messages(spark, testdata).select("value")
+    assert dealt.exceptAll(every).isEmpty() and every.exceptAll(dealt).isEmpty()
+
+
+def test_late_messages_are_those_of_one_order(spark, tmp_path):
+    """Also where fields are null, which leaves no place in the message."""
+    shape = "l_suppkey bigint, l_linenumber int, l_extendedprice double, l_quantity double, l_discount double, l_tax double"
+    rows = [(g, o, p, 1.0, 0.1, 0.0) for g in (1, 2, None) for o in (1, 2, 3, None) for p in (20.0, 2.0, None)]
+    spark.createDataFrame(rows, shape).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, 7 * k) for k in range(7, 107, 10)], "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    every = [r["value"] for r in entry.messages(spark, str(tmp_path)).collect()]
+    early, late = ([r["value"] for r in part.collect()] for part in entry.early_and_late(spark, str(tmp_path)))
+    is_late = lambda v: (v.split(";") + [""] * 3)[2] == "2"
+    assert sorted(early + late) == sorted(every) and all(map(is_late, late)) and not any(map(is_late, early))
+    for part in entry.early_and_late(spark, str(tmp_path)):
+        assert "split" not in part._jdf.queryExecution().optimizedPlan().toString()

@@ -78,6 +78,20 @@ def test_bad_messages_are_kept_with_a_reason(spark):
     assert sorted(reasons) == ["empty value", "no value"] + ["not a number"] * 4 + ["too few fields"]
 
 
+def test_numbers_that_begin_with_letters(spark):
+    values = [f"1;50;3;{v};30.0;0.25;1" for v in ("x", "_1", "Infinity", "-inf", "inf", "NaN", "nan", "1e3", "+2", " 7", "", "I", "é")]
+    found = {r["value"].split(";")[3]: r["reason"] for r in parse_hits(spark.createDataFrame([(v,) for v in values], "value string")).collect()}
+    endless, bad = dict.fromkeys(("Infinity", "-inf", "inf", "NaN", "nan"), "not finite"), dict.fromkeys(("x", "_1", "", "I", "é"), "not a number")
+    assert found == {**endless, **bad, "1e3": None, "+2": None, " 7": None}
+
+
+def test_a_message_is_read_once(spark):
+    parsed = parse_hits(spark.createDataFrame([("1;50;3;1.0;2.0;3.0;4.0",)], "value string"))
+    for out in (good_hits(parsed), bad_messages(parsed)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"as double", plan)) == 4 and plan.count("not finite") == 1
+
+
 def test_hit_table(spark, tmp_path):
     path = str(tmp_path / "hits")
     hits = some_hits(spark)
