@@ -201,6 +201,28 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def _row_sums(table: np.ndarray, which: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The sums of the rows ``which`` of a table over the runs that begin at ``starts``.
+
+    Runs are added side by side, the first row of each, then the second, and so on, longest runs first, which is
+    several times as fast as one run after another; the few longest ones are ended by themselves.
+    """
+    sizes = np.diff(starts, append=len(which))
+    order = np.argsort(-sizes, kind="stable")
+    begin, size = starts[order], sizes[order]
+    sums, at = table[which[begin]], 1
+    while n := int(np.searchsorted(-size, -at)):  # runs of more than ``at`` rows
+        if n < 64:
+            for k in range(n):
+                sums[k] += table[which[begin[k] + at : begin[k] + size[k]]].sum(axis=0)
+            break
+        sums[:n] += table[which[begin[:n] + at]]
+        at += 1
+    out = np.empty_like(sums)
+    out[order] = sums
+    return out
+
+
 # ---- randomised SVD
 
 
@@ -227,11 +249,11 @@ def _gram_times(found: DataFrame, place: np.ndarray, weights: np.ndarray, direct
                     continue
                 word = place[word]
                 new = _changes(text, step // per_passage)
-                rows = np.add.reduceat(scaled[word], np.flatnonzero(new), axis=0)
+                rows = _row_sums(scaled, word, np.flatnonzero(new))
                 order = np.argsort(word, kind="stable")
                 of = (np.cumsum(new) - 1)[order]
                 starts = np.flatnonzero(np.diff(word[order], prepend=-1))
-                total[word[order][starts]] += np.add.reduceat(rows[of], starts, axis=0)
+                total[word[order][starts]] += _row_sums(rows, of, starts)
         total *= weights[:, None]
         for lo in range(0, n, part):
             yield pa.RecordBatch.from_arrays(
@@ -302,7 +324,7 @@ def candidates(
                 if not len(word):
                     continue
                 new = np.flatnonzero(_changes(text, step))
-                total = np.add.reduceat(shares[word], new, axis=0)
+                total = _row_sums(shares, word, new)
                 norm = np.add.reduceat(squared[word], new)
                 text, step = text[new], step[new]
                 # a window begins at a step that has words and takes the next steps of the same text
