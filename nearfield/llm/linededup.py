@@ -96,13 +96,15 @@ def signatures(lines: DataFrame) -> DataFrame:
     value = F.when(F.col("kind") == _CHARS, F.xxhash64(_from_char("line", at))).when(F.col("kind") == _WORDS, by_word)
     hashed = placed.select("h1", "kind", "at", value.otherwise(by_byte).alias("hash"))
     # a hash of its own for each band; its two halves and two points give the band's three values
+    owns = [F.xxhash64("hash", F.lit(band)).alias(f"own{band}") for band in range(BANDS)]
+    hashed = hashed.select("h1", "kind", "at", *owns)
     closest = []
     for band in range(BANDS):
-        own = F.xxhash64("hash", F.lit(band))
+        own = F.col(f"own{band}")
         high, low = F.shiftright(own, 32).cast("int"), (own.bitwiseAND(0xFFFFFFFF) - 2**31).cast("int")
         closest += [F.min(high), F.min(low), F.max(high)]
     closest = [c.alias(f"v{k}") for k, c in enumerate(closest)]
-    return hashed.groupBy("h1", "kind").agg(F.sum(F.when(at == 0, 1).otherwise(0)).alias("n"), *closest)
+    return hashed.groupBy("h1", "kind").agg(F.sum(F.when(F.col("at") == 0, 1).otherwise(0)).alias("n"), *closest)
 
 
 def bands(sig: DataFrame) -> DataFrame:

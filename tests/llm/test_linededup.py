@@ -151,3 +151,9 @@ def test_lines_about_the_border_of_short_and_long(spark):
     rows = list(enumerate(lines))
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCUMENTS)
     check(docs, rows)
+
+
+def test_a_shingle_is_hashed_once_for_each_band(spark):
+    lines = spark.createDataFrame([(1, "one line")], "h1 long, line string")
+    plan = linededup.signatures(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("xxhash64(hash#" in p for p in plan.splitlines()) == 1 and plan.count("xxhash64(hash#") == linededup.BANDS
