@@ -5,10 +5,10 @@ their character shingles: of short lines the SHORT characters from each characte
 SHINGLE characters of each three words in a row (in text that hardly has spaces, the SHINGLE bytes from each byte
 on), which one changed letter in many words hardly touches. Each band hashes the shingles anew and keeps the
 least and the greatest of one half of the hashes and the least of the other. Lines that agree in a band are
-candidates: of a small bucket all pairs, of a larger one each line with its neighbours in order of a hash,
-and with the first. Candidates are confirmed by the exact Jaccard similarity of their shingle sets. Lines of
-larger buckets that this leaves apart meet once more by an exact prefix filter: two sets that are similar
-enough share one of their rarest shingles. Components of confirmed links are found by distributed union-find,
+candidates: of a small bucket all pairs, of a larger one each line with the first. Candidates are confirmed by
+the exact Jaccard similarity of their shingle sets. Lines of larger buckets that this leaves apart meet their
+neighbours in order of a hash, and those still apart meet once more by an exact prefix filter: two sets that are
+similar enough share one of their rarest shingles. Components of confirmed links are found by distributed union-find,
 and each component keeps its first occurrence in order of doc_id and place.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from nearfield.llm.common import components, fresh, marked, skewed_join
 from nearfield.operators.skew import join_close
-from nearfield.scratch import stored
+from nearfield.scratch import stored, stored_alone
 
 #: Two lines of fewer words and bytes together are short: compared by characters. Lines of up to LINE_WORDS[1]
 #: words and LINE_BYTES[1] bytes have such signatures, lines from LINE_WORDS[0] or LINE_BYTES[0] on the others
@@ -32,11 +32,14 @@ SHINGLE, BANDS, ROWS = 12, 8, 3  # the three values of a band are fixed in signa
 #: have either. Two lines are compared by bytes if together they have more than their mean a word.
 WORDS_TO, BYTES_FROM = 20, 16
 _WORDS, _BYTES, _CHARS = 0, 1, 2
-#: Each line of a bucket meets so many before it, so that buckets up to one more are compared pair by pair.
+#: Each line of a bucket meets so many before it, so that buckets up to one more are compared pair by pair; in
+#: larger ones only those that aren't in one component by then.
 NEIGHBOURS = 16
 #: A bucket that shows in this share of the band rows of every SAMPLED-th line, and there at least so
 #: often, is dealt into parts of about PART_ROWS lines, each of which meets the bucket's first line.
 HOT_SHARE, SAMPLED, HOT_ROWS, PART_ROWS = 1e-4, 64, 64, 4096
+#: Odd bits of a set of shingles, in words of 64 (a power of two): more tell more sets apart before they are compared.
+ODD_BITS = 4
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -117,9 +120,9 @@ def bands(sig: DataFrame) -> DataFrame:
     return sig.select("h1", "n", F.when(F.col("kind") == _CHARS, keys(ROWS + 1)).otherwise(keys(ROWS)).alias("bands"))
 
 
-def candidate_pairs(banded: DataFrame) -> DataFrame:
-    """(a, b, crowded) with a < b: lines that meet in a bucket, that is, have a band in common; crowded tells
-    whether a bucket of theirs is one in which not all meet.
+def meetings(banded: DataFrame) -> DataFrame:
+    """h1, band, part, crowded and others: for each line of a bucket (those that have a band in common, in parts if
+    they are many) the lines that it meets there; crowded tells whether there are more than those.
 
     ``banded`` should be a stored table of ``bands``.
     """
@@ -138,11 +141,33 @@ def candidate_pairs(banded: DataFrame) -> DataFrame:
     order = bucket.orderBy("h1")
     before = [F.lag("h1", k).over(order) for k in range(1, NEIGHBOURS + 1)]
     first = F.first("h1").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    crowded = ((F.col("size") > NEIGHBOURS + 1) | F.col("lead").isNotNull()).alias("crowded")
-    met = dealt.select("h1", F.array_distinct(F.array(*before, first, "lead")).alias("others"), crowded)
-    pairs = met.select("h1", F.explode("others").alias("other"), "crowded").where("other <> h1")
-    ends = [F.least("h1", "other").alias("a"), F.greatest("h1", "other").alias("b")]
-    return pairs.groupBy(*ends).agg(F.max("crowded").alias("crowded"))
+    crowded = (F.col("size") > NEIGHBOURS + 1) | F.col("lead").isNotNull()
+    others = F.when(crowded, F.array(first, "lead")).otherwise(F.array(*before))
+    return dealt.select("h1", "band", "part", crowded.alias("crowded"), others.alias("others"))
+
+
+def _pairs_of(met: DataFrame) -> DataFrame:
+    """(a, b) with a < b: each line h1 with its others."""
+    pairs = met.select("h1", F.explode("others").alias("other")).where("other <> h1")
+    return pairs.select(F.least("h1", "other").alias("a"), F.greatest("h1", "other").alias("b")).distinct()
+
+
+def candidate_pairs(met: DataFrame) -> DataFrame:
+    """(a, b) with a < b: lines that meet in a bucket (a stored table of ``meetings``)."""
+    return _pairs_of(met.withColumn("others", F.array_distinct(F.filter("others", lambda other: other.isNotNull()))))
+
+
+def neighbour_pairs(met: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b) with a < b: lines of crowded buckets (those of ``meetings``) and their neighbours there that are in
+    different components of ``found`` (node, root)."""
+    rows = met.where("crowded").select("h1", "band", "part")
+    roots = found.select(F.col("node").alias("h1"), "root")
+    named = skewed_join(rows, roots, ["h1"], "left").withColumn("root", F.coalesce("root", "h1"))
+    order = Window.partitionBy("band", "part").orderBy("h1")
+    before = F.array(*[F.lag(F.struct("h1", "root"), k).over(order) for k in range(1, NEIGHBOURS + 1)])
+    apart = F.filter(F.col("before"), lambda other: other["root"] != F.col("root"))
+    met = named.select("h1", "root", before.alias("before")).where(F.size(apart) > 0)
+    return _pairs_of(met.select("h1", F.transform(apart, lambda other: other["h1"]).alias("others")))
 
 
 def crowd_pairs(crowd: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
@@ -153,7 +178,9 @@ def crowd_pairs(crowd: DataFrame, sets: DataFrame, found: DataFrame, percent: in
     with 100 * intersection >= percent * union, one of the first n - 2 * percent * n / (100 + percent) + 1
     of the smaller is among the first m - percent * m / 100 + 1 of the larger. A shared shingle at places i and j
     leaves room for min(i, j) common ones before it and as many after it as the shorter rest has; pairs for
-    which that isn't enough don't leave the join.
+    which that isn't enough don't leave the join. Nor do those whose sets differ in too many shingles: each odd
+    bit of a set tells whether it has an odd number of the shingles that fall there, so two sets differ in as many
+    shingles as in odd bits, or more.
     """
     weights = found.groupBy("root").agg(F.count("*").alias("weight"))
     roots = skewed_join(found, weights, ["root"]).withColumnRenamed("node", "h1")
@@ -167,11 +194,15 @@ def crowd_pairs(crowd: DataFrame, sets: DataFrame, found: DataFrame, percent: in
     counts = placed.groupBy("kind", "shingle").agg(F.count("*").alias("n"))
     counted = skewed_join(placed, counts, ["kind", "shingle"])
     rarest = F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("rarest")
-    ordered = counted.groupBy("h1", "root", "weight", "kind").agg(rarest).withColumn("m", F.size("rarest"))
+    odds = [f"odd{k}" for k in range(ODD_BITS)]
+    bit = F.expr("shiftleft(1L, cast(shingle & 63 AS INT))")
+    word = F.shiftright("shingle", 6).bitwiseAND(ODD_BITS - 1)
+    odd = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(o) for k, o in enumerate(odds)]
+    ordered = counted.groupBy("h1", "root", "weight", "kind").agg(rarest, *odd).withColumn("m", F.size("rarest"))
     probed = F.expr(f"m - ({percent} * m + 99) div 100 + 1").cast("int")
     indexed = F.expr(f"m - ({2 * percent} * m + {99 + percent}) div {100 + percent} + 1")
     first = ordered.select("*", F.posexplode(F.slice("rarest", F.lit(1), probed)).alias("at", "one"))
-    first = first.select("h1", "root", "weight", "kind", "m", F.col("one.shingle").alias("shingle"), "at", (F.col("at") < indexed).alias("short"))
+    first = first.select("h1", "root", "weight", "kind", "m", *odds, F.col("one.shingle").alias("shingle"), "at", (F.col("at") < indexed).alias("short"))
     first = stored(first, "prefixes")
     # lines of one component needn't meet, so of each shingle's lines those of the largest one don't
     lists = first.groupBy("kind", "shingle").agg(
@@ -180,12 +211,14 @@ def crowd_pairs(crowd: DataFrame, sets: DataFrame, found: DataFrame, percent: in
     lists = lists.where("any AND lo < hi").select("kind", "shingle", F.col("most.root").alias("most"))
     rows = stored(skewed_join(first, lists, ["kind", "shingle"]).withColumn("main", F.col("root") == F.col("most")), "lists")
     keys = ["kind", "shingle"]
-    short = rows.where("short").select(*keys, F.col("h1").alias("a"), F.col("root").alias("root_a"), F.col("m").alias("m_a"), F.col("at").alias("at_a"), "main")
-    long = rows.select(*keys, F.col("h1").alias("b"), F.col("root").alias("root_b"), F.col("m").alias("m_b"), F.col("at").alias("at_b"), F.col("main").alias("main_b"))
+    short = rows.where("short").select(*keys, F.col("h1").alias("a"), F.col("root").alias("root_a"), F.col("m").alias("m_a"), F.col("at").alias("at_a"), "main", *[F.col(o).alias(f"{o}_a") for o in odds])
+    long = rows.select(*keys, F.col("h1").alias("b"), F.col("root").alias("root_b"), F.col("m").alias("m_b"), F.col("at").alias("at_b"), F.col("main").alias("main_b"), *[F.col(o).alias(f"{o}_b") for o in odds])
     order = F.struct("m_a", "a") < F.struct("m_b", "b")
     test = (F.col("root_a") != F.col("root_b")) & order & (100 * F.col("m_a") >= percent * F.col("m_b"))
     room = F.least("at_a", "at_b") + F.least(F.col("m_a") - F.col("at_a"), F.col("m_b") - F.col("at_b"))
     test = test & ((100 + percent) * room >= percent * (F.col("m_a") + F.col("m_b")))
+    differ = sum(F.bit_count(F.col(f"{o}_a").bitwiseXOR(F.col(f"{o}_b"))) for o in odds)
+    test = test & ((100 - percent) * (F.col("m_a") + F.col("m_b")) >= (100 + percent) * differ)
     met = join_close(short.where("NOT main"), long, keys, test)
     met = met.unionByName(join_close(short.where("main"), long.where("NOT main_b"), keys, test))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -212,14 +245,20 @@ def shingle_sets(lines: DataFrame) -> DataFrame:
 
 
 def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs with 100 * intersection >= percent * union of their shingle sets (``shingle_sets``)."""
+    """The pairs with 100 * intersection >= percent * union of their shingle sets (``shingle_sets``); the sizes are
+    looked at first."""
     sizes = sets.select("h1", "size", "n_words", *[F.size(c).alias(f"m_{c}") for c in ("by_word", "by_byte", "by_char")])
-    pairs = _of_similar_size(pairs, stored(sizes, "sizes"), percent)
+    return similar_pairs(_of_similar_size(pairs, stored(sizes, "sizes"), percent), sets, percent)
+
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``confirmed_pairs`` of pairs that are hardly fewer by size alone, such as those of ``crowd_pairs``."""
     first, second = (sets.toDF(*[c if c == e else f"{c}_{e}" for c in (e, *sets.columns[1:])]) for e in ("a", "b"))
     both = skewed_join(skewed_join(pairs, first, ["a"]), second, ["b"])
     found = both.select("a", "b", *_compared("by"))
-    shared = found.withColumn("n", F.size(F.array_intersect("sa", "sb")))
-    return shared.where(100 * F.col("n") >= percent * (F.size("sa") + F.size("sb") - F.col("n"))).select("a", "b")
+    # n >= percent / 100 of the union, in a form that takes the intersection once
+    n = F.size(F.array_intersect("sa", "sb"))
+    return found.where((100 + percent) * n >= percent * (F.size("sa") + F.size("sb"))).select("a", "b")
 
 
 def _compared(prefix: str) -> list[Column]:
@@ -237,11 +276,19 @@ def _of_similar_size(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFr
     return both.where(100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")).select("a", "b")
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``found`` (node, root) after more links (a, b)."""
+    if links.isEmpty():
+        return found
+    return components(links.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
 def dropped_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, text_hash and dropped: the places (from 0) of the lines that go, for documents that have any."""
     lines = _lines(docs).withColumn("h1", F.xxhash64("line"))
     banded = stored(bands(signatures(lines.select("h1", "line"))), "bands")
-    pairs = stored(candidate_pairs(banded), "pairs")
+    met = stored(meetings(banded), "meetings")
+    pairs = stored(candidate_pairs(met), "pairs")
 
     # the lines that occur more than once or have a candidate, and a few others
     ends = pairs.select(F.col("a").alias("h1")).unionByName(pairs.select(F.col("b").alias("h1")))
@@ -253,13 +300,14 @@ def dropped_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     compared = seen.groupBy("h1").agg(F.min("line").alias("line"))
     compared = skewed_join(compared, stored(ends.distinct(), "ends"), ["h1"], "left_semi")
     sets = stored(shingle_sets(compared), "sets")
-    links = stored(confirmed_pairs(pairs.select("a", "b"), sets, percent), "links")
+    links = stored(confirmed_pairs(pairs, sets, percent), "links")
     found = components(links)
-    crowded = pairs.where("crowded")
-    crowd = stored(crowded.select(F.col("a").alias("h1")).unionByName(crowded.select(F.col("b").alias("h1"))).distinct(), "crowd")
+    crowd = stored(met.where("crowded").select("h1").distinct(), "crowd")
     if not crowd.isEmpty():
-        more = confirmed_pairs(stored(crowd_pairs(crowd, sets, found, percent), "pairs"), sets, percent)
-        found = components(links.unionByName(more))
+        near = stored(neighbour_pairs(met, found), "pairs")
+        found = _joined(found, stored(confirmed_pairs(near, sets, percent), "links"))
+        rest = stored(crowd_pairs(crowd, sets, found, percent), "pairs")
+        found = _joined(found, stored(similar_pairs(rest, sets, percent), "links"))
     found = found.select(F.col("node").alias("h1"), "root")
 
     here = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "pos")
@@ -277,7 +325,7 @@ def without_repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Null and empty texts stay as they are, as do blank lines. Rows of equal doc_id and text are one document. Columns that are named like the new ones are replaced.
     """
-    lost = stored(dropped_lines(docs, percent), "dropped")
+    lost = stored_alone(lambda: dropped_lines(docs, percent), "dropped")
     hash_name, array_name = fresh(docs, "text_hash"), fresh(docs, "dropped")
     hashed = docs.withColumn(hash_name, F.xxhash64(F.coalesce("text", F.lit(""))))
     seen = marked(hashed, lost, {"doc_id": "doc_id", hash_name: "text_hash"}, name := fresh(docs, "set"))

@@ -1,7 +1,13 @@
+import itertools
 import re
 
+from pyspark.sql import functions as F
+
 from llm.conftest import DOCUMENTS, clashing, prose
+from nearfield import scratch
 from nearfield.llm import linededup
+from nearfield.llm.common import components
+from nearfield.scratch import stored
 
 
 def expected(rows):
@@ -157,3 +163,45 @@ def test_a_shingle_is_hashed_once_for_each_band(spark):
     lines = spark.createDataFrame([(1, "one line")], "h1 long, line string")
     plan = linededup.signatures(lines)._jdf.queryExecution().optimizedPlan().toString()
     assert sum("xxhash64(hash#" in p for p in plan.splitlines()) == 1 and plan.count("xxhash64(hash#") == linededup.BANDS
+
+
+def meetings_of(spark, lines):
+    rows = spark.createDataFrame([(x,) for x in lines], "line string").selectExpr("xxhash64(line) AS h1", "line")
+    return rows, stored(linededup.meetings(stored(linededup.bands(linededup.signatures(rows)), "bands")), "meetings")
+
+
+def test_a_crowd_of_near_copies_meets_its_first_line_only(spark):
+    """Not 16 neighbours each in every bucket: what the first line has tied needn't meet again."""
+    lines = [" ".join([*prose(1, 120).split()[:119], f"end{k}"]) for k in range(200)]
+    rows, met = meetings_of(spark, lines)
+    pairs = stored(linededup.candidate_pairs(met), "pairs")
+    assert 199 <= pairs.count() <= 3 * 200
+    found = components(linededup.confirmed_pairs(pairs, linededup.shingle_sets(rows), 80))
+    assert linededup.neighbour_pairs(met, found).count() == 0
+    alone = linededup.neighbour_pairs(met, found.withColumn("root", F.col("node")))
+    assert alone.count() > 3 * 200  # lines that are still apart do meet
+
+
+def test_lines_of_a_crowd_that_differ_too_much_do_not_leave_the_join(spark):
+    words = prose(1, 60).split()
+    lines = [" ".join("abcdefghijkl"[(k + c) % 5] * 9 if (c + k) % 10 == 0 or c == k % 60 else w for c, w in enumerate(words)) for k in range(60)]
+    rows, _ = meetings_of(spark, lines)
+    sets = stored(linededup.shingle_sets(rows), "sets")
+    nothing = spark.createDataFrame([], "node long, root long")
+    pairs = stored(linededup.crowd_pairs(rows.select("h1"), sets, nothing, 80), "pairs")
+    similar = linededup.similar_pairs(pairs, sets, 80).count()
+    assert similar == sum(alike(a, b) for a, b in itertools.combinations(lines, 2)) > 0
+    assert pairs.count() <= 1.2 * similar
+
+
+def alike(a, b):
+    n = linededup.SHINGLE
+    a, b = ({" ".join([*w, "", ""][k : k + 3])[:n] for k in range(len(w))} for w in (a.split(" "), b.split(" ")))
+    return 100 * len(a & b) >= 80 * len(a | b)
+
+
+def test_tables_on_the_way_are_removed(spark, documents):
+    before = len(scratch._MADE)
+    found = linededup.without_repeated_lines(documents)
+    assert len(scratch._MADE) == before + 1
+    assert found.count() == documents.count()
