@@ -185,6 +185,7 @@ def test_a_crowd_of_near_copies_meets_its_first_line_only(spark):
 def test_lines_of_a_crowd_that_differ_too_much_do_not_leave_the_join(spark):
     words = prose(1, 60).split()
     lines = [" ".join("abcdefghijkl"[(k + c) % 5] * 9 if (c + k) % 10 == 0 or c == k % 60 else w for c, w in enumerate(words)) for k in range(60)]
+    lines = [*dict.fromkeys(lines)]
     rows, _ = meetings_of(spark, lines)
     sets = stored(linededup.shingle_sets(rows), "sets")
     nothing = spark.createDataFrame([], "node long, root long")
